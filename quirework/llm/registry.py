@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from quirework.llm import bpe, simhash, token_store, url_filter
+from quirework.llm import bpe, embedding_dedup, simhash, token_store, url_filter
 
 
 def queries() -> dict:
     return {
         "op2_url_filter": url_filter.op2_url_filter,
+        "op4_embedding_dedup": embedding_dedup.op4_embedding_dedup,
         "op7_byte_bpe": bpe.op7_byte_bpe,
         "op8_token_store": token_store.op8_token_store,
         "op9_simhash": simhash.op9_simhash,
@@ -15,4 +16,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": url_filter.ORACLE_OP2}
+    return {"op2_url_filter": url_filter.ORACLE_OP2, "op4_embedding_dedup": embedding_dedup.ORACLE_OP4}
