@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from quirework.llm import bpe, embedding_dedup, simhash, token_store, url_filter
+from quirework.llm import bpe, embedding_dedup, secrets, simhash, token_store, toxicity, url_filter
 
 
 def queries() -> dict:
     return {
         "op2_url_filter": url_filter.op2_url_filter,
         "op4_embedding_dedup": embedding_dedup.op4_embedding_dedup,
+        "op5_secret_scan": secrets.op5_secret_scan,
         "op7_byte_bpe": bpe.op7_byte_bpe,
         "op8_token_store": token_store.op8_token_store,
         "op9_simhash": simhash.op9_simhash,
+        "op10_toxicity": toxicity.op10_toxicity,
     }
 
 
