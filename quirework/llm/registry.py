@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from quirework.llm import bpe, embedding_dedup, secrets, simhash, token_store, toxicity, url_filter
+from quirework.llm import bpe, embedding_dedup, licenses, secrets, simhash, token_store, toxicity, url_filter
 
 
 def queries() -> dict:
     return {
         "op2_url_filter": url_filter.op2_url_filter,
+        "op3_license_scan": licenses.op3_license_scan,
         "op4_embedding_dedup": embedding_dedup.op4_embedding_dedup,
         "op5_secret_scan": secrets.op5_secret_scan,
         "op7_byte_bpe": bpe.op7_byte_bpe,
@@ -18,4 +19,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": url_filter.ORACLE_OP2, "op4_embedding_dedup": embedding_dedup.ORACLE_OP4}
+    return {"op2_url_filter": url_filter.ORACLE_OP2, "op3_license_scan": licenses.ORACLE_OP3, "op4_embedding_dedup": embedding_dedup.ORACLE_OP4}
