@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from quirework.llm import bpe, embedding_dedup, licenses, secrets, simhash, token_store, toxicity, url_filter
+from quirework.llm import bpe, decontaminate, embedding_dedup, licenses, secrets, simhash, token_store, toxicity, url_filter
 
 
 def queries() -> dict:
     return {
+        "op1_decontaminate": decontaminate.op1_decontaminate,
         "op2_url_filter": url_filter.op2_url_filter,
         "op3_license_scan": licenses.op3_license_scan,
         "op4_embedding_dedup": embedding_dedup.op4_embedding_dedup,

@@ -29,7 +29,7 @@ from quirework.llm.textvec import text_slices
 
 SHARD_BYTES = 8 << 20
 #: Words cached by a worker, and the longest that is.
-CACHE_WORDS, CACHE_CHARS = 200_000, 40
+CACHE_WORDS, CACHE_CHARS = 400_000, 40
 MAX_VOCABULARY_BYTES = 64 << 20
 _HEAD = struct.Struct("<4sBQQq")
 _SPACES = re.compile(r"[\s\x00][\s\x00]|\x00")
@@ -51,6 +51,8 @@ class CachedTokenizer:
         self._tokenizer.encode_special_tokens = True
         self.width = 2 if self._tokenizer.get_vocab_size(True) <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
+        vocabulary_size = self._tokenizer.get_vocab_size(True)
+        self._sizes = np.array([len(self._tokenizer.id_to_token(i) or "") for i in range(vocabulary_size)])  # in bytes, one character each
         self._known: dict[str, bytes] = {}
 
     @staticmethod
@@ -63,21 +65,34 @@ class CachedTokenizer:
             return [*out, text[at:]]
         return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
 
+    def _together(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, from one call over all: each starts with a blank that follows a non-blank."""
+        if not words:
+            return []
+        spaced = [w if w[0] in " \n" else "\n" + w for w in words]
+        ids = np.array(self._tokenizer.encode("".join(spaced), add_special_tokens=False).ids, dtype=self.kind)
+        ends = np.concatenate([[0], np.cumsum(self._sizes[ids])])
+        stops = np.cumsum([len(w.encode()) for w in spaced])
+        added = np.array([len(a) - len(w) for a, w in zip(spaced, words)])  # a line feed is one id
+        at = np.searchsorted(ends, np.concatenate([[0], stops]))
+        raw, width = ids.tobytes(), self.width
+        return [raw[a * width : z * width] for a, z in zip((at[:-1] + added).tolist(), at[1:].tolist())]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         known = self._known
         if len(known) > CACHE_WORDS:
             known.clear()
         split = [self.parts(t) for t in texts]
-        unseen = list({p for parts in split for p in parts if p not in known})
-        long = []
-        for at in range(0, len(unseen), 4096):
-            some = unseen[at : at + 4096]
-            for p, e in zip(some, self._tokenizer.encode_batch(some, add_special_tokens=False)):
-                known[p] = np.array(e.ids, dtype=self.kind).tobytes()
-                if len(p) > CACHE_CHARS:
-                    long.append(p)
+        unseen = set().union(*split).difference(known)
+        plain = [p for p in unseen if p and len(p) <= CACHE_CHARS and not p[-1].isspace() and (p[0] in " \n" or not p[0].isspace())]
+        for at in range(0, len(plain), 4096):
+            some = plain[at : at + 4096]
+            known.update(zip(some, self._together(some)))
+        odd = [p for p in unseen if p not in known]
+        for p, e in zip(odd, self._tokenizer.encode_batch(odd, add_special_tokens=False)):
+            known[p] = np.array(e.ids, dtype=self.kind).tobytes()
         out = [b"".join(map(known.__getitem__, parts)) for parts in split]
-        for p in long:
+        for p in odd:
             del known[p]
         return out
 
