@@ -1 +1,62 @@
-STAGES = []
+"""Cleaning of a document corpus in five stages, each written as Parquet and read by the next.
+
+Toxic documents go, one document of each group of near copies stays, documents that hold
+benchmark items go, secrets are masked in place, and what is left is encoded. Every stage but
+the last returns the columns of documents. A stage on an empty table returns an empty one.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quirework.llm import bpe, decontaminate, secrets, simhash, toxicity
+from quirework.llm.session import fresh_path, materialize, table
+from quirework.shipping import ship_package
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    grader = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.grade(docs, grader, keep=tuple(docs.columns)).where(~F.col("toxic")).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return simhash.one_of_each(docs)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return secrets.mask_secrets(docs, fresh_path(spark, "secret-ledger"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ship_package(spark)
+    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_copies),
+    ("decontamination", drop_benchmark_leaks),
+    ("secrets", mask_secrets),
+    ("encoding", encode),
+]
+
+#: A trained model, XXH64 fingerprints and a tokenizer have no SQL form.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

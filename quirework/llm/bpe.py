@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from quirework.llm.session import table
 from quirework.llm.textvec import text_slices
@@ -81,7 +82,7 @@ def encode(df: DataFrame, rank_path: str, pattern: str, text_col: str = "text",
     """The columns ``keep`` and ``ids`` (array of int) of every row."""
     ranks = _shipped(df.sparkSession, rank_path)
     source = df.select(*keep, F.col(text_col).alias("_text"))
-    schema = source.select(*keep).schema.add("ids", "array<int>")
+    schema = source.select(*keep).schema.add("ids", ArrayType(IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks.value, pattern)
@@ -108,31 +109,35 @@ def decode(df: DataFrame, rank_path: str, pattern: str, ids_col: str = "ids", ke
     return source.mapInArrow(run, schema)
 
 
-def round_trip(df: DataFrame, rank_path: str, pattern: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def round_trip(df: DataFrame, rank_path: str, pattern: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False) -> DataFrame:
     """Encode and decode in one pass, digests in place of ids and bytes.
 
-    Columns ``keep``, n_tokens, ids_sha256 (of decimal ids joined by one space) and
-    decoded_sha256, one row for each row of ``df``.
+    Columns ``keep``, n_tokens, ids_sha256 (of decimal ids joined by one space),
+    decoded_sha256 and, if asked for, ids (array of int), one row for each row of ``df``.
     """
     ranks = _shipped(df.sparkSession, rank_path)
     source = df.select(*keep, F.col(text_col).alias("_text"))
     schema = source.select(*keep).schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
+    if with_ids:
+        schema = schema.add("ids", ArrayType(IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks.value, pattern)
         decimal = codec.decimals.__getitem__
         for whole in batches:
             for b in text_slices(whole, "_text"):
-                counts, id_digests, byte_digests = [], [], []
+                counts, id_digests, byte_digests, all_ids = [], [], [], []
                 for text in b.column(len(keep)).to_pylist():
                     ids = codec.encode(text or "")
                     counts.append(len(ids))
                     id_digests.append(hashlib.sha256(" ".join(map(decimal, ids)).encode()).hexdigest())
                     byte_digests.append(hashlib.sha256(codec.decode(ids)).hexdigest())
-                yield pa.RecordBatch.from_arrays(
-                    [*b.columns[: len(keep)], pa.array(counts, pa.int64()), pa.array(id_digests, pa.string()), pa.array(byte_digests, pa.string())],
-                    [*keep, "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+                    if with_ids:
+                        all_ids.append(ids)
+                columns = [*b.columns[: len(keep)], pa.array(counts, pa.int64()), pa.array(id_digests, pa.string()), pa.array(byte_digests, pa.string())]
+                if with_ids:
+                    columns.append(pa.array(all_ids, pa.list_(pa.int32())))
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return source.mapInArrow(run, schema)
 

@@ -262,5 +262,27 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
     return best.select(F.col("doc_id").alias(id_col), "item_id", "m.*")
 
 
+def drop_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, min_overlap: float = MIN_OVERLAP, index_units: int = INDEX_UNITS, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", answer_col: str | None = None) -> DataFrame:
+    """The rows of ``docs`` in whose text no test item is found, by one pass for each index and without a shuffle."""
+    kept = docs
+
+    def without(rows: DataFrame, index: Index) -> DataFrame:
+        shipped = rows.sparkSession.sparkContext.broadcast(index)
+        at = rows.columns.index(text_col)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for b in text_slices(whole, text_col):
+                    clean = np.ones(b.num_rows, bool)
+                    clean[[h[0] for h in _slice_hits(b.column(at), shipped.value, threshold, min_overlap)]] = False
+                    yield b.filter(pa.array(clean))
+
+        return rows.mapInArrow(run, rows.schema)
+
+    for index in build_indexes(items, index_units, item_id_col, item_text_col, answer_col):
+        kept = without(kept, index)
+    return kept
+
+
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from quirework.llm import bpe, decontaminate, embedding_dedup, licenses, secrets, simhash, token_store, toxicity, url_filter
+import corpus_pipeline
+from quirework.llm import bpe, decontaminate, embedding_dedup, licenses, secrets, simhash, surrogates, token_store, toxicity, url_filter
 
 
 def queries() -> dict:
@@ -12,10 +13,12 @@ def queries() -> dict:
         "op3_license_scan": licenses.op3_license_scan,
         "op4_embedding_dedup": embedding_dedup.op4_embedding_dedup,
         "op5_secret_scan": secrets.op5_secret_scan,
+        "op6_pii_surrogates": surrogates.op6_pii_surrogates,
         "op7_byte_bpe": bpe.op7_byte_bpe,
         "op8_token_store": token_store.op8_token_store,
         "op9_simhash": simhash.op9_simhash,
         "op10_toxicity": toxicity.op10_toxicity,
+        "pipeline": corpus_pipeline.run,
     }
 
 

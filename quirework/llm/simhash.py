@@ -48,7 +48,8 @@ def fingerprint(text: str | None, shingle_words: int = 3) -> int:
 
 def fingerprints(df: DataFrame, shingle_words: int = 3, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` and ``fp`` (the fingerprint's bits as a signed long) of every row."""
-    source = df.select(*keep, F.col(text_col).alias("_text"))
+    kept = [F.col(c) for c in keep]
+    source = df.select(*kept, F.col(text_col).alias("_text"))
     schema = source.select(*keep).schema.add("fp", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,11 +145,7 @@ def near_duplicates(df: DataFrame, shingle_words: int = 3, budget: int = 2, text
     has an id. Repeated rows and ids stay as they are.
     """
     marked = materialize(fingerprints(df, shingle_words, text_col, (id_col, *keep)), "fingerprints")
-    distinct = materialize(marked.groupBy("fp").agg(F.min(id_col).alias("least")), "distinct-fingerprints")
-    parts = connected_components(hamming_pairs(distinct, budget, max_bucket=max_bucket))
-    named = distinct.join(parts, distinct["fp"] == parts["node"], "left").select("fp", F.coalesce("component", "fp").alias("part"), "least")
-    least = named.groupBy("part").agg(F.min("least").alias("component_id"))
-    classes = named.join(least, "part").select("fp", "component_id")
+    classes = _classes(marked, budget, id_col, max_bucket).select("fp", "component_id")
     # A fingerprint may stand for a third of all rows: its rows are salted, its single class row repeated.
     salts = 16
     salted = marked.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int"))
@@ -156,6 +153,28 @@ def near_duplicates(df: DataFrame, shingle_words: int = 3, budget: int = 2, text
     return salted.join(spread, ["fp", "_salt"]).drop("_salt").select(id_col, *keep, "fp", "component_id")
 
 
+def _classes(marked: DataFrame, budget: int, id_col: str, max_bucket: int) -> DataFrame:
+    """Columns fp, part (the smallest fingerprint reachable), least (smallest id of fp) and component_id of every fingerprint."""
+    distinct = materialize(marked.groupBy("fp").agg(F.min(id_col).alias("least")), "distinct-fingerprints")
+    parts = connected_components(hamming_pairs(distinct, budget, max_bucket=max_bucket))
+    named = distinct.join(parts, distinct["fp"] == parts["node"], "left").select("fp", F.coalesce("component", "fp").alias("part"), "least")
+    least = named.groupBy("part").agg(F.min("least").alias("component_id"))
+    return named.join(least, "part").select("fp", "part", "least", "component_id")
+
+
+def one_of_each(df: DataFrame, shingle_words: int = 3, budget: int = 2, text_col: str = "text", id_col: str = "doc_id", max_bucket: int = MAX_BUCKET) -> DataFrame:
+    """One row of ``df`` for each component: that of its smallest id, and one that has no id where none has."""
+    columns = df.columns
+    marked = fingerprints(df, shingle_words, text_col, (*columns,)).withColumnRenamed("fp", "_fp")
+    marked = materialize(marked, "fingerprinted")
+    classes = _classes(marked.select(F.col(id_col), F.col("_fp").alias("fp")), budget, id_col, max_bucket)
+    # The smallest of the fingerprints that the smallest id has, so one of repeated ids is taken as well.
+    chosen = classes.where(F.col("least").eqNullSafe(F.col("component_id"))).groupBy("part", F.col("component_id").alias("_chosen")).agg(F.min("fp").alias("_fp"))
+    joined = marked.join(chosen.select("_fp", "_chosen"), (marked["_fp"] == chosen["_fp"]) & marked[id_col].eqNullSafe(chosen["_chosen"]), "left_semi")
+    # Rows of one id and fingerprint: repeated ones, or near copies under one id.
+    return joined.dropDuplicates([id_col, "_fp"]).select(*columns)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
