@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirework.functions import expressions as E
+from quirework.functions.session import staged
 
 VOLUME = Window.partitionBy("doc_id").orderBy("pdf_page")
 SLACK = 5
@@ -153,7 +154,6 @@ def issues(d: DataFrame, corrections: DataFrame | None = None, structural: DataF
     """Every issue of every volume: doc_id, ord (order of the kinds), page_number, check_name, severity, message."""
     text = lambda form, *cols: F.format_string(form, *cols)
     row = lambda df, order, number, name, severity, message: df.select("doc_id", F.lit(order).cast("long").alias("ord"), number.cast("long").alias("page_number"), F.lit(name).alias("check_name"), F.lit(severity).alias("severity"), message.alias("message"))
-    d = d.persist()  # a row for each page; every branch below reads it
     seq = sequence_issues(d)
     gaps = seq.where("issue = 'GAP'").withColumn("n", F.col("num") - F.col("prev_num") - 1)
     parts = [row(mislabeled(d), 1, F.lit(None), "mislabeled_document", "warning", text("Expected pages %d-%d, but numbers end at %d. The volume may be mislabeled or lack a large part.", "exp_start", "exp_end", "highest"))]
@@ -184,10 +184,10 @@ def issues(d: DataFrame, corrections: DataFrame | None = None, structural: DataF
 
 
 def validate(readings: DataFrame, expected: DataFrame | None = None, correct: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Readings checked against their expected range, set right if ``correct``; and the corrections made."""
+    """Readings checked against their expected range, set right if ``correct`` and then staged; and the corrections made."""
     d = with_expected(readings, expected)
     if not correct:
         return d, d.withColumn("old", F.lit(None).cast("string")).where(F.lit(False))
     fixed = auto_correct(d)
-    again = with_expected(fixed.select("doc_id", "pdf_page", "detected", "type", "score", "old"), expected)
+    again = staged(with_expected(fixed.select("doc_id", "pdf_page", "detected", "type", "score", "old"), expected), "checked-readings")
     return again.drop("old"), again.where("old IS NOT NULL")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quirework.functions import expressions as E
 from quirework.functions.labels import FILL, ID
+from quirework.functions.session import staged
 from quirework.operators import layout, pairing, words as W
 from quirework.operators.layout import PAGE
 
@@ -85,11 +86,14 @@ def fallback_rects(opinions: DataFrame, marked: DataFrame, members: DataFrame, d
 
 
 def headnote_zones(opinions: DataFrame, det: DataFrame, pages: DataFrame, reporter: str | None = None, use_background: bool = True) -> DataFrame:
-    """Zones of all opinions. Opinions and marked zones, a few rows a volume, are kept, as several branches need them."""
-    opinions = opinions.persist()
+    """Zones of all opinions; their marked starts and ends, a row for each opinion, and the zones, a few for each, are staged."""
     m = pairing.members(det, pages, opinions)
-    marked = zone_markers(m, reporter).persist()
-    return zone_rects(opinions, marked, det, pages, use_background).unionByName(fallback_rects(opinions, marked, m, det, pages))
+    marked = staged(zone_markers(m, reporter), "zone-markers")
+    return staged(zone_rects(opinions, marked, det, pages, use_background).unionByName(fallback_rects(opinions, marked, m, det, pages)), "zones")
+
+
+def _opinions(det: DataFrame, pages: DataFrame, exclusions: DataFrame | None) -> DataFrame:
+    return staged(pairing.pair_opinions(det, pages, exclusions), "opinions")
 
 
 def clip_headnotes(zones: DataFrame, words: DataFrame, det: DataFrame, pages: DataFrame, ocr_applied: bool = False) -> DataFrame:
@@ -162,7 +166,7 @@ def _filled(det: DataFrame, exclusions: DataFrame | None, approvals: DataFrame |
 
 def plan_precomputed(det: DataFrame, pages: DataFrame, words: DataFrame, reporter: str | None = None, exclusions: DataFrame | None = None, approvals: DataFrame | None = None) -> DataFrame:
     """All redaction rects in pixels: doc_id, page_index, type, source (opinion or detection), side, x0..y1, fill."""
-    opinions = pairing.pair_opinions(det, pages, exclusions)
+    opinions = _opinions(det, pages, exclusions)
     zones = headnote_zones(opinions, det, pages, reporter)
     p = layout.with_columns_fallback(pages).select(*PAGE, E.scale_x().alias("sx"), E.scale_y().alias("sy"), "midpoint")
     key = (*OPINION, "page_index", "side")
@@ -192,7 +196,7 @@ def plan_precomputed(det: DataFrame, pages: DataFrame, words: DataFrame, reporte
 
 def plan_full(det: DataFrame, pages: DataFrame, words: DataFrame, reporter: str | None = None, exclusions: DataFrame | None = None) -> DataFrame:
     """Rects in points for a whole redacted volume, page numbers spared: doc_id, page_index, type, source, side, part, x0..y1, fill."""
-    opinions = pairing.pair_opinions(det, pages, exclusions)
+    opinions = _opinions(det, pages, exclusions)
     head = clip_headnotes(headnote_zones(opinions, det, pages, reporter), words, det, pages)
     head = head.select(*PAGE, F.lit("headnote").alias("type"), F.col("opinion").alias("source"), "side", *E.RECT, F.lit("black").alias("fill"))
     return protect(head.unionByName(_own_rects(det, pages, words, exclusions, ("HEADNOTE_BRACKET", "STATE_ABBREVIATION"), with_sequence=True)), page_number_rects(det, words, pages), *PAGE)
@@ -219,7 +223,7 @@ def plan_split(det: DataFrame, pages: DataFrame, words: DataFrame, reporter: str
     Zones start at the caption, detections outside the opinion count only if they are margin
     labels or key icons (white outside, black inside), and what lies outside is whitened.
     """
-    opinions = pairing.pair_opinions(det, pages, exclusions).persist()
+    opinions = _opinions(det, pages, exclusions)
     head = clip_headnotes(headnote_zones(opinions, det, pages, reporter, use_background=False), words, det, pages, ocr_applied)
     head = head.select(*OPINION, "page_index", F.lit("headnote").alias("type"), F.col("opinion").alias("source"), "side", *E.RECT, F.lit("black").alias("fill"))
     out = pairing.outside_rects(det, pages, opinions)

@@ -94,8 +94,8 @@ def _(v):
     key_page - caption_page + 1 AS page_count, coalesce(n, 0) AS n_outside, EXISTS (SELECT 1 FROM det d WHERE d.doc_id = op.doc_id AND d.page_index BETWEEN caption_page AND key_page AND label_id = 10) AS has_image
     FROM op LEFT JOIN (SELECT doc_id, opinion, count(*) AS n FROM ({layout_queries.OUTSIDE}) o GROUP BY ALL) u ON u.doc_id = op.doc_id AND u.opinion = op.opinion""")
 def _(v):
-    o = pairing.pair_opinions(v.detections, v.pages)
-    records = J.opinion_records(pairing.with_images(o, v.detections), pairing.outside_rects(v.detections, v.pages, o))
+    o = v.opinions
+    records = J.opinion_records(pairing.with_images(o, v.det), pairing.outside_rects(v.det, v.pg, o))
     return records.withColumn("n_outside", F.size("outside_rects").cast("long")).drop("outside_rects")
 
 
@@ -124,7 +124,7 @@ def _(v):
 
 @query("snk9_split_pages", "SELECT doc_id, opinion, page_index, page_index - caption_page AS local_page, is_first, is_last FROM oppg")
 def _(v):
-    on = pairing.opinion_pages(pairing.pair_opinions(v.detections, v.pages), v.pages)
+    on = pairing.opinion_pages(v.opinions, v.pg)
     return on.select("doc_id", "opinion", "page_index", (F.col("page_index") - F.col("caption_page")).alias("local_page"), "is_first", "is_last")
 
 

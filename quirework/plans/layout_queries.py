@@ -210,7 +210,7 @@ def _(v):
 
 @query("j3_members", "SELECT doc_id, opinion, det_id, after_caption FROM mem")
 def _(v):
-    return pairing.members(v.detections, v.pages, pairing.pair_opinions(v.detections, v.pages)).select("doc_id", "opinion", "det_id", "after_caption")
+    return pairing.members(v.det, v.pg, v.opinions).select("doc_id", "opinion", "det_id", "after_caption")
 
 
 _NUMBERS = """SELECT op.doc_id, op.opinion, coalesce(nullif(a.page_number_end, 0), nullif(a.page_number, 0), caption_page + 1) AS first_number,
@@ -220,18 +220,18 @@ _NUMBERS = """SELECT op.doc_id, op.opinion, coalesce(nullif(a.page_number_end, 0
 
 @query("x7_opinion_numbers", _NUMBERS)
 def _(v):
-    return pairing.with_page_numbers(pairing.pair_opinions(v.detections, v.pages), v.pages).select("doc_id", "opinion", "first_number", "last_number")
+    return pairing.with_page_numbers(v.opinions, v.pg).select("doc_id", "opinion", "first_number", "last_number")
 
 
 @query("snk23_file_names", f"""SELECT doc_id, opinion, base || CASE WHEN count(*) OVER (PARTITION BY doc_id, base) > 1 THEN '-' || CAST(row_number() OVER (PARTITION BY doc_id, base ORDER BY opinion) AS VARCHAR) ELSE '' END || '.pdf' AS file_name
     FROM (SELECT *, printf('vol.%d.%04d-%04d', doc_id, first_number, last_number) AS base FROM ({_NUMBERS}) n) b""")
 def _(v):
-    return pairing.with_file_names(pairing.with_page_numbers(pairing.pair_opinions(v.detections, v.pages), v.pages)).select("doc_id", "opinion", "file_name")
+    return pairing.with_file_names(pairing.with_page_numbers(v.opinions, v.pg)).select("doc_id", "opinion", "file_name")
 
 
 @query("j13_has_image", "SELECT doc_id, opinion, EXISTS (SELECT 1 FROM det d WHERE d.doc_id = op.doc_id AND d.page_index BETWEEN caption_page AND key_page AND label_id = 10) AS has_image FROM op")
 def _(v):
-    return pairing.with_images(pairing.pair_opinions(v.detections, v.pages), v.detections).select("doc_id", "opinion", "has_image")
+    return pairing.with_images(v.opinions, v.det).select("doc_id", "opinion", "has_image")
 
 
 OUTSIDE = """SELECT * FROM (SELECT doc_id, opinion, page_index, unnest([
@@ -245,10 +245,10 @@ OUTSIDE = """SELECT * FROM (SELECT doc_id, opinion, page_index, unnest([
 
 @query("z5_outside_rects", f"SELECT doc_id, opinion, page_index, r.x0 AS x0, r.y0 AS y0, r.x1 AS x1, r.y1 AS y1, r.part AS part FROM ({OUTSIDE}) o")
 def _(v):
-    return pairing.outside_rects(v.detections, v.pages, pairing.pair_opinions(v.detections, v.pages))
+    return pairing.outside_rects(v.det, v.pg, v.opinions)
 
 
 @query("j14_opinion_page_rects", "SELECT oppg.doc_id, opinion, oppg.page_index, ki.det_id, x1 * sx AS x0, y1 * sy AS y0, x2 * sx AS x1, y2 * sy AS y1 FROM oppg JOIN ki ON ki.doc_id = oppg.doc_id AND ki.page_index = oppg.page_index JOIN pgf ON pgf.doc_id = ki.doc_id AND pgf.page_index = ki.page_index")
 def _(v):
-    on = pairing.opinion_pages(pairing.pair_opinions(v.detections, v.pages), v.pages).select("doc_id", "opinion", "page_index")
-    return on.join(zones.key_icon_rects(v.detections, v.pages), layout.PAGE).select("doc_id", "opinion", "page_index", "det_id", *E.RECT)
+    on = pairing.opinion_pages(v.opinions, v.pg).select("doc_id", "opinion", "page_index")
+    return on.join(zones.key_icon_rects(v.det, v.pg), layout.PAGE).select("doc_id", "opinion", "page_index", "det_id", *E.RECT)

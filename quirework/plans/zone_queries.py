@@ -13,12 +13,8 @@ from quirework.plans.common import SQL, query, with_parts
 LAYOUT = ["doc_id", "det_id"]
 
 
-def _opinions(v):
-    return pairing.pair_opinions(v.detections, v.pages)
-
-
 def _zones(v):
-    return zones.headnote_zones(_opinions(v), v.detections, v.pages)
+    return zones.headnote_zones(v.opinions, v.det, v.pg)
 
 
 @query("src7_page_words", "SELECT doc_id, page_index, count(*) AS n_words, min(x0) AS x0, max(y1) AS y1 FROM wd GROUP BY ALL")
@@ -94,37 +90,37 @@ def _(v):
 
 @query("z1_zone_markers", "SELECT op.doc_id, op.opinion, start_id, end_id FROM op JOIN zmk USING (doc_id, opinion)")
 def _(v):
-    marked = zones.zone_markers(pairing.members(v.detections, v.pages, _opinions(v)))
+    marked = zones.zone_markers(pairing.members(v.det, v.pg, v.opinions))
     return marked.select("doc_id", "opinion", F.col("zone_start.det_id").alias("start_id"), F.col("zone_end.det_id").alias("end_id"))
 
 
 @query("z2_zone_end_of_sct", """SELECT z.doc_id, z.opinion, coalesce(s.det_id, end_id) AS end_id FROM zmk z LEFT JOIN memr s ON s.doc_id = z.doc_id AND s.opinion = z.opinion AND s.label_id = 13 AND s.nth = 1""")
 def _(v):
-    marked = zones.zone_markers(pairing.members(v.detections, v.pages, _opinions(v)), "S-Ct")
+    marked = zones.zone_markers(pairing.members(v.det, v.pg, v.opinions), "S-Ct")
     return marked.select("doc_id", "opinion", F.col("zone_end.det_id").alias("end_id"))
 
 
 @query("z3_zone_rects", "SELECT doc_id, opinion, page_index, side, x0, y0, x1, y1 FROM zr")
 def _(v):
-    o = _opinions(v)
-    return zones.zone_rects(o, zones.zone_markers(pairing.members(v.detections, v.pages, o)), v.detections, v.pages)
+    o = v.opinions
+    return zones.zone_rects(o, zones.zone_markers(pairing.members(v.det, v.pg, o)), v.det, v.pg)
 
 
 @query("z4_fallback_rects", "SELECT doc_id, opinion, page_index, side, x0, y0, x1, y1 FROM fb")
 def _(v):
-    o = _opinions(v)
-    m = pairing.members(v.detections, v.pages, o)
-    return zones.fallback_rects(o, zones.zone_markers(m), m, v.detections, v.pages)
+    o = v.opinions
+    m = pairing.members(v.det, v.pg, o)
+    return zones.fallback_rects(o, zones.zone_markers(m), m, v.det, v.pg)
 
 
 @query("z6_clipped_zones", "SELECT doc_id, opinion, page_index, side, x0, y0, x1, y1 FROM zc")
 def _(v):
-    return zones.clip_headnotes(_zones(v), v.words, v.detections, v.pages)
+    return zones.clip_headnotes(_zones(v), v.words, v.det, v.pg)
 
 
 @query("z9_page_number_rects", "SELECT * FROM pnr")
 def _(v):
-    return zones.page_number_rects(v.detections, v.words, v.pages)
+    return zones.page_number_rects(v.det, v.words, v.pg)
 
 
 _CUT = """list_reduce(list_transform(coalesce(pns, []), lambda z: [z]), lambda acc, p: flatten(list_transform(acc, lambda q: CASE WHEN q.x0 < p[1].x1 AND p[1].x0 < q.x1 AND q.y0 < p[1].y1 AND p[1].y0 < q.y1 THEN list_filter([
@@ -139,8 +135,8 @@ def protected(rects: str, keys: str) -> str:
 
 @query("j5_protected_headers", protected("SELECT doc_id, det_id, page_index, x0, y0, x1, y1 FROM pts WHERE label_id IN (2, 16)", "doc_id, det_id"))
 def _(v):
-    rects = layout.to_points(v.detections.where(F.col("label_id").isin(ID["PAGE_HEADER"], ID["TEXT_COLUMN"])), v.pages).select("doc_id", "det_id", "page_index", *E.RECT)
-    return zones.protect(rects, zones.page_number_rects(v.detections, v.words, v.pages), "doc_id", "det_id").select("doc_id", "det_id", "part", *E.RECT)
+    rects = layout.to_points(v.det.where(F.col("label_id").isin(ID["PAGE_HEADER"], ID["TEXT_COLUMN"])), v.pg).select("doc_id", "det_id", "page_index", *E.RECT)
+    return zones.protect(rects, zones.page_number_rects(v.det, v.words, v.pg), "doc_id", "det_id").select("doc_id", "det_id", "part", *E.RECT)
 
 
 @query("x9_case_sequence_rects", "SELECT doc_id, det_id, page_index, x0, y0, x1, y1 FROM cs")
@@ -173,7 +169,7 @@ _SKIP = "('HEADNOTE_BRACKET', 'STATE_ABBREVIATION')"
     UNION ALL SELECT c.doc_id, c.page_index, 'CASE_SEQUENCE', det_id, 0, x0 / sx, y0 / sy, x1 / sx, y1 / sy, 'black' FROM cs0 c JOIN pgf USING (doc_id, page_index) WHERE x0 < x1 AND y0 < y1 AND (doc_id, det_id) NOT IN (SELECT (doc_id, det_id) FROM exids)
     UNION ALL SELECT doc_id, page_index, 'KEY_ICON', det_id, 0, x1, y1, x2, y2, 'black' FROM ki WHERE (doc_id, det_id) NOT IN (SELECT (doc_id, det_id) FROM exids)) q WHERE x0 < x1 AND y0 < y1""")
 def _(v):
-    return zones.plan_precomputed(v.detections, v.pages, v.words, exclusions=v.exclusions, approvals=v.approvals)
+    return zones.plan_precomputed(v.det, v.pg, v.words, exclusions=v.exclusions, approvals=v.approvals)
 
 
 _FULL = f"""SELECT doc_id, page_index, 'headnote' AS type, opinion AS source, side, x0, y0, x1, y1, 'black' AS fill FROM zc
@@ -185,7 +181,7 @@ _FULL = f"""SELECT doc_id, page_index, 'headnote' AS type, opinion AS source, si
 
 @query("snk6_full_redaction_plan", protected(_FULL, "doc_id, page_index, type, source, side, fill"))
 def _(v):
-    return zones.plan_full(v.detections, v.pages, v.words)
+    return zones.plan_full(v.det, v.pg, v.words)
 
 
 _SPLIT = f"""SELECT doc_id, opinion, page_index, 'headnote' AS type, opinion AS source, side, x0, y0, x1, y1, 'black' AS fill FROM zc
@@ -198,7 +194,7 @@ _SPLIT = f"""SELECT doc_id, opinion, page_index, 'headnote' AS type, opinion AS
 
 @query("snk8_split_redaction_plan")
 def _(v):
-    return zones.plan_split(v.detections, v.pages, v.words)
+    return zones.plan_split(v.det, v.pg, v.words)
 
 
 SQL["snk8_split_redaction_plan"] = with_parts(protected(_SPLIT, "doc_id, opinion, page_index, type, source, side, fill"), use_background=False)
@@ -206,7 +202,7 @@ SQL["snk8_split_redaction_plan"] = with_parts(protected(_SPLIT, "doc_id, opinion
 
 @query("z4_reading_zones_without_background")
 def _(v):
-    return zones.headnote_zones(_opinions(v), v.detections, v.pages, use_background=False)
+    return zones.headnote_zones(v.opinions, v.det, v.pg, use_background=False)
 
 
 SQL["z4_reading_zones_without_background"] = with_parts("SELECT doc_id, opinion, page_index, side, x0, y0, x1, y1 FROM zn", use_background=False)
@@ -214,7 +210,7 @@ SQL["z4_reading_zones_without_background"] = with_parts("SELECT doc_id, opinion,
 
 def _doubled(v):
     """Footnotes and their slightly moved, less sure copies, as several models would give them."""
-    foot = v.detections.where(F.col("label_id") == ID["FOOTNOTES"])
+    foot = v.det.where(F.col("label_id") == ID["FOOTNOTES"])
     n = F.col("det_id")
     copies = foot.where("det_id % 2 = 0").withColumns({"det_id": n + 100000, "confidence": F.col("confidence") * 0.5, "x1": F.col("x1") + n % 40, "y1": F.col("y1") + n % 7, "x2": F.col("x2") + n % 90})
     return foot.unionByName(copies)
@@ -250,8 +246,8 @@ def _(v):
 
 @query("snk13_footnote_flow")
 def _(v):
-    clips = zones.footnote_clips(zones.footnotes_kept(v.detections), v.pages, v.words)
-    on = pairing.opinion_pages(_opinions(v), v.pages).select("doc_id", "opinion", "page_index")
+    clips = zones.footnote_clips(zones.footnotes_kept(v.det), v.pg, v.words)
+    on = pairing.opinion_pages(v.opinions, v.pg).select("doc_id", "opinion", "page_index")
     return grouped.flow_footnotes(clips.join(on, layout.PAGE))
 
 
@@ -264,7 +260,7 @@ def _(v):
 
 @query("z7_refined_lines")
 def _(v):
-    rects = zones.clip_headnotes(_zones(v), v.words, v.detections, v.pages)
+    rects = zones.clip_headnotes(_zones(v), v.words, v.det, v.pg)
     key = ("doc_id", "opinion", "page_index", "side")
     boxes = W.words_in_rects(rects, v.words).select(*key, F.col("word_no").alias("box_no"), *[((F.col(f"w{a}") - F.col(a[0] + "0")) * 200 / 72).alias(f"b{a}") for a in E.RECT])
     return grouped.refine_to_lines(rects, boxes, *key)

@@ -12,6 +12,9 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quirework.functions.session import staged
+from quirework.operators.pairing import pair_opinions
+
 PAGES_IN_VOLUME = 40
 
 DETECTIONS = """
@@ -117,6 +120,19 @@ class Views:
     def pages(self) -> DataFrame:
         return self.spark.sql(PAGES, lineitem=self.table("lineitem"))
 
+    @cached_property
+    def det(self) -> DataFrame:
+        """Detections as a stored table, for plans that read them several times."""
+        return staged(self.detections, "detections")
+
+    @cached_property
+    def pg(self) -> DataFrame:
+        return staged(self.pages, "pages")
+
+    @cached_property
+    def opinions(self) -> DataFrame:
+        return staged(pair_opinions(self.det, self.pg), "opinions")
+
     @cached_property
     def readings(self) -> DataFrame:
         return self.spark.sql(READINGS, events=self.table("events"))
