@@ -56,7 +56,9 @@ PARTS: dict[str, str] = {
         FROM pgf p LEFT JOIN det d ON d.doc_id = p.doc_id AND d.page_index = p.page_index AND label_id IN (2, 4, 8, 9) GROUP BY p.doc_id, p.page_index""",
     "cb": """SELECT doc_id, page_index, arg_min({'a': x0, 'z': x1}, ((x0 + x1) / 2, det_id)) AS l, arg_max({'a': x0, 'z': x1}, ((x0 + x1) / 2, det_id)) AS r FROM pts WHERE label_id = 16 GROUP BY doc_id, page_index HAVING count(*) >= 2""",
     "cbb": "SELECT doc_id, page_index, l.a AS left_x0, l.z AS left_x1, r.a AS right_x0, r.z AS right_x1, (l.z + r.a) / 2 AS boundary FROM cb",
-    "mk0": "SELECT *, x2 - x1 AS w, y2 - y1 AS h FROM fine WHERE label_id IN (0, 3)",
+    "exids": "SELECT DISTINCT d.doc_id, d.det_id FROM det d JOIN excl e ON e.doc_id = d.doc_id AND e.page_index = d.page_index AND e.label_id = d.label_id AND abs(round_even(x1, 0) - e.x) <= 10 AND abs(round_even(y1, 0) - e.y) <= 10",
+    "apids": "SELECT DISTINCT d.doc_id, d.det_id FROM det d JOIN appr e ON e.doc_id = d.doc_id AND e.page_index = d.page_index AND e.label_id = d.label_id AND abs(round_even(x1, 0) - e.x) <= 10 AND abs(round_even(y1, 0) - e.y) <= 10",
+    "mk0": "SELECT *, x2 - x1 AS w, y2 - y1 AS h FROM fine WHERE label_id IN (0, 3){EXCLUDED}",
     "mkst": """SELECT doc_id, count(*) AS nk, count(CASE WHEN confidence >= 0.9 THEN 1 END) AS nh, median(w) AS aw, median(h) AS ah,
         median(CASE WHEN confidence >= 0.9 THEN w END) AS hw, median(CASE WHEN confidence >= 0.9 THEN h END) AS hh FROM mk0 WHERE label_id = 0 GROUP BY doc_id""",
     "mk1": """SELECT m.*, CASE WHEN (x1 + x2) / 2 < doc_mid THEN 0 ELSE 1 END::BIGINT AS col, CASE WHEN label_id = 3 THEN 0 ELSE 1 END AS k
@@ -120,8 +122,6 @@ PARTS: dict[str, str] = {
         median(CASE WHEN confidence >= 0.9 THEN x2 - x1 END) AS hw, median(CASE WHEN confidence >= 0.9 THEN y2 - y1 END) AS hh FROM det WHERE label_id = 0 GROUP BY doc_id, page_index""",
     "ki": """SELECT d.* FROM (SELECT det.*, x2 - x1 AS w, y2 - y1 AS h, nk, CASE WHEN nh >= 2 THEN hw ELSE aw END AS mw, CASE WHEN nh >= 2 THEN hh ELSE ah END AS mh FROM det JOIN kist USING (doc_id, page_index) WHERE label_id = 0) d
         WHERE CASE WHEN h > 0 THEN w / h ELSE 0 END BETWEEN 1.5 AND 4.0 AND (nk < 2 OR confidence >= 0.9 OR (abs(w - mw) / mw <= 0.4 AND abs(h - mh) / mh <= 0.4)) AND confidence >= 0.5""",
-    "exids": "SELECT DISTINCT d.doc_id, d.det_id FROM det d JOIN excl e ON e.doc_id = d.doc_id AND e.page_index = d.page_index AND e.label_id = d.label_id AND abs(round_even(x1, 0) - e.x) <= 10 AND abs(round_even(y1, 0) - e.y) <= 10",
-    "apids": "SELECT DISTINCT d.doc_id, d.det_id FROM det d JOIN appr e ON e.doc_id = d.doc_id AND e.page_index = d.page_index AND e.label_id = d.label_id AND abs(round_even(x1, 0) - e.x) <= 10 AND abs(round_even(y1, 0) - e.y) <= 10",
     "exr": """SELECT doc_id, CASE WHEN doc_id % 3 <> 0 THEN 1 END::BIGINT AS exp_start, CASE WHEN doc_id % 3 <> 0 THEN max(pdf_page) END AS exp_end FROM rd GROUP BY doc_id""",
     "sq": """SELECT *, coalesce(num < 1 OR (exp_start IS NOT NULL AND exp_end IS NOT NULL AND (num < exp_start - 5 OR num > exp_end + 5)), false) AS oor
         FROM (SELECT rd.*, exp_start, exp_end, CASE WHEN detected IS NOT NULL AND coalesce(type, '') <> 'range' THEN TRY_CAST(detected AS BIGINT) END AS num FROM rd LEFT JOIN exr USING (doc_id)) q""",
@@ -161,17 +161,21 @@ PARTS: dict[str, str] = {
 }
 
 
-def with_parts(sql: str, use_background: bool = True) -> str:
-    """``sql`` with the parts it names, and those they name, put before it."""
+def with_parts(sql: str, use_background: bool = True, excluded: bool = False) -> str:
+    """``sql`` with the parts it names, and those they name, put before it.
+
+    Zones start at a background only with ``use_background``; markers leave out the excluded with ``excluded``.
+    """
     used: set[str] = set()
+    without = " AND (doc_id, det_id) NOT IN (SELECT (doc_id, det_id) FROM exids)" if excluded else ""
 
     def need(text: str) -> None:
         for name in PARTS:
             if name not in used and re.search(rf"\b{name}\b", text):
                 used.add(name)
-                need(PARTS[name])
+                need(PARTS[name].replace("{EXCLUDED}", without))
 
     need(sql)
     flag = "(start_id IS NOT NULL)" if use_background else "false"
     heads = [f"{name} AS MATERIALIZED ({PARTS[name]})" for name in PARTS if name in used]
-    return ("WITH " + ",\n".join(heads) + "\n" + sql if heads else sql).replace("{BG}", flag)
+    return ("WITH " + ",\n".join(heads) + "\n" + sql if heads else sql).replace("{BG}", flag).replace("{EXCLUDED}", without)

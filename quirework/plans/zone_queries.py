@@ -159,7 +159,7 @@ _OWN = "FROM det d JOIN dim USING (label_id) JOIN pgf USING (doc_id, page_index)
 _SKIP = "('HEADNOTE_BRACKET', 'STATE_ABBREVIATION')"
 
 
-@query("z8_redaction_rects", f"""SELECT * FROM (
+_PRECOMPUTED = f"""SELECT * FROM (
     SELECT z.doc_id, z.page_index, 'headnote' AS type, z.opinion AS source, z.side, (CASE WHEN edge IS NULL THEN z.x0 WHEN lf THEN tl ELSE greatest(tl, edge) END) / sx AS x0, greatest(z.y0, header_bottom) / sy AS y0,
       (CASE WHEN edge IS NULL THEN z.x1 WHEN lf THEN least(tr, edge) ELSE tr END) / sx AS x1, least(z.y1, footer_top, tb) / sy AS y1, 'black' AS fill
     FROM (SELECT zn2.*, (rx0 + rx1) / 2 < midpoint * sx AS lf, sx, sy FROM zn2 JOIN pgf USING (doc_id, page_index)) z JOIN mb USING (doc_id, page_index) LEFT JOIN ({_EDGE}) e ON e.doc_id = z.doc_id AND e.page_index = z.page_index
@@ -167,11 +167,17 @@ _SKIP = "('HEADNOTE_BRACKET', 'STATE_ABBREVIATION')"
     UNION ALL SELECT t.doc_id, t.page_index, label, det_id, 0, x0 / sx, y0 / sy, x1 / sx, y1 / sy, fill FROM tight t JOIN dim USING (label_id) JOIN pgf USING (doc_id, page_index) WHERE fill IS NOT NULL AND label NOT IN {_SKIP}
       AND (confidence >= min_conf OR (doc_id, det_id) IN (SELECT (doc_id, det_id) FROM apids)) AND (doc_id, det_id) NOT IN (SELECT (doc_id, det_id) FROM exids)
     UNION ALL SELECT c.doc_id, c.page_index, 'CASE_SEQUENCE', det_id, 0, x0 / sx, y0 / sy, x1 / sx, y1 / sy, 'black' FROM cs0 c JOIN pgf USING (doc_id, page_index) WHERE x0 < x1 AND y0 < y1 AND (doc_id, det_id) NOT IN (SELECT (doc_id, det_id) FROM exids)
-    UNION ALL SELECT doc_id, page_index, 'KEY_ICON', det_id, 0, x1, y1, x2, y2, 'black' FROM ki WHERE (doc_id, det_id) NOT IN (SELECT (doc_id, det_id) FROM exids)) q WHERE x0 < x1 AND y0 < y1""")
+    UNION ALL SELECT doc_id, page_index, 'KEY_ICON', det_id, 0, x1, y1, x2, y2, 'black' FROM ki WHERE (doc_id, det_id) NOT IN (SELECT (doc_id, det_id) FROM exids)) q WHERE x0 < x1 AND y0 < y1"""
+
+
+@query("z8_redaction_rects")
 def _(v):
     return zones.plan_precomputed(v.det, v.pg, v.words, exclusions=v.exclusions, approvals=v.approvals)
 
 
+SQL["z8_redaction_rects"] = with_parts(_PRECOMPUTED, excluded=True)
+
+
 _FULL = f"""SELECT doc_id, page_index, 'headnote' AS type, opinion AS source, side, x0, y0, x1, y1, 'black' AS fill FROM zc
     UNION ALL SELECT t.doc_id, t.page_index, label, det_id, 0, x0, y0, x1, y1, fill FROM tight t JOIN dim USING (label_id) WHERE fill IS NOT NULL AND label NOT IN {_SKIP} AND confidence >= min_conf
     UNION ALL SELECT t.doc_id, t.page_index, label, det_id, 0, x0, y0, x1, y1, fill FROM pts t JOIN dim USING (label_id) WHERE label IN {_SKIP} AND confidence >= min_conf
