@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 from quirework.functions import expressions as E
 from quirework.functions.session import staged
 
-VOLUME = Window.partitionBy("doc_id").orderBy("pdf_page")
+def _volume():
+    return Window.partitionBy("doc_id").orderBy("pdf_page")
+
+
 SLACK = 5
 
 
@@ -42,7 +45,7 @@ def auto_correct(d: DataFrame) -> DataFrame:
     zero; of equally frequent ones the first in page order counts.
     """
     good = F.when(F.col("num").isNotNull() & ~F.col("out_of_range"), F.struct("pdf_page", "num"))
-    before, after = VOLUME.rowsBetween(Window.unboundedPreceding, -1), VOLUME.rowsBetween(1, Window.unboundedFollowing)
+    before, after = _volume().rowsBetween(Window.unboundedPreceding, -1), _volume().rowsBetween(1, Window.unboundedFollowing)
     near = d.withColumns({"b": F.last(good, ignorenulls=True).over(before), "a": F.first(good, ignorenulls=True).over(after)})
     pages_between = F.greatest(F.col("a.pdf_page") - F.col("b.pdf_page"), F.lit(1))
     both = F.bround(F.col("b.num") + (F.col("a.num") - F.col("b.num")) / pages_between * (F.col("pdf_page") - F.col("b.pdf_page")), 0).cast("long")
@@ -58,7 +61,7 @@ def auto_correct(d: DataFrame) -> DataFrame:
 def expected_numbers(d: DataFrame) -> DataFrame:
     """What the neighbours of every reading out of range lead to expect: doc_id, pdf_page, num, expected."""
     good = F.when(F.col("num").isNotNull() & ~F.col("out_of_range"), F.struct("pdf_page", "num"))
-    before, after = VOLUME.rowsBetween(Window.unboundedPreceding, -1), VOLUME.rowsBetween(1, Window.unboundedFollowing)
+    before, after = _volume().rowsBetween(Window.unboundedPreceding, -1), _volume().rowsBetween(1, Window.unboundedFollowing)
     near = d.withColumns({"b": F.last(good, ignorenulls=True).over(before), "a": F.first(good, ignorenulls=True).over(after)}).where("out_of_range")
     both = F.bround(F.col("b.num") + (F.col("a.num") - F.col("b.num")) / F.greatest(F.col("a.pdf_page") - F.col("b.pdf_page"), F.lit(1)) * (F.col("pdf_page") - F.col("b.pdf_page")), 0).cast("long")
     expected = F.when(F.col("b").isNotNull() & F.col("a").isNotNull(), both).when(F.col("b").isNotNull(), F.col("b.num") + F.col("pdf_page") - F.col("b.pdf_page")).otherwise(F.col("a.num") - F.col("a.pdf_page") + F.col("pdf_page"))
@@ -72,7 +75,7 @@ def sequence_issues(d: DataFrame) -> DataFrame:
     step of two is no gap here: the page between counts as missing elsewhere.
     """
     reset = F.col("detected").isNull() | (F.coalesce(F.col("type"), F.lit("")) == "range")
-    d = d.withColumn("island", F.sum(F.when(reset, 1).otherwise(0)).over(VOLUME)).where("num IS NOT NULL AND NOT out_of_range")
+    d = d.withColumn("island", F.sum(F.when(reset, 1).otherwise(0)).over(_volume())).where("num IS NOT NULL AND NOT out_of_range")
     by = Window.partitionBy("doc_id", "island").orderBy("pdf_page")
     d = d.withColumns({"prev_num": F.lag("num").over(by), "prev_pdf": F.lag("pdf_page").over(by)})
     step = F.col("num") - F.col("prev_num")
@@ -120,7 +123,7 @@ def page_map(d: DataFrame, missing: DataFrame) -> DataFrame:
     m = d.select("doc_id", "pdf_page", F.coalesce(logical, F.col("pdf_page")).alias("logical_number"), F.when(is_range, F.col("detected")).alias("range_label"))
     first = Window.partitionBy("doc_id", "logical_number", F.col("range_label").isNull()).orderBy("pdf_page")
     m = m.withColumn("duplicate", F.col("range_label").isNull() & (F.row_number().over(first) > 1))
-    order = F.row_number().over(VOLUME).cast("long")
+    order = F.row_number().over(_volume()).cast("long")
     m = m.withColumn("pos", order)
     ends = m.groupBy("doc_id").agg((F.max("pos") + 1).alias("end"))
     ahead = missing.alias("g").join(m.alias("e"), (F.col("g.doc_id") == F.col("e.doc_id")) & (F.col("e.logical_number") > F.col("g.page")) & ~F.col("e.duplicate"), "left")
