@@ -8,7 +8,6 @@ the last returns the columns of documents. A stage on an empty table returns an
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quirework.llm import bpe, decontaminate, secrets, simhash, toxicity
 from quirework.llm.session import fresh_path, materialize, table
@@ -17,8 +16,7 @@ from quirework.shipping import ship_package
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    grader = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.grade(docs, grader, keep=tuple(docs.columns)).where(~F.col("toxic")).select(*docs.columns)
+    return toxicity.keep_clean(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -114,22 +114,24 @@ def scan_versions(df: DataFrame, ledger: str, rules: str = RULES_VERSION, text_c
 
 
 def mask_secrets(df: DataFrame, ledger: str, rules: str = RULES_VERSION, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``df`` scanned by way of ``ledger``, every span of ``text_col`` replaced by ``[kind]``; overlapping spans go together under the first one's kind."""
-    names = df.columns
-    at = names.index(text_col)
-    found = scan_versions(df, ledger, rules, text_col, id_col).where("spans <> ''").select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")).dropDuplicates(["_blob"])
-    joined = df.withColumn("_blob", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).join(found, "_blob", "left").select(*names, "_spans")
+    """``df`` scanned by way of ``ledger``, every span of ``text_col`` replaced by ``[kind]``; overlapping spans go together under the first one's kind.
+
+    All columns stay, whatever their names; null texts stay null.
+    """
+    found = scan_versions(df, ledger, rules, text_col, id_col).where("spans <> ''").select("blob", "spans").dropDuplicates(["blob"])
+    packed = df.select(F.struct(*df.columns).alias("row"), F.col(text_col).alias("text"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("blob"))
+    joined = packed.join(found, "blob", "left").select("row", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in text_slices(whole, text_col):
-                columns = list(b.columns[:-1])
-                if b.column(len(names)).null_count < b.num_rows:
-                    texts = [t if s is None else masked(t, s) for t, s in zip(columns[at].to_pylist(), b.column(len(names)).to_pylist())]
-                    columns[at] = pa.array(texts, pa.string())
-                yield pa.RecordBatch.from_arrays(columns, names)
-
-    return joined.mapInArrow(run, df.schema)
+            for b in text_slices(whole, "text"):
+                texts = b.column(1)
+                if b.column(2).null_count < b.num_rows:
+                    texts = pa.array([t if s is None else masked(t, s) for t, s in zip(texts.to_pylist(), b.column(2).to_pylist())], pa.string())
+                yield pa.RecordBatch.from_arrays([b.column(0), texts], ["row", "text"])
+
+    done = joined.mapInArrow(run, joined.select("row", "text").schema)
+    return done.select(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in df.columns])
 
 
 def masked(text: str, spans: str) -> str:

@@ -163,16 +163,15 @@ def _classes(marked: DataFrame, budget: int, id_col: str, max_bucket: int) -> Da
 
 
 def one_of_each(df: DataFrame, shingle_words: int = 3, budget: int = 2, text_col: str = "text", id_col: str = "doc_id", max_bucket: int = MAX_BUCKET) -> DataFrame:
-    """One row of ``df`` for each component: that of its smallest id, and one that has no id where none has."""
-    columns = df.columns
-    marked = fingerprints(df, shingle_words, text_col, (*columns,)).withColumnRenamed("fp", "_fp")
-    marked = materialize(marked, "fingerprinted")
-    classes = _classes(marked.select(F.col(id_col), F.col("_fp").alias("fp")), budget, id_col, max_bucket)
+    """One row of ``df`` for each component: that of its smallest id, and one that has no id where none has. All columns stay, whatever their names."""
+    packed = df.select(F.struct(*df.columns).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    marked = materialize(fingerprints(packed, shingle_words, "text", ("row", "id")), "fingerprinted")
+    classes = _classes(marked.select("id", "fp"), budget, "id", max_bucket)
     # The smallest of the fingerprints that the smallest id has, so one of repeated ids is taken as well.
-    chosen = classes.where(F.col("least").eqNullSafe(F.col("component_id"))).groupBy("part", F.col("component_id").alias("_chosen")).agg(F.min("fp").alias("_fp"))
-    joined = marked.join(chosen.select("_fp", "_chosen"), (marked["_fp"] == chosen["_fp"]) & marked[id_col].eqNullSafe(chosen["_chosen"]), "left_semi")
+    chosen = classes.where(F.col("least").eqNullSafe(F.col("component_id"))).groupBy("part", F.col("component_id").alias("chosen")).agg(F.min("fp").alias("fp")).select("fp", "chosen")
+    joined = marked.join(chosen, (marked["fp"] == chosen["fp"]) & marked["id"].eqNullSafe(chosen["chosen"]), "left_semi")
     # Rows of one id and fingerprint: repeated ones, or near copies under one id.
-    return joined.dropDuplicates([id_col, "_fp"]).select(*columns)
+    return joined.dropDuplicates(["id", "fp"]).select("row.*")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -181,6 +181,19 @@ def grade(df: DataFrame, grader: Grader, text_col: str = "text", keep: tuple[str
     return source.mapInArrow(run, schema)
 
 
+def keep_clean(df: DataFrame, grader: Grader, text_col: str = "text", toxic_from: float = TOXIC_FROM) -> DataFrame:
+    """The rows of ``df`` that are not toxic, all columns as they are."""
+    shipped = df.sparkSession.sparkContext.broadcast(grader)
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in text_slices(whole, text_col):
+                yield b.filter(pa.array(shipped.value.exceed(b.column(at))[:, 0] < toxic_from))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return grade(docs, train(docs, table(spark, sf_dir, "labels")))
