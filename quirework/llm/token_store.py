@@ -12,6 +12,7 @@ Null and empty texts hold the end id alone. Other columns are not stored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -28,36 +29,65 @@ from quirework.llm.session import fresh_path, materialize, table
 from quirework.llm.textvec import text_slices
 
 SHARD_BYTES = 8 << 20
-#: Words cached by a worker, and the longest that is.
-CACHE_WORDS, CACHE_CHARS = 400_000, 40
+#: Words and pieces of words cached by a worker, and the longest that is.
+CACHE_WORDS, CACHE_PIECES, CACHE_CHARS = 600_000, 400_000, 40
 MAX_VOCABULARY_BYTES = 64 << 20
 _HEAD = struct.Struct("<4sBQQq")
-_SPACES = re.compile(r"[\s\x00][\s\x00]|\x00")
 _CUT = re.compile(r"(?<=\w)(?=[ \n])")
+#: How the byte-level tokenizer splits a text (fixed pattern).
+_PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Beyond this character classes may differ between Unicode versions, so the library splits.
+_STABLE_BELOW = "\u0500"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in the vocabulary: printable ones for themselves, the others from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
+
+
+class _Filled(dict):
+    """A dictionary that makes what it lacks."""
+
+    def __init__(self, make):
+        self._make = make
+
+    def __missing__(self, key):
+        return self._make(key)
 
 
 class CachedTokenizer:
-    """A byte-level tokenizer of the tokenizers library with a bounded cache of words.
+    """A byte-level tokenizer of the tokenizers library with bounded caches of words and of their pieces.
 
     The splitting pattern always ends a match between a non-blank and the blank after it,
-    so ids of a text are those of its parts between such places, put together.
+    so ids of a text are those of its parts between such places, put together. A part not yet
+    seen is split by the same pattern and its pieces go to the library's BPE model; what is odd
+    (long, of rare scripts, with runs of blanks) goes to the library's encoder whole.
     """
 
     def __init__(self, vocabulary: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_buffer(vocabulary)
         self._tokenizer.encode_special_tokens = True
-        self.width = 2 if self._tokenizer.get_vocab_size(True) <= 1 << 16 else 4
+        size = self._tokenizer.get_vocab_size(True)
+        self.width = 2 if size <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
-        vocabulary_size = self._tokenizer.get_vocab_size(True)
-        self._sizes = np.array([len(self._tokenizer.id_to_token(i) or "") for i in range(vocabulary_size)])  # in bytes, one character each
-        self._known: dict[str, bytes] = {}
+        told = json.loads(vocabulary)
+        pre = told.get("pre_tokenizer") or {}
+        self._simple = told.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+        self._tokenize, self._split = self._tokenizer.model.tokenize, regex.compile(_PIECE).findall
+        self._letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
+        self._packed = [i.to_bytes(self.width, "little") for i in range(size)]
+        self._words, self._pieces = _Filled(self._word), _Filled(self._piece)
 
     @staticmethod
     def parts(text: str) -> list[str]:
-        if _SPACES.search(text):
+        # So many words as single blanks and line feeds call for: none stand together, and no other white space is there.
+        if "\0" in text or len(text.split()) != text.count(" ") + text.count("\n") + 1:
             out, at = [], 0
             for m in _CUT.finditer(text):
                 out.append(text[at : m.start()])
@@ -65,36 +95,34 @@ class CachedTokenizer:
             return [*out, text[at:]]
         return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
 
-    def _together(self, words: list[str]) -> list[bytes]:
-        """Ids of each word, from one call over all: each starts with a blank that follows a non-blank."""
-        if not words:
-            return []
-        spaced = [w if w[0] in " \n" else "\n" + w for w in words]
-        ids = np.array(self._tokenizer.encode("".join(spaced), add_special_tokens=False).ids, dtype=self.kind)
-        ends = np.concatenate([[0], np.cumsum(self._sizes[ids])])
-        stops = np.cumsum([len(w.encode()) for w in spaced])
-        added = np.array([len(a) - len(w) for a, w in zip(spaced, words)])  # a line feed is one id
-        at = np.searchsorted(ends, np.concatenate([[0], stops]))
-        raw, width = ids.tobytes(), self.width
-        return [raw[a * width : z * width] for a, z in zip((at[:-1] + added).tolist(), at[1:].tolist())]
+    def _piece(self, piece: str) -> bytes:
+        letters = (piece if piece.isascii() else piece.encode().decode("latin-1")).translate(self._letters)
+        packed = self._packed
+        made = b"".join([packed[t.id] for t in self._tokenize(letters)])
+        self._pieces[piece] = made
+        return made
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a part; kept if it is short and begins with one blank at most."""
+        if not word:
+            return b""
+        first, last = word[0], word[-1]
+        if len(word) > CACHE_CHARS or not self._simple or last.isspace() or "  " in word or first not in " \n" and first.isspace() or not (word.isascii() or max(word) < _STABLE_BELOW):
+            return np.array(self._tokenizer.encode(word, add_special_tokens=False).ids, dtype=self.kind).tobytes()
+        pieces = self._split(word)
+        made = self._pieces[pieces[0]]
+        for p in pieces[1:]:
+            made += self._pieces[p]
+        self._words[word] = made
+        return made
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        known = self._known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        split = [self.parts(t) for t in texts]
-        unseen = set().union(*split).difference(known)
-        plain = [p for p in unseen if p and len(p) <= CACHE_CHARS and not p[-1].isspace() and (p[0] in " \n" or not p[0].isspace())]
-        for at in range(0, len(plain), 4096):
-            some = plain[at : at + 4096]
-            known.update(zip(some, self._together(some)))
-        odd = [p for p in unseen if p not in known]
-        for p, e in zip(odd, self._tokenizer.encode_batch(odd, add_special_tokens=False)):
-            known[p] = np.array(e.ids, dtype=self.kind).tobytes()
-        out = [b"".join(map(known.__getitem__, parts)) for parts in split]
-        for p in odd:
-            del known[p]
-        return out
+        if len(self._words) > CACHE_WORDS:
+            self._words.clear()
+        if len(self._pieces) > CACHE_PIECES:
+            self._pieces.clear()
+        get = self._words.__getitem__
+        return [b"".join(map(get, self.parts(t))) for t in texts]
 
 
 _tokenizers: dict[int, CachedTokenizer] = {}
