@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from quirework.functions import names as N
 from quirework.functions.labels import ID
-from quirework.operators import layout, pairing, words as W
-from quirework.plans import layout_queries
+from quirework.operators import layout, outputs, pairing, words as W, zones
+from quirework.plans import layout_queries, zone_queries
 from quirework.plans.common import query
 from quirework.sources import sidecars as J
 
@@ -133,3 +133,30 @@ def _(v):
     fine = layout.with_labels(layout.confident(v.detections.where(F.col("label_id").isin(ID["DIVIDER"], ID["HEADNOTE_BRACKET"]))))
     rects = layout.to_points(fine, v.pages)
     return W.tighten(rects, v.words, "doc_id", "det_id").select("doc_id", "det_id", "label", "x0", "y0", "x1", "y1")
+
+
+_PAGE_RECTS = f"""SELECT ki.doc_id, ki.page_index, 'KEY_ICON' AS type, x1 * sx AS x0, y1 * sy AS y0, x2 * sx AS x1, y2 * sy AS y1, 'black' AS fill FROM ki JOIN pgf ON pgf.doc_id = ki.doc_id AND pgf.page_index = ki.page_index
+    UNION ALL SELECT doc_id, page_index, 'margin', s.x0, s.y0, s.x1, s.y1, 'white' FROM ({zone_queries._MARGINS}) m WHERE s IS NOT NULL"""
+
+
+@query("snk10_generate_plan", f"""SELECT 'full' AS mode, doc_id, NULL::BIGINT AS opinion, page_index, type, x0, y0, x1, y1, fill FROM ({_PAGE_RECTS}) a
+    UNION ALL SELECT 'redacted', oppg.doc_id, opinion, oppg.page_index, type, b.x0, b.y0, b.x1, b.y1, b.fill FROM oppg JOIN ({_PAGE_RECTS}) b ON b.doc_id = oppg.doc_id AND b.page_index = oppg.page_index
+    UNION ALL SELECT 'redacted', doc_id, opinion, page_index, 'outside', r.x0, r.y0 + 3, r.x1, r.y1, 'white' FROM ({layout_queries.OUTSIDE}) c WHERE r.y0 + 3 < r.y1
+    UNION ALL SELECT 'unredacted', doc_id, opinion, page_index, 'outside', r.x0, r.y0, r.x1, r.y1, 'white' FROM ({layout_queries.OUTSIDE}) d""")
+def _(v):
+    icons = zones.key_icon_rects(v.det, v.pg).select(*layout.PAGE, F.lit("KEY_ICON").alias("type"), "x0", "y0", "x1", "y1", F.lit("black").alias("fill"))
+    margins = W.margin_rects(W.page_text_bounds(v.blocks)).select(*layout.PAGE, F.lit("margin").alias("type"), "x0", "y0", "x1", "y1", F.lit("black").alias("fill"))
+    return outputs.generate_plan(v.opinions, pairing.outside_rects(v.det, v.pg, v.opinions), icons.unionByName(margins))
+
+
+@query("snk7_stored_rects_in_points", """SELECT d.doc_id, d.page_index, det_id, x1 * sx AS x0, y1 * sy AS y0, x2 * sx AS x1, y2 * sy AS y1, CASE WHEN det_id % 2 = 0 THEN 'black' ELSE 'white' END AS fill FROM det d JOIN pgf USING (doc_id, page_index) WHERE label_id IN (1, 5, 9)""")
+def _(v):
+    fill = F.when(F.col("det_id") % 2 == 0, "black").otherwise("white")
+    rects = v.detections.where(F.col("label_id").isin(1, 5, 9)).select("doc_id", "page_index", "det_id", F.col("x1").alias("x0"), F.col("y1").alias("y0"), F.col("x2").alias("x1"), F.col("y2").alias("y1"), fill.alias("fill"))
+    return outputs.stored_rects_in_points(rects, v.pages)
+
+
+@query("snk7_scan_names", """SELECT doc_id, 'vol.' || doc_id || '.' || coalesce(nullif(a, 0), 1) || '.' || CASE WHEN coalesce(z, 0) <> 0 THEN coalesce(nullif(ze, 0), z) ELSE n END || '.redacted.pdf' AS file_name
+    FROM (SELECT doc_id, arg_min({'v': page_number}, page_index).v AS a, arg_max({'v': page_number}, page_index).v AS z, arg_max({'v': page_number_end}, page_index).v AS ze, count(*) AS n FROM pg GROUP BY doc_id) q""")
+def _(v):
+    return outputs.scan_names(v.pages)

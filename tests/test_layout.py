@@ -174,3 +174,27 @@ def test_split_ranges(spark):
     d = spark.createDataFrame([(1, 10), (2, 2)], "doc_id long, page_count long")
     got = layout.split_page_ranges(d, 4).orderBy("doc_id", "chunk").collect()
     assert [(r.page_start, r.page_end) for r in got] == [(0, 3), (3, 6), (6, 9), (9, 10), (0, 1), (1, 2)]
+
+
+def test_whole_run(spark):
+    from quirework.plans import volumes
+
+    d = det(spark, [*COLUMNS, (0, "CASE_CAPTION", 100, 300, 500, 400), (0, "HEADNOTE", 100, 500, 400, 600), (0, "DIVIDER", 100, 700, 400, 710), (1, "KEY_ICON", 100, 500, 160, 530)])
+    p = pages(spark, 2)
+    words = spark.createDataFrame([(1, 0, 0, 40.0, 190.0, 60.0, 200.0, "w")], "doc_id long, page_index long, word_no long, x0 double, y0 double, x1 double, y1 double, word string")
+    blocks = spark.createDataFrame([(1, 0, 0, 50.0, 50.0, 500.0, 700.0, "text", 0)], "doc_id long, page_index long, block_no long, x0 double, y0 double, x1 double, y1 double, text string, block_type long")
+    run = volumes.process(d, p, words, blocks)
+    assert [r.file_name for r in run["opinions"].collect()] == ["vol.1.0001-0002.pdf"]
+    assert {r.type for r in run["redaction_rects"].collect()} == {"headnote", "DIVIDER", "KEY_ICON"}
+    assert {r["mode"] for r in run["output_plan"].collect()} == {"full", "redacted", "unredacted"}
+    assert run["margin_rects"].count() == 4 and run["stamps"].count() == 1 and run["scan_names"].first().file_name == "vol.1.1.2.redacted.pdf"
+
+
+def test_arriving_volumes(spark, tmp_path):
+    from quirework.streaming.arriving import detection_stream, pair_arriving
+
+    d = det(spark, [(0, "CASE_CAPTION", 100, 100, 400, 150), (1, "KEY_ICON", 100, 500, 160, 530)])
+    d.write.parquet(f"{tmp_path}/in/a")
+    q = pair_arriving(detection_stream(spark, f"{tmp_path}/in/*"), pages(spark, 2), f"{tmp_path}/out", f"{tmp_path}/ck")
+    q.awaitTermination(120)
+    assert [(r.caption_page, r.key_page) for r in spark.read.parquet(f"{tmp_path}/out").collect()] == [(0, 1)]
