@@ -1,7 +1,9 @@
 """Toxicity grades by cumulative-link ordinal regression over sparse text features.
 
-Features of a text are its distinct words (A-Z lower-cased) and the distinct beginnings of
-4 to 7 bytes of its longer words, hashed to 64 bits, so a stem tells as much as a word.
+Features of a text are its words (A-Z lower-cased) and the beginnings of 4 to 7 bytes of its
+longer words, hashed to 64 bits, so a stem tells as much as a word. A feature's value is its
+share of the text's words, 1 from a share of ``1 / FULL_SHARE`` on; texts of fewer than
+``LEAST_WORDS`` words count as that long. So one chance hit in a long text weighs little.
 Grades: 0 for rows labelled clean; rows labelled toxic get 1, 2 or 3 by the tercile of their
 evidence (the summed log odds of the features that speak for toxicity). One weight vector is
 shared by the thresholds between grades: P(grade > k) = sigmoid(w.x - cut_k) with ascending
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm.session import table
+from quirework.llm.session import materialize, table
 from quirework.llm.textvec import SpanHasher, column_bytes, text_slices, word_bounds
 
 MAX_LABELLED = 3000
@@ -31,17 +33,18 @@ MAX_FEATURES = 2048
 MIN_Z = 5.0
 GRADES = 4
 PREFIXES = (4, 5, 6, 7)
+FULL_SHARE, LEAST_WORDS = 50, 100
 #: A text is toxic from this probability of a grade above 0 on.
 TOXIC_FROM = 0.5
 _WHOLE = np.uint64(0xA0761D6478BD642F)
 
 
-def _features(buf: np.ndarray, offs: np.ndarray, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text number, feature) pairs; with ``wanted`` (sorted), those whose feature is among them, by position."""
+def _features(buf: np.ndarray, offs: np.ndarray, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text number, feature and value, sorted and distinct; with ``wanted`` (sorted), features among them, by position."""
     starts, ends, firsts = word_bounds(buf, offs)
     n = len(offs) - 1
     if not len(starts):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.float32)
     doc = np.repeat(np.arange(n), np.diff(firsts))
     spans = SpanHasher(buf)
     sieve = None
@@ -65,11 +68,13 @@ def _features(buf: np.ndarray, offs: np.ndarray, wanted: np.ndarray | None = Non
         feats.append(h)
     d, h = np.concatenate(docs), np.concatenate(feats)
     if not len(d):
-        return d, h
+        return d, h, np.zeros(0, np.float32)
     order = np.lexsort((h, d))
     d, h = d[order], h[order]
-    new = np.concatenate([[True], (d[1:] != d[:-1]) | (h[1:] != h[:-1])])
-    return d[new], h[new]
+    new = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (h[1:] != h[:-1])]))
+    times, d, h = np.diff(np.append(new, len(d))), d[new], h[new]
+    length = np.maximum(np.diff(firsts), LEAST_WORDS)
+    return d, h, np.minimum(1, FULL_SHARE * times / length[d]).astype(np.float32)
 
 
 class Grader:
@@ -83,13 +88,13 @@ class Grader:
         if not len(self.cuts):
             return np.zeros((len(array), GRADES - 1))
         buf, offs = column_bytes(array)
-        doc, at = _features(buf, offs, self.features)
-        score = np.bincount(doc, self.weights[at.astype(np.int64)], minlength=len(array))
+        doc, at, value = _features(buf, offs, self.features)
+        score = np.bincount(doc, self.weights[at.astype(np.int64)] * value, minlength=len(array))
         return 1 / (1 + np.exp(-np.clip(score[:, None] - self.cuts[None, :], -50, 50)))
 
 
-def fit_grader(rows: np.ndarray, feats: np.ndarray, toxic: np.ndarray, rounds: int = 400, rate: float = 0.05, ridge: float = 2e-4) -> Grader:
-    """Fit from (row number, feature) pairs and the rows' labels (True: toxic)."""
+def fit_grader(rows: np.ndarray, feats: np.ndarray, values: np.ndarray, toxic: np.ndarray, rounds: int = 400, rate: float = 0.05, ridge: float = 2e-4) -> Grader:
+    """Fit from row numbers, features and their values, and the rows' labels (True: toxic)."""
     n1, n0 = int(toxic.sum()), int((~toxic).sum())
     if not n1 or not n0:
         return Grader(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
@@ -105,7 +110,7 @@ def fit_grader(rows: np.ndarray, feats: np.ndarray, toxic: np.ndarray, rounds: i
     place[chosen] = np.arange(len(chosen))
     use = place[column] >= 0
     x = np.zeros((len(toxic), len(chosen)), np.float32)
-    x[rows[use], place[column[use]]] = 1
+    x[rows[use], place[column[use]]] = values[use]
     odds = np.log((in1[chosen] + 0.5) / (n1 + 1)) - np.log((in0[chosen] + 0.5) / (n0 + 1))
     evidence = x @ np.maximum(odds, 0)
     terciles = np.quantile(evidence[toxic], [1 / 3, 2 / 3])
@@ -149,17 +154,39 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in text_slices(whole, "_text"):
-                doc, h = _features(*column_bytes(b.column(2)))
-                cuts = np.searchsorted(doc, np.arange(b.num_rows + 1)).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(h.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), lists], ["id", "toxic", "features"])
-
-    got = sample.mapInArrow(run, "id long, toxic boolean, features array<long>").toArrow().combine_chunks().sort_by("id")
+                doc, h, value = _features(*column_bytes(b.column(2)))
+                cuts = pa.array(np.searchsorted(doc, np.arange(b.num_rows + 1)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (h.view(np.int64), value)]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *lists], ["id", "toxic", "features", "vals"])
+
+    held = materialize(sample.mapInArrow(run, "id long, toxic boolean, features array<long>, vals array<float>"), "labelled-features")
+    wanted = np.sort(np.array([r["f"] for r in _strongest(held).collect()], np.int64).view(np.uint64))  # at most MAX_FEATURES
+
+    def only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = b.column(2)
+            flat, value = np.asarray(lists.flatten()), np.asarray(b.column(3).flatten())
+            ok = np.isin(flat.view(np.uint64), wanted)
+            cuts = pa.array(np.concatenate([[0], np.cumsum(ok)])[np.asarray(lists.offsets) - lists.offsets[0].as_py()].astype(np.int32))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.ListArray.from_arrays(cuts, pa.array(x[ok])) for x in (flat, value)]], ["id", "toxic", "features", "vals"])
+
+    got = held.mapInArrow(only, held.schema).toArrow().combine_chunks().sort_by("id")
     if not got.num_rows:
-        return fit_grader(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool))
-    lists = got.column("features").combine_chunks()
+        return Grader(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
+    lists, values = got.column("features").combine_chunks(), got.column("vals").combine_chunks()
     sizes = np.diff(np.asarray(lists.offsets))
-    return fit_grader(np.repeat(np.arange(len(sizes)), sizes), np.asarray(lists.flatten()).view(np.uint64), np.asarray(got.column("toxic").combine_chunks().to_numpy(zero_copy_only=False), dtype=bool))
+    return fit_grader(np.repeat(np.arange(len(sizes)), sizes), np.asarray(lists.flatten()).view(np.uint64), np.asarray(values.flatten()), np.asarray(got.column("toxic").combine_chunks().to_numpy(zero_copy_only=False), dtype=bool))
+
+
+def _strongest(held: DataFrame) -> DataFrame:
+    """The MAX_FEATURES features (f) that tell most between the labels, counted where the sample lies."""
+    n1, n0 = held.agg(F.count(F.when(F.col("toxic"), 1)), F.count(F.when(~F.col("toxic"), 1))).first()
+    counts = held.select("toxic", F.explode("features").alias("f")).groupBy("f").agg(F.count(F.when(F.col("toxic"), 1)).alias("in1"), F.count("*").alias("n"))
+    share = F.col("n") / max(n1 + n0, 1)
+    z = (F.col("in1") / max(n1, 1) - (F.col("n") - F.col("in1")) / max(n0, 1)) / F.sqrt(F.greatest(share * (1 - share), F.lit(1e-9)) * (1 / max(n1, 1) + 1 / max(n0, 1)))
+    strength = F.when(F.col("n") >= 3, F.abs(z)).otherwise(F.lit(0.0))
+    # Ties by the unsigned value, as the fit itself would.
+    return counts.orderBy(strength.desc(), F.col("f").bitwiseXOR(F.lit(-(1 << 63)))).select("f").limit(MAX_FEATURES)
 
 
 def grade(df: DataFrame, grader: Grader, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), toxic_from: float = TOXIC_FROM) -> DataFrame:
