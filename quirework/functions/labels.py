@@ -26,9 +26,10 @@ def ids(names: tuple[str, ...] | list[str]) -> list[int]:
 
 
 def label_dimension(spark: SparkSession) -> DataFrame:
-    """One row for each label; 21 rows, so joins with it may broadcast."""
-    rows = [
-        (i, n, n in COPYRIGHTED, n in STRUCTURAL, n in MARGIN, FILL.get(n), MIN_CONFIDENCE.get(n, DEFAULT_CONFIDENCE), "medium" if n in MEDIUM_ONLY else "smallest" if n in SMALLEST_BOX else "confidence")
+    """One row for each label; 21 rows in the plan itself, so joins with it may broadcast."""
+    text = lambda x: "CAST(NULL AS STRING)" if x is None else f"'{x}'"
+    rows = ", ".join(
+        f"({i}L, '{n}', {n in COPYRIGHTED}, {n in STRUCTURAL}, {n in MARGIN}, {text(FILL.get(n))}, {MIN_CONFIDENCE.get(n, DEFAULT_CONFIDENCE)}D, '{'medium' if n in MEDIUM_ONLY else 'smallest' if n in SMALLEST_BOX else 'confidence'}')"
         for i, n in enumerate(NAMES)
-    ]
-    return spark.createDataFrame(rows, "label_id long, label string, is_copyrighted boolean, is_structural boolean, in_margin boolean, redact_fill string, min_conf double, merge_policy string")
+    )
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS labels(label_id, label, is_copyrighted, is_structural, in_margin, redact_fill, min_conf, merge_policy)")
