@@ -23,4 +23,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": url_filter.ORACLE_OP2, "op3_license_scan": licenses.ORACLE_OP3, "op4_embedding_dedup": embedding_dedup.ORACLE_OP4}
+    return {"op2_url_filter": url_filter.ORACLE_OP2, "op3_license_scan": licenses.ORACLE_OP3, "op4_embedding_dedup": embedding_dedup.ORACLE_OP4, "op5_secret_scan": secrets.ORACLE_OP5}

@@ -148,3 +148,26 @@ def masked(text: str, spans: str) -> str:
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_versions(table(spark, sf_dir, "documents"), fresh_path(spark, "secret-ledger"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+def _oracle() -> str:
+    """Positions from the lengths of what stands between the matches of each kind."""
+    least = {"assign": ("regexp_extract_all(t, '{p}', 2)", 6), "access": ("regexp_extract_all(t, '{p}')", 20)}
+    rules = [("assign", _ASSIGN), ("access", _ACCESS), ("hex", _HEX), *((k, r) for k, _, r in _MORE)]
+    parts = []
+    for kind, rule in rules:
+        pattern = rule.pattern.replace("'", "''")
+        told, size = least.get(kind, ("regexp_extract_all(t, '{p}')", 1))
+        parts.append(f"SELECT doc_id, {KINDS.index(kind)} AS k, '{kind}' AS kind, regexp_extract_all(t, '{pattern}') AS m, {told.replace('{p}', pattern)} AS g, regexp_split_to_array(t, '{pattern}') AS p, {size} AS least FROM d WHERE regexp_matches(t, '{pattern}')")
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+a AS ({" UNION ALL ".join(parts)}),
+b AS (SELECT *, unnest(generate_series(1, len(m))) AS i FROM a),
+c AS (SELECT doc_id, k, kind, CAST(list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s, length(m[i]) AS n FROM b WHERE length(g[i]) >= least),
+e AS (SELECT doc_id, count(CASE WHEN k = 0 THEN 1 END) AS n_assign, count(CASE WHEN k = 1 THEN 1 END) AS n_access, count(CASE WHEN k = 2 THEN 1 END) AS n_hex,
+  coalesce(string_agg(kind || ':' || s || ':' || (s + n), ',' ORDER BY s, k, n) FILTER (k < 3), '') AS base, string_agg(kind || ':' || s || ':' || (s + n), ',' ORDER BY s, k, n) AS spans FROM c GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN e ON e.doc_id = d.doc_id
+"""
+
+
+ORACLE_OP5 = _oracle()

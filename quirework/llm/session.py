@@ -1,40 +1,22 @@
-"""Where intermediate tables live, and how tables are read."""
+"""How tables are read, and where intermediate ones live."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quirework.functions.session import shared_dir, staged
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from ``spark.checkpoint.dir``.
-
-    Only where neither that setting nor a checkpoint folder of the context exists (a
-    local session in a test) a temporary folder is made and set as the checkpoint folder.
-    """
-    sc = spark.sparkContext
-    path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = sc.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="quirework-")
-        sc.setCheckpointDir(path)
-    return path.rstrip("/")
-
-
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut and executors may be lost."""
-    spark = df.sparkSession
-    path = fresh_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return staged(df, label)
