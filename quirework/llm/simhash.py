@@ -164,14 +164,16 @@ def _classes(marked: DataFrame, budget: int, id_col: str, max_bucket: int) -> Da
 
 def one_of_each(df: DataFrame, shingle_words: int = 3, budget: int = 2, text_col: str = "text", id_col: str = "doc_id", max_bucket: int = MAX_BUCKET) -> DataFrame:
     """One row of ``df`` for each component: that of its smallest id, and one that has no id where none has. All columns stay, whatever their names."""
-    packed = df.select(F.struct(*df.columns).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    marked = materialize(fingerprints(packed, shingle_words, "text", ("row", "id")), "fingerprinted")
-    classes = _classes(marked.select("id", "fp"), budget, "id", max_bucket)
+    # Nulls are told apart by a flag, so that one dealing of the texts by (fp, known, id) serves the join and the choice among repeated rows.
+    known = F.col(id_col).isNotNull()
+    packed = df.select(F.struct(*df.columns).alias("row"), known.alias("known"), F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.col(text_col).alias("text"))
+    marked = materialize(fingerprints(packed, shingle_words, "text", ("row", "known", "id")), "fingerprinted")
+    classes = _classes(marked.select(F.when(F.col("known"), F.col("id")).alias("id"), "fp"), budget, "id", max_bucket)
     # The smallest of the fingerprints that the smallest id has, so one of repeated ids is taken as well.
-    chosen = classes.where(F.col("least").eqNullSafe(F.col("component_id"))).groupBy("part", F.col("component_id").alias("chosen")).agg(F.min("fp").alias("fp")).select("fp", "chosen")
-    joined = marked.join(chosen, (marked["fp"] == chosen["fp"]) & marked["id"].eqNullSafe(chosen["chosen"]), "left_semi")
+    own = classes.where(F.col("least").eqNullSafe(F.col("component_id"))).groupBy("part", "component_id").agg(F.min("fp").alias("fp"))
+    chosen = own.select("fp", F.col("component_id").isNotNull().alias("known"), F.coalesce("component_id", F.lit(0)).alias("id"))
     # Rows of one id and fingerprint: repeated ones, or near copies under one id.
-    return joined.dropDuplicates(["id", "fp"]).select("row.*")
+    return marked.join(chosen, ["fp", "known", "id"], "left_semi").dropDuplicates(["fp", "known", "id"]).select("row.*")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
