@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirework.llm import bpe, decontaminate, secrets, simhash, toxicity
+from quirework.llm import bpe, decontaminate, near_copies, secrets, toxicity
 from quirework.llm.session import fresh_path, materialize, table
 from quirework.shipping import ship_package
 
@@ -21,7 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return simhash.one_of_each(docs)
+    return near_copies.one_of_each(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
