@@ -86,8 +86,8 @@ class CachedTokenizer:
 
     @staticmethod
     def parts(text: str) -> list[str]:
-        # So many words as single blanks and line feeds call for: none stand together, and no other white space is there.
-        if "\0" in text or len(text.split()) != text.count(" ") + text.count("\n") + 1:
+        # Its words joined by single blanks give the text, line feeds apart: no white space stands together or at the ends, and no other is there.
+        if "\0" in text or " ".join(text.split()) != text.replace("\n", " "):
             out, at = [], 0
             for m in _CUT.finditer(text):
                 out.append(text[at : m.start()])
