@@ -12,7 +12,8 @@ above the threshold are retrieved.
 A retrieved item is verified in the text around the passage: at least ``MIN_OVERLAP`` of the
 five-word shingles of its question and of its answer must stand there (a part of fewer words
 is one shingle). Where items have no answer column, the answer is the last sentence, or the
-last five words of an item of one sentence, and the question what is before it.
+last five words of an item of one sentence, and the question what is before it; as this parting
+is a guess, at least ``MIN_OVERLAP`` of the whole item's shingles will do as well.
 
 Statistics of the index (document frequencies, mean length) are over all items. An index
 holds at most ``INDEX_UNITS`` units, which bounds what is broadcast; a larger benchmark takes
@@ -60,7 +61,7 @@ def _shingles(words: list[str]) -> np.ndarray:
 class Index:
     """Impacts of a bounded number of units, sorted by term and unit, with block maxima."""
 
-    def __init__(self, unit: np.ndarray, term: np.ndarray, impact: np.ndarray, owner: np.ndarray, items: list[tuple]):
+    def __init__(self, unit: np.ndarray, term: np.ndarray, impact: np.ndarray, owner: np.ndarray, items: list[tuple], parted: bool = True):
         self.terms, tid = np.unique(term, return_inverse=True)
         order = np.lexsort((unit, tid))
         self.unit, self.impact, tid = unit[order], impact[order].astype(np.float64), tid[order]
@@ -78,6 +79,8 @@ class Index:
         self.sieve[(self.terms >> np.uint64(48)).astype(np.int64)] = True
         self.question = [_shingles(q) for _, q, _ in items]
         self.answer = [(_shingles(a), min(SHINGLE, max(len(a), 1))) for _, _, a in items]
+        # Of items that are one text: the shingles of all of it.
+        self.whole = None if parted else [(_shingles(q + a), min(SHINGLE, max(len(q) + len(a), 1))) for _, q, a in items]
         self.length = np.array([len(q) + len(a) for _, q, a in items], np.int64)
 
     def search(self, passage: np.ndarray, tid: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -176,7 +179,7 @@ def build_indexes(items: DataFrame, index_units: int = INDEX_UNITS, id_col: str
                 term.append(word_hashes(list(names)))
                 impact.append(w / w.sum())
                 owner.append(i)
-        yield Index(np.array(unit), np.concatenate(term), np.concatenate(impact), np.array(owner), [(r["item_id"], list(r["question"]), list(r["answer"])) for r in rows])
+        yield Index(np.array(unit), np.concatenate(term), np.concatenate(impact), np.array(owner), [(r["item_id"], list(r["question"]), list(r["answer"])) for r in rows], answer_col is not None)
 
 
 def _slice_hits(array: pa.Array, index: Index, threshold: float, min_overlap: float) -> list[tuple[int, int, float, float, float]]:
@@ -219,11 +222,15 @@ def _slice_hits(array: pa.Array, index: Index, threshold: float, min_overlap: fl
             question = index.question[item]
             k = min(SHINGLE, max(1, int(length - len(index.items[item][2]))))
             q = float(np.isin(question, gram_hashes(around, np.array([0, len(around)]), k)[0]).mean()) if len(question) else 1.0
-            if q < min_overlap:
+            if q < min_overlap and index.whole is None:
                 continue
             answer, k = index.answer[item]
             r = float(np.isin(answer, gram_hashes(around, np.array([0, len(around)]), k)[0]).mean()) if len(answer) else 1.0
-            if r >= min_overlap and (top is None or (s, q, r) > top):
+            found = min(q, r) >= min_overlap
+            if not found and index.whole is not None:
+                whole, k = index.whole[item]
+                found = len(whole) and np.isin(whole, gram_hashes(around, np.array([0, len(around)]), k)[0]).mean() >= min_overlap
+            if found and (top is None or (s, q, r) > top):
                 top = (s, q, r)
         if top:
             out.append((d, item, *top))
