@@ -37,6 +37,9 @@ _MORE = (
     ("jwt", "eyJ", re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")),
     ("urlpass", "://", re.compile(r"://[^\s:/@]{1,64}:[^\s:/@]{1,128}@")),
 )
+_PEM_LINE = re.compile(r"-----(BEGIN|END) ([A-Z ]{0,40}PRIVATE KEY)-----")
+#: What follows a header that has no END line: header fields, runs of base64, and a short last one that ends its line. Line feeds may be written as \\n.
+_PEM_BODY = re.compile(r"(?:(?:[\s>\"'+]|\\[rn])*+(?:(?:Proc-Type|DEK-Info|Comment): ?[^\n\\]*+|[A-Za-z0-9+/]{16,}+={0,2}+))*+(?:(?:[\s>\"'+]|\\[rn])*+(?:[A-Za-z0-9+/]{1,15}+={1,2}|(?<=[\sn])[A-Za-z0-9+/]{2,15}+(?=\s*+(?:\n|\Z))))?+")
 _HINTS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 
 
@@ -134,11 +137,33 @@ def mask_secrets(df: DataFrame, ledger: str, rules: str = RULES_VERSION, text_co
     return done.select(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in df.columns])
 
 
+def _key_ends(text: str):
+    """A function from the end of a pem header to that of its key; ends must ascend, so that a text is read once.
+
+    A key ends with its END line; without one before the next header it is the lines of base64 that follow.
+    """
+    marks = [(m.start(), m[1], m[2], m.end()) for m in _PEM_LINE.finditer(text)]
+    n = 0
+
+    def end(z: int) -> int:
+        nonlocal n
+        while n < len(marks) and marks[n][3] <= z:
+            n += 1
+        if n and n < len(marks) and marks[n][1:3] == ("END", marks[n - 1][2]):
+            return marks[n][3]
+        return _PEM_BODY.match(text, z).end()
+
+    return end
+
+
 def masked(text: str, spans: str) -> str:
-    """``spans`` as ``written`` makes them."""
+    """``spans`` as ``written`` makes them; that of a pem header is carried on to the end of its key."""
     out, at, upto = [], 0, 0
+    key_end = _key_ends(text) if "pem:" in spans else None
     for kind, a, z in (s.split(":") for s in spans.split(",")):
         a, z = int(a), int(z)
+        if kind == "pem":
+            z = key_end(z)
         if a >= upto:
             out += [text[at:a], f"[{kind}]"]
         at = upto = max(z, upto)
