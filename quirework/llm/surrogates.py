@@ -55,6 +55,10 @@ SCRIPTS = {
 
 _EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])")
 _PHONE = re.compile(r"(?<![\w+.-])(?:\+(?P<cc>[1-9][0-9]{0,2})[ .-]?(?:\([0-9]{1,5}\)[ .-]?|(?=[0-9]))[0-9]{2,5}(?:[ .-][0-9]{2,5}){1,4}|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4})(?![\w-])")
+#: Numbers that _PHONE leaves out: + and digits in one run or in long groups, ten digits as 3-3-4 with dots or blanks, and groups behind a leading zero.
+_PHONE_MORE = re.compile(r"(?<![\w+.-])(?<![0-9][ .])(?:\+(?P<run>[1-9][0-9]{7,14})(?![0-9])|\+(?P<cc>[1-9][0-9]{0,2})[ .-](?:\(0\)[ .-]?)?(?:[0-9]{2,5}[ .-])?[0-9]{6,12}(?![0-9])|(?P<ten>\(?[2-9][0-9]{2}(?:\) ?|[ .-])[2-9][0-9]{2}[ .-][0-9]{4})(?![ .-]?[0-9])|(?P<zero>(?:\(0[0-9]{1,4}\) ?|0[0-9]{1,4}[ .-])[0-9]{2,8}(?:[ .-][0-9]{2,8}){0,4})(?![ .-]?[0-9]))(?![\w-])")
+#: Country codes of one and two digits; all others have three.
+_SHORT_CODES = {"1", "7", *"20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()}
 _IP = re.compile(r"(?<![\w.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![\w]|\.[0-9])")
 _CARD = re.compile(r"(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w]|[ -]?[0-9])")
 _SSN = re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])")
@@ -160,6 +164,18 @@ def find_entities(text: str | None) -> list[tuple[int, int, str, str]]:
             local = digits[len(m["cc"] or "") :]
             if 7 <= len(local) <= 14:
                 found.append((m.start(), m.end(), "phone", f"{country}:{local}"))
+        for m in _PHONE_MORE.finditer(t):
+            digits = "".join(c for c in m.group() if c in _DIGITS)
+            if m["zero"]:
+                fits = 9 <= len(digits) <= (17 if digits.startswith("00") else 11) and not _IP.fullmatch(m.group())
+                country, local = "", digits
+            elif m["ten"]:
+                fits, country, local = m.group().startswith("(") == (")" in m.group()), "1", digits
+            else:
+                country = m["cc"] or next((c for c in (digits[:1], digits[:2]) if c in _SHORT_CODES), digits[:3])
+                fits, local = 8 <= len(digits) <= 15, digits[len(country) :]
+            if fits:
+                found.append((m.start(), m.end(), "phone", f"{country}:{local}"))
         for m in _IP.finditer(t):
             octets = [int(x) for x in m.group().split(".")]
             if max(octets) <= 255:
