@@ -10,7 +10,7 @@ NAMES = (
     "IMAGE", "HEADNOTE", "BACKGROUND", "SYLLABUS", "EDITORIAL", "JUDGES", "TEXT_COLUMN", "DOCKET", "DATE", "COURT", "CITATION",
 )
 ID = {name: i for i, name in enumerate(NAMES)}
-COPYRIGHTED = ("KEY_ICON", "PAGE_HEADER", "HEADNOTE_BRACKET", "HEADNOTE", "BACKGROUND")
+COPYRIGHTED = ("KEY_ICON", "PAGE_HEADER", "HEADNOTE_BRACKET", "HEADNOTE")
 STRUCTURAL = ("DIVIDER", "CASE_CAPTION", "CASE_METADATA", "CASE_SEQUENCE", "PAGE_NUMBER", "STATE_ABBREVIATION", "JUDGES", "TEXT_COLUMN", "DOCKET", "DATE", "COURT", "CITATION")
 MARGIN = ("PAGE_HEADER", "PAGE_NUMBER", "STATE_ABBREVIATION")
 DEFAULT_CONFIDENCE = 0.20

@@ -13,6 +13,21 @@ from pyspark.sql import functions as F
 from quirework.functions import expressions as E
 from quirework.functions.session import staged
 
+# The texts of the issues.
+MISLABELED = "Filename suggests pages %d–%d but page numbers only go up to %d. Document may be mislabeled or missing a large section."
+JUMP = "Large jump from page %d to %d (%d pages) , likely an OCR misread. Correct the page number and recalculate."
+IN_GAP = "Page %d appears missing (gap between %d and %d)."
+TWICE = "Page number %d appears on both PDF page %d and %d."
+BACKWARD = "Page %d (PDF page %d) goes backward from %d (PDF page %d)."
+SUSPICIOUS = "PDF page %d detected as '%s' which is outside the expected page range, likely a stray number."
+UNREAD = "No page number detected on PDF page %d."
+SEVERAL = "Page number %d found on PDF pages [%s]."
+RANGE = "PDF page %d covers page range %s. Verify this is expected."
+LARGE_GAP = "Large gap: pages %d–%d (%d pages) not found, likely an OCR misread rather than genuinely missing pages."
+MISSING = "Page %d is missing from the document."
+CORRECTED = "PDF page %d: OCR read '%s', auto-corrected to '%s' based on surrounding page numbers. Verify this is correct."
+
+
 def _volume():
     return Window.partitionBy("doc_id").orderBy("pdf_page")
 
@@ -159,25 +174,25 @@ def issues(d: DataFrame, corrections: DataFrame | None = None, structural: DataF
     row = lambda df, order, number, name, severity, message: df.select("doc_id", F.lit(order).cast("long").alias("ord"), number.cast("long").alias("page_number"), F.lit(name).alias("check_name"), F.lit(severity).alias("severity"), message.alias("message"))
     seq = sequence_issues(d)
     gaps = seq.where("issue = 'GAP'").withColumn("n", F.col("num") - F.col("prev_num") - 1)
-    parts = [row(mislabeled(d), 1, F.lit(None), "mislabeled_document", "warning", text("Expected pages %d-%d, but numbers end at %d. The volume may be mislabeled or lack a large part.", "exp_start", "exp_end", "highest"))]
-    parts.append(row(gaps.where("n > 6"), 2, F.col("prev_num"), "large_gap", "warning", text("Large jump from page %d to %d (%d pages), likely a misreading.", "prev_num", "num", "n")))
+    parts = [row(mislabeled(d), 1, F.lit(None), "mislabeled_document", "warning", text(MISLABELED, "exp_start", "exp_end", "highest"))]
+    parts.append(row(gaps.where("n > 6"), 2, F.col("prev_num"), "large_gap", "warning", text(JUMP, "prev_num", "num", "n")))
     in_gap = gaps.where("n <= 6").withColumn("page", F.explode(F.sequence(F.col("prev_num") + 1, F.col("num") - 1))).where("page >= 1")
-    parts.append(row(in_gap, 2, F.col("page"), "missing_page", "error", text("Page %d appears missing (gap between %d and %d).", "page", "prev_num", "num")))
+    parts.append(row(in_gap, 2, F.col("page"), "missing_page", "error", text(IN_GAP, "page", "prev_num", "num")))
     twice = seq.where("issue = 'DUPLICATE'")
-    parts.append(row(twice, 2, F.col("num"), "duplicate_page", "warning", text("Page number %d stands on both PDF page %d and %d.", "num", "prev_pdf", "pdf_page")))
-    parts.append(row(seq.where("issue = 'BACKWARD'"), 2, F.col("num"), "backward_page", "warning", text("Page %d (PDF page %d) goes backward from %d (PDF page %d).", "num", "pdf_page", "prev_num", "prev_pdf")))
-    parts.append(row(d.where("out_of_range"), 3, F.col("pdf_page"), "suspicious_reading", "warning", text("PDF page %d was read as '%s', outside the expected range.", "pdf_page", "detected")))
-    parts.append(row(d.where("detected IS NULL"), 4, F.col("pdf_page"), "no_page_number", "info", text("No page number found on PDF page %d.", "pdf_page")))
+    parts.append(row(twice, 2, F.col("num"), "duplicate_page", "warning", text(TWICE, "num", "prev_pdf", "pdf_page")))
+    parts.append(row(seq.where("issue = 'BACKWARD'"), 2, F.col("num"), "backward_page", "warning", text(BACKWARD, "num", "pdf_page", "prev_num", "prev_pdf")))
+    parts.append(row(d.where("out_of_range"), 3, F.col("pdf_page"), "suspicious_reading", "warning", text(SUSPICIOUS, "pdf_page", "detected")))
+    parts.append(row(d.where("detected IS NULL"), 4, F.col("pdf_page"), "no_page_number", "info", text(UNREAD, "pdf_page")))
     dup = duplicate_numbers(d).join(twice.select("doc_id", "num").distinct(), ["doc_id", "num"], "left_anti")
-    parts.append(row(dup, 5, F.col("num"), "duplicate_page", "warning", text("Page number %d was found on PDF pages %s.", F.col("num"), F.array_join("pdf_pages", ", "))))
+    parts.append(row(dup, 5, F.col("num"), "duplicate_page", "warning", text(SEVERAL, F.col("num"), F.array_join("pdf_pages", ", "))))
     first, _ = E.range_bounds(F.col("detected"))
-    parts.append(row(d.where("type = 'range'").withColumn("a", first).where("a IS NOT NULL"), 6, F.col("a"), "page_range", "warning", text("PDF page %d covers pages %s. Verify this is expected.", "pdf_page", "detected")))
+    parts.append(row(d.where("type = 'range'").withColumn("a", first).where("a IS NOT NULL"), 6, F.col("a"), "page_range", "warning", text(RANGE, "pdf_page", "detected")))
     single, large = real_missing(missing_pages(d))
     flagged = in_gap.select("doc_id", "page").distinct()
-    parts.append(row(large.withColumnRenamed("first", "page").join(flagged, ["doc_id", "page"], "left_anti"), 7, F.col("page"), "large_gap", "warning", text("Large gap: pages %d-%d (%d pages) not found, likely a misreading.", "page", "last", "n")))
-    parts.append(row(single.join(flagged, ["doc_id", "page"], "left_anti"), 7, F.col("page"), "missing_page", "error", text("Page %d is missing from the volume.", "page")))
+    parts.append(row(large.withColumnRenamed("first", "page").join(flagged, ["doc_id", "page"], "left_anti"), 7, F.col("page"), "large_gap", "warning", text(LARGE_GAP, "page", "last", "n")))
+    parts.append(row(single.join(flagged, ["doc_id", "page"], "left_anti"), 7, F.col("page"), "missing_page", "error", text(MISSING, "page")))
     if corrections is not None:
-        parts.append(row(corrections.where("old IS NOT NULL"), 8, F.col("pdf_page"), "auto_corrected", "warning", text("PDF page %d: read as '%s', corrected to '%s' by the pages around it.", "pdf_page", "old", "detected")))
+        parts.append(row(corrections.where("old IS NOT NULL"), 8, F.col("pdf_page"), "auto_corrected", "warning", text(CORRECTED, "pdf_page", "old", "detected")))
     if structural is not None:
         parts.append(structural.select("doc_id", F.lit(0).cast("long").alias("ord"), F.col("page_number").cast("long").alias("page_number"), "check_name", "severity", "message"))
     out = parts[0]

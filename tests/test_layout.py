@@ -27,7 +27,8 @@ def pages(spark, n, w=1700, h=2200, pw=612.0, ph=792.0, mid=850.0, numbers=None)
 
 def test_label_sets():
     assert len(NAMES) == 21 and ID["KEY_ICON"] == 0 and ID["CITATION"] == 20
-    assert not set(COPYRIGHTED) & set(STRUCTURAL)
+    assert set(COPYRIGHTED) == {"KEY_ICON", "PAGE_HEADER", "HEADNOTE_BRACKET", "HEADNOTE"}
+    assert set(STRUCTURAL) == {"CASE_CAPTION", "DIVIDER", "CASE_METADATA", "CASE_SEQUENCE", "PAGE_NUMBER", "STATE_ABBREVIATION", "JUDGES", "TEXT_COLUMN", "DOCKET", "DATE", "COURT", "CITATION"}
 
 
 def test_box_sizes(spark):
