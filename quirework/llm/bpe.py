@@ -3,7 +3,9 @@
 Null texts count as empty; an empty text has no ids. Row order, repeated rows and columns
 beyond those named play no part. Texts of any length are encoded whole: a long one is cut
 only where a match of the splitting pattern ends in any case (between a word character and
-the blank or line feed after it), so the ids are those of the text in one piece.
+the blank or line feed after it), so the ids are those of the text in one piece. The library's
+matcher overflows on very long runs of white space; texts that hold one are split by the same
+pattern here, and each match is encoded by itself.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ PIECE_CHARS = 1 << 16
 #: The rank file is broadcast; a larger one is refused.
 MAX_RANK_BYTES = 64 << 20
 _SAFE = re.compile(r"(?<=\w)(?=[ \n])")
+#: A run of white space too long for the library's matcher (it overflows between 300,000 and a million).
+_LONG_BLANK = re.compile(r"\s{65536}")
 
 
 def pieces(text: str, limit: int = PIECE_CHARS) -> Iterator[str]:
@@ -44,8 +48,11 @@ class Codec:
     """tiktoken's encoding over ranks given as the content of a rank file."""
 
     def __init__(self, rank_file: bytes, pattern: str):
+        import regex
         import tiktoken
 
+        # White space as the library's matcher has it, which leaves out the separators U+001C to U+001F.
+        self._matches = regex.compile(pattern.replace("\\s", r"\p{White_Space}").replace("\\S", r"\P{White_Space}")).finditer
         ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in rank_file.splitlines() if line)}
         self._encoding = tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.decimals = [str(i) for i in range(max(ranks.values()) + 1)]
@@ -53,6 +60,8 @@ class Codec:
     def encode(self, text: str) -> list[int]:
         if len(text) <= PIECE_CHARS:
             return self._encoding.encode_ordinary(text)
+        if _LONG_BLANK.search(text):
+            return [i for m in self._matches(text) for i in self._encoding._encode_single_piece(m.group())]
         return [i for part in pieces(text) for i in self._encoding.encode_ordinary(part)]
 
     def decode(self, ids: list[int]) -> bytes:
