@@ -1,10 +1,11 @@
 """Token ids of a corpus in binary shards with Elias-Fano document boundaries.
 
-A shard file holds, little-endian: magic ``QTS1``, id width in bytes (2 or 4), number of
-documents, number of documents whose id is null (they come first), smallest doc_id, the
-Elias-Fano block of the n+1 boundaries, that of the other doc_ids less the smallest, and the
-concatenated ids. Spark's committer puts the shards in place, so a lost executor leaves no
-half-written file; the writer ends each file with one line feed, which readers ignore.
+A shard file holds, little-endian: magic ``QTS2``, id width in bytes (2 or 4), number of
+documents, number of documents whose id is null (they come first), smallest doc_id, length and
+CRC-32 of what follows, the Elias-Fano block of the n+1 boundaries, that of the other doc_ids
+less the smallest, and the concatenated ids. Spark's committer puts the shards in place, so a
+lost executor leaves no half-written file; the writer ends each file with one line feed, which
+readers ignore. A reader refuses a file whose checksum differs.
 
 Documents are in ascending doc_id order over the shards (null first, ties in any order).
 Null and empty texts hold the end id alone. Other columns are not stored.
@@ -32,7 +33,7 @@ SHARD_BYTES = 8 << 20
 #: Words and pieces of words cached by a worker, and the longest that is.
 CACHE_WORDS, CACHE_PIECES, CACHE_CHARS = 600_000, 400_000, 40
 MAX_VOCABULARY_BYTES = 64 << 20
-_HEAD = struct.Struct("<4sBQQq")
+_HEAD = struct.Struct("<4sBQQqQI")
 _CUT = re.compile(r"(?<=\w)(?=[ \n])")
 #: How the byte-level tokenizer splits a text (fixed pattern).
 _PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -66,17 +67,18 @@ class CachedTokenizer:
     (long, of rare scripts, with runs of blanks) goes to the library's encoder whole.
     """
 
-    def __init__(self, vocabulary: bytes):
+    def __init__(self, vocabulary: bytes, special_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_buffer(vocabulary)
-        self._tokenizer.encode_special_tokens = True
+        self._tokenizer.encode_special_tokens = special_as_text
+        told = json.loads(vocabulary)
+        self._specials = [] if special_as_text else [t["content"] for t in told.get("added_tokens") or []]
         size = self._tokenizer.get_vocab_size(True)
         self.width = 2 if size <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
-        told = json.loads(vocabulary)
         pre = told.get("pre_tokenizer") or {}
         self._simple = told.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
         self._tokenize, self._split = self._tokenizer.model.tokenize, regex.compile(_PIECE).findall
@@ -107,7 +109,7 @@ class CachedTokenizer:
         if not word:
             return b""
         first, last = word[0], word[-1]
-        if len(word) > CACHE_CHARS or not self._simple or last.isspace() or "  " in word or first not in " \n" and first.isspace() or not (word.isascii() or max(word) < _STABLE_BELOW):
+        if len(word) > CACHE_CHARS or not self._simple or last.isspace() or "  " in word or first not in " \n" and first.isspace() or not (word.isascii() or max(word) < _STABLE_BELOW) or any(t in word for t in self._specials):
             return np.array(self._tokenizer.encode(word, add_special_tokens=False).ids, dtype=self.kind).tobytes()
         pieces = self._split(word)
         made = self._pieces[pieces[0]]
@@ -125,14 +127,14 @@ class CachedTokenizer:
         return [b"".join(map(get, self.parts(t))) for t in texts]
 
 
-_tokenizers: dict[int, CachedTokenizer] = {}
+_tokenizers: dict[tuple[int, bool], CachedTokenizer] = {}
 
 
-def _tokenizer(content: bytes) -> CachedTokenizer:
-    key = hash(content)
+def _tokenizer(content: bytes, special_as_text: bool) -> CachedTokenizer:
+    key = hash(content), special_as_text
     if key not in _tokenizers:
         _tokenizers.clear()
-        _tokenizers[key] = CachedTokenizer(content)
+        _tokenizers[key] = CachedTokenizer(content, special_as_text)
     return _tokenizers[key]
 
 
@@ -142,16 +144,19 @@ def pack_shard(doc_ids: list[int | None], ids: list[bytes], width: int) -> bytes
     known = np.array(doc_ids[nulls:], dtype=np.int64)
     base = int(known[0]) if len(known) else 0
     bounds = np.concatenate([[0], np.cumsum([len(x) // width for x in ids])])
-    return b"".join([_HEAD.pack(b"QTS1", width, len(ids), nulls, base), elias_fano.encode(bounds), elias_fano.encode((known - base).astype(np.uint64)), *ids])
+    body = b"".join([elias_fano.encode(bounds), elias_fano.encode((known - base).astype(np.uint64)), *ids])
+    return _HEAD.pack(b"QTS2", width, len(ids), nulls, base, len(body), zlib.crc32(body)) + body
 
 
 class Shard:
     """One shard's content; ``ids(i)`` finds its place by select."""
 
     def __init__(self, data: bytes):
-        magic, self.width, self.count, self.nulls, self._base = _HEAD.unpack_from(data)
-        if magic != b"QTS1":
+        magic, self.width, self.count, self.nulls, self._base, size, told = _HEAD.unpack_from(data)
+        if magic != b"QTS2":
             raise ValueError("not a token shard")
+        if zlib.crc32(memoryview(data)[_HEAD.size : _HEAD.size + size]) != told:
+            raise ValueError("a damaged token shard")
         self.bounds = elias_fano.EliasFano(data, _HEAD.size)
         self._doc_ids = elias_fano.EliasFano(data, self.bounds.end)
         self.n_ids = self.bounds.select(self.count)
@@ -164,8 +169,12 @@ class Shard:
         return self.all_ids[self.bounds.select(i) : self.bounds.select(i + 1)]
 
 
-def write_tokens(df: DataFrame, path: str, vocabulary_path: str, end_id: int = 0, shard_bytes: int = SHARD_BYTES, text_col: str = "text", id_col: str = "doc_id") -> None:
-    """Encode every row's text and write the shards to ``path``."""
+def write_tokens(df: DataFrame, path: str, vocabulary_path: str, end_id: int = 0, shard_bytes: int = SHARD_BYTES, text_col: str = "text", id_col: str = "doc_id", special_as_text: bool = True) -> None:
+    """Encode every row's text and write the shards to ``path``.
+
+    With ``special_as_text`` the strings of special tokens are ordinary text wherever they
+    stand, so that no document can forge a marker; without it they get their own ids.
+    """
     spark = df.sparkSession
     with open(vocabulary_path, "rb") as f:
         content = f.read(MAX_VOCABULARY_BYTES + 1)
@@ -174,7 +183,7 @@ def write_tokens(df: DataFrame, path: str, vocabulary_path: str, end_id: int = 0
     vocabulary = spark.sparkContext.broadcast(content)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(vocabulary.value)
+        tokenizer = _tokenizer(vocabulary.value, special_as_text)
         end = np.array([end_id], dtype=tokenizer.kind).tobytes()
         doc_ids: list[int | None] = []
         ids: list[bytes] = []
@@ -221,10 +230,12 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     docs = materialize(files.mapInArrow(run, "file string, doc_id long, local_start long, n_tokens long, ids_crc32 long"), "token-docs")
     part = F.regexp_extract("file", r"part-(\d+)-", 1).cast("long")
     number = F.regexp_extract("file", r"-c(\d+)\D*$", 1).cast("long")
-    # One row for each shard, so the running total is over few rows.
-    sizes = docs.groupBy("file").agg(F.sum("n_tokens").alias("total"))
-    order = Window.orderBy(part, number).rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select("file", F.coalesce(F.sum("total").over(order), F.lit(0)).alias("base"))
+    # Running totals in two steps: over the shards of each part, and over the parts, of which there are as many as write tasks.
+    sizes = docs.groupBy("file").agg(F.sum("n_tokens").alias("total")).select("file", part.alias("part"), number.alias("number"), "total")
+    ahead = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    parts = sizes.groupBy("part").agg(F.sum("total").alias("total")).select("part", F.coalesce(F.sum("total").over(ahead(Window.orderBy("part"))), F.lit(0)).alias("before"))
+    within = F.coalesce(F.sum("total").over(ahead(Window.partitionBy("part").orderBy("number"))), F.lit(0))
+    bases = sizes.withColumn("within", within).join(parts, "part").select("file", (F.col("before") + F.col("within")).alias("base"))
     return docs.join(bases, "file").select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
 
 
