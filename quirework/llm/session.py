@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quirework.functions.session import shared_dir, staged
 
@@ -20,3 +21,30 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut and executors may be lost."""
     return staged(df, label)
+
+
+def drop_staged(df: DataFrame) -> None:
+    """Delete the files of a table that ``materialize`` made and that nothing will read again."""
+    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        p = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread_join(rows: DataFrame, facts: DataFrame, keys: list[str], count: str = "n", how: str = "inner") -> DataFrame:
+    """``rows`` with what ``facts`` (one row for each key, ``count`` of them in ``rows``) says of their key.
+
+    Keys of more rows than a task's fair share are fewer than there are tasks, so their list is
+    broadcast; their rows are dealt over all tasks, and their facts repeated for each. ``rows``
+    must be a stored table, so that a task that runs again deals its rows alike.
+    """
+    parts = partitions(rows.sparkSession)
+    total = facts.agg(F.sum(count)).first()[0] or 0
+    heavy = facts.where(F.col(count) > total // parts).select(*keys, F.lit(True).alias("_heavy"))
+    dealt = rows.join(F.broadcast(heavy), keys, "left").withColumn("_salt", F.when(F.col("_heavy"), F.pmod(F.monotonically_increasing_id(), F.lit(parts))).otherwise(F.lit(0).cast("long"))).drop("_heavy")
+    last = F.when(F.col(count) > total // parts, F.lit(parts - 1)).otherwise(F.lit(0)).cast("long")
+    spread = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), last))).drop(count)
+    return dealt.join(spread, [*keys, "_salt"], how).drop("_salt")

@@ -106,7 +106,7 @@ def test_embeddings_by_model(spark):
     cosine = unit @ unit.T
     links = [(i, j) for i, j in itertools.combinations(range(len(v)), 2) if cosine[i, j] >= 0.9]
     own = closure(range(len(v)), links)
-    got = {r.vec_id: r for r in embedding_dedup.near_vectors(df, block_rows=16).collect()}
+    got = {r.vec_id: r for r in embedding_dedup.near_vectors(df, block_rows=16, radius=128).collect()}
     assert len(got) == len(rows)
     near = {i: sum(i in p for p in links) for i in range(len(v))}
     like0 = {i for i in range(len(v)) if cosine[0, i] >= 0.9}
@@ -117,18 +117,48 @@ def test_embeddings_by_model(spark):
     assert embedding_dedup.near_vectors(df.limit(0)).count() == 0
 
 
-def test_recall_of_codes():
-    rng = np.random.default_rng(1)
-    base = rng.standard_normal((400, 64))
-    x = np.concatenate([base, base + 0.25 * rng.standard_normal(base.shape)])
+def planted_vectors(rng, dim, clusters, noise, common=0.0):
+    """Groups of vectors around centres, with a strong direction common to all."""
+    base = rng.standard_normal((clusters, dim)) + common * rng.standard_normal(dim)
+    groups = [base[k] + noise[k % len(noise)] * np.linalg.norm(base[k]) / np.sqrt(dim) * rng.standard_normal((2 + k % 5, dim)) for k in range(clusters)]
+    return np.concatenate(groups)
+
+
+@pytest.mark.parametrize("dim,common", [(32, 0.0), (64, 1.5), (256, 0.0)])
+def test_recall_through_the_tables(spark, dim, common):
+    """Links found by the whole operator, near the threshold above all, against brute force."""
+    x = planted_vectors(np.random.default_rng(dim), dim, 900, [0.25, 0.3, 0.33, 0.35, 0.4], common)
+    df = spark.createDataFrame([(i, [float(c) for c in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = (unit @ unit.T >= 0.9) & ~np.eye(len(x), dtype=bool)
+    want, got = linked.sum(axis=1), np.zeros(len(x), int)
+    for r in embedding_dedup.near_vectors(df).collect():
+        got[r.vec_id] = r.n_links
+    assert want.sum() > 1000 and (got <= want).all() and got.sum() >= 0.95 * want.sum(), (got.sum(), want.sum())
+
+
+def test_dense_groups_count_alike(spark):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.standard_normal((1, 48)) + 0.22 * rng.standard_normal((150, 48)), rng.standard_normal((40, 48)), rng.standard_normal((1, 48)) + 0.3 * rng.standard_normal((60, 48))])
+    x = np.concatenate([x, x[:3]])
+    df = spark.createDataFrame([(i, [float(c) for c in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links = [(i, j) for i, j in itertools.combinations(range(len(x)), 2) if unit[i] @ unit[j] >= 0.9]
+    own, near = closure(range(len(x)), links), np.bincount(np.array(links).ravel(), minlength=len(x))
+    for options in ({}, {"block_rows": 20}, {"dense": 10**9}, {"dense": 0, "block_rows": 50}):
+        got = {r.vec_id: r for r in embedding_dedup.near_vectors(df, radius=128, **options).collect()}
+        assert len(got) == len(x)
+        found = np.array([got[i].n_links for i in range(len(x))])
+        assert (found <= near).all() and found.sum() >= 0.97 * near.sum(), (options, found.sum(), near.sum())
+        assert {i: got[i].component_id for i in got} == own, options
+
+
+def test_codes_are_balanced():
+    x = np.random.default_rng(1).standard_normal((800, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     rotation = embedding_dedup.learn_rotation(x)
-    codes = rotation.codes(x)
-    bits = np.unpackbits(codes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    assert (np.abs(bits.mean(axis=0) - 0.5) < 0.05).all()  # balanced
-    near = [(i, i + 400) for i in range(400) if x[i] @ x[i + 400] >= 0.9]
-    far = np.array([int(codes[a] ^ codes[b]).bit_count() for a, b in near])
-    assert len(near) > 200 and (far <= embedding_dedup.RADIUS).mean() >= 0.98
+    bits = np.unpackbits(np.ascontiguousarray(rotation.codes(x)).view(np.uint8), axis=1, bitorder="little")
+    assert bits.shape == (800, embedding_dedup.BITS) and (np.abs(bits.mean(axis=0) - 0.5) < 0.05).all()
 
 
 TEXTS = [None, "", " ", "Hello world's  best\n\n\n  thing\t!", "don't 'S it’s", "é" * 3000, "word " * 40_000, "a" * 5000, "中文字符 and 😀", "x\0y <|endoftext|>", "　 z", "12 34a5"]
