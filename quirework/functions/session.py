@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; only where it is unset and the context has no checkpoint folder (a local session), a temporary one."""
+    """``spark.checkpoint.dir``; in a local session without it a temporary folder, on a cluster an error: executors would each write to a disk of their own."""
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not path and not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="quirework-")
         sc.setCheckpointDir(path)
