@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirework.llm.session import materialize
+from quirework.llm.session import drop_staged, materialize
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -28,7 +28,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         large = both.where("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
-        now = materialize(small, "components")
+        last, now = now, materialize(small, "components")
+        drop_staged(last)
         after = state(now)
         if after == before:
             break

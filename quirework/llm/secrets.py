@@ -1,13 +1,15 @@
 """Secret scans over an incremental ledger of blobs.
 
 Every historical version's text is a blob named by its SHA-256 (null counts as empty). The
-ledger has one row for each blob and rule version scanned so far, with what was found; only
-pairs it lacks are scanned, one copy of each, and findings are joined back to all rows that
-hold the blob. Spans are code points, end exclusive, as ``kind:start:end`` by start, then kind.
-
-Base kinds: assign, access, hex. Further kinds: pem (private key header), github and slack
-tokens, jwt, urlpass (password within a url). Rows may repeat and ids be null: each row gets
-its blob's findings. Columns beyond those named play no part.
+ledger has a folder for each rule version with one row for each blob scanned so far, and what
+was found; only pairs it lacks are scanned, one copy of each, and findings are joined back to
+all rows that hold the blob. Spans are code points, end exclusive, as ``kind:start:end`` by
+start, then kind.
+
+Base kinds: assign, access, hex. Further kinds: pem (a private key from its BEGIN line to its END
+line, or without one over the base64 that follows), github and slack tokens, jwt, urlpass
+(password within a url). Rows may repeat and ids be null: each row gets its blob's findings.
+Columns beyond those named play no part.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm.session import fresh_path, materialize, table
+from quirework.llm.session import fresh_path, materialize, spread_join, table
 from quirework.llm.textvec import text_slices
 
 RULES_VERSION = "1"
@@ -30,16 +32,17 @@ _KEYS = "|".join(_either(w) for w in ("password", "passwd", "secret", "token"))
 _ASSIGN = re.compile(rf"""({_KEYS})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # a run of 24 or more is taken from its start, a shorter one fails
+#: A private key: up to its END line (a single hyphen may stand within), else header fields and runs of base64. Line feeds may be written as \\n.
+_PEM = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[^-]*(?:-[^-]+)*-----END [A-Z ]{0,40}PRIVATE KEY-----|(?:(?:[\s>\"'+]|\\[rn]|(?:Proc-Type|DEK-Info|Comment): ?[^\n\\]*)*[A-Za-z0-9+/]{16,}={0,2})*(?:(?:[\s>\"'+]|\\[rn])*[A-Za-z0-9+/]{1,15}={1,2})?)"
 _MORE = (
-    ("pem", "-----BEGIN", re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----")),
+    ("pem", "-----BEGIN", re.compile(_PEM)),
     ("github", "gh", re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}")),
     ("slack", "xox", re.compile(r"xox[abprs]-[A-Za-z0-9-]{10,}")),
     ("jwt", "eyJ", re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")),
     ("urlpass", "://", re.compile(r"://[^\s:/@]{1,64}:[^\s:/@]{1,128}@")),
 )
-_PEM_LINE = re.compile(r"-----(BEGIN|END) ([A-Z ]{0,40}PRIVATE KEY)-----")
-#: What follows a header that has no END line: header fields, runs of base64, and a short last one that ends its line. Line feeds may be written as \\n.
-_PEM_BODY = re.compile(r"(?:(?:[\s>\"'+]|\\[rn])*+(?:(?:Proc-Type|DEK-Info|Comment): ?[^\n\\]*+|[A-Za-z0-9+/]{16,}+={0,2}+))*+(?:(?:[\s>\"'+]|\\[rn])*+(?:[A-Za-z0-9+/]{1,15}+={1,2}|(?<=[\sn])[A-Za-z0-9+/]{2,15}+(?=\s*+(?:\n|\Z))))?+")
+#: The short last line of a key without END line, which masking takes as well.
+_PEM_TAIL = re.compile(r"(?:\s|\\[rn])*+(?<=[\sn])[A-Za-z0-9+/]{2,15}+(?=\s*+(?:\n|\Z))")
 _HINTS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 
 
@@ -72,32 +75,23 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def scan_versions(df: DataFrame, ledger: str, rules: str = RULES_VERSION, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Scan what ``ledger`` (a folder, made if missing) lacks, add to it, and give every row its findings.
-
-    Columns ``id_col``, blob, n_assign, n_access, n_hex, base_sha256, spans, one row for each
-    row of ``df``. A run that ends early leaves the ledger without the blobs it was scanning.
-    """
+def _scan(df: DataFrame, ledger: str, rules: str, text_col: str, id_col: str) -> tuple[DataFrame, DataFrame]:
+    """Rows' ids with their blobs, and the ledger's rows with spans of those blobs with n, how many rows hold them; both stored."""
     spark = df.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     versions = df.select(F.col(id_col).alias("id"), F.sha2(text, 256).alias("blob"), text.alias("text"))
     paths = materialize(versions.select("id", "blob"), "blob-paths")
-    copies = paths.groupBy("blob").agg(F.min("id").alias("id"))
+    # Copies are merged before the shuffle, so a text that a third of all rows hold goes out once from each task.
+    once = versions.groupBy("blob").agg(F.first("text").alias("text"))
     if _exists(spark, ledger):
         done = spark.read.schema(_LEDGER).parquet(ledger).where(F.col("rules") == rules).select("blob")
-        copies = copies.join(done, "blob", "left_anti")
-    # By blob and id, so that a text a third of all rows hold does not send them all to one task.
-    chosen = versions.alias("v").join(copies.hint("shuffle_hash").alias("c"), (F.col("v.blob") == F.col("c.blob")) & F.col("v.id").eqNullSafe(F.col("c.id")), "left_semi").select("blob", "text")
+        once = once.join(done, "blob", "left_anti")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
         for whole in batches:
             for b in text_slices(whole, "text"):
                 rows = []
                 for blob, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    if blob == last:  # the same row repeated
-                        continue
-                    last = blob
                     found = find_spans(t)
                     base = [s for s in found if s[1] < 3]
                     counts = [sum(s[1] == k for s in base) for k in range(3)]
@@ -106,12 +100,19 @@ def scan_versions(df: DataFrame, ledger: str, rules: str = RULES_VERSION, text_c
                 kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
 
-    chosen.mapInArrow(run, _LEDGER).write.mode("append").parquet(ledger)
-    # Blobs with findings are few; their rows are repeated for each salt, so that a blob of very many paths is spread.
-    found = spark.read.schema(_LEDGER).parquet(ledger).where((F.col("rules") == rules) & (F.col("spans") != "")).drop("rules").dropDuplicates(["blob"])
-    salts = 16
-    spread = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = paths.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")).join(spread, ["blob", "salt"], "left")
+    once.select("blob", "text").mapInArrow(run, _LEDGER).write.mode("append").partitionBy("rules").parquet(ledger)
+    told = spark.read.schema(_LEDGER).parquet(ledger).where((F.col("rules") == rules) & (F.col("spans") != "")).drop("rules").dropDuplicates(["blob"])
+    held = paths.select("blob").join(told.select("blob"), "blob", "left_semi").groupBy("blob").agg(F.count("*").alias("n"))
+    return paths, materialize(told.join(held, "blob"), "findings")
+
+
+def scan_versions(df: DataFrame, ledger: str, rules: str = RULES_VERSION, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """Scan what ``ledger`` (a folder, made if missing) lacks, add to it, and give every row its findings.
+
+    Columns ``id_col``, blob, n_assign, n_access, n_hex, base_sha256, spans, one row for each
+    row of ``df``. A run that ends early leaves the ledger without the blobs it was scanning.
+    """
+    joined = spread_join(*_scan(df, ledger, rules, text_col, id_col), ["blob"], how="left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
     return joined.select(F.col("id").alias(id_col), "blob", zero("n_assign"), zero("n_access"), zero("n_hex"), F.coalesce("base_sha256", F.lit(_NOTHING)).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"))
 
@@ -119,11 +120,11 @@ def scan_versions(df: DataFrame, ledger: str, rules: str = RULES_VERSION, text_c
 def mask_secrets(df: DataFrame, ledger: str, rules: str = RULES_VERSION, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``df`` scanned by way of ``ledger``, every span of ``text_col`` replaced by ``[kind]``; overlapping spans go together under the first one's kind.
 
-    All columns stay, whatever their names; null texts stay null.
+    All columns stay, whatever their names; null texts stay null. ``df`` must be a stored table.
     """
-    found = scan_versions(df, ledger, rules, text_col, id_col).where("spans <> ''").select("blob", "spans").dropDuplicates(["blob"])
+    found = _scan(df, ledger, rules, text_col, id_col)[1].select("blob", "spans", "n")
     packed = df.select(F.struct(*df.columns).alias("row"), F.col(text_col).alias("text"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("blob"))
-    joined = packed.join(found, "blob", "left").select("row", "text", "spans")
+    joined = spread_join(packed, found, ["blob"], how="left").select("row", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -137,33 +138,13 @@ def mask_secrets(df: DataFrame, ledger: str, rules: str = RULES_VERSION, text_co
     return done.select(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in df.columns])
 
 
-def _key_ends(text: str):
-    """A function from the end of a pem header to that of its key; ends must ascend, so that a text is read once.
-
-    A key ends with its END line; without one before the next header it is the lines of base64 that follow.
-    """
-    marks = [(m.start(), m[1], m[2], m.end()) for m in _PEM_LINE.finditer(text)]
-    n = 0
-
-    def end(z: int) -> int:
-        nonlocal n
-        while n < len(marks) and marks[n][3] <= z:
-            n += 1
-        if n and n < len(marks) and marks[n][1:3] == ("END", marks[n - 1][2]):
-            return marks[n][3]
-        return _PEM_BODY.match(text, z).end()
-
-    return end
-
-
 def masked(text: str, spans: str) -> str:
-    """``spans`` as ``written`` makes them; that of a pem header is carried on to the end of its key."""
+    """``spans`` as ``written`` makes them."""
     out, at, upto = [], 0, 0
-    key_end = _key_ends(text) if "pem:" in spans else None
     for kind, a, z in (s.split(":") for s in spans.split(",")):
         a, z = int(a), int(z)
-        if kind == "pem":
-            z = key_end(z)
+        if kind == "pem" and not text.endswith("PRIVATE KEY-----", a, z) and (tail := _PEM_TAIL.match(text, z)):
+            z = tail.end()
         if a >= upto:
             out += [text[at:a], f"[{kind}]"]
         at = upto = max(z, upto)

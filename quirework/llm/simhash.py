@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from quirework.llm import hamming_trie
 from quirework.llm.components import connected_components
-from quirework.llm.session import materialize, table
+from quirework.llm.session import materialize, spread_join, table
 from quirework.llm.textvec import text_slices
 
 MAX_BUCKET = 1 << 18
@@ -145,21 +145,20 @@ def near_duplicates(df: DataFrame, shingle_words: int = 3, budget: int = 2, text
     has an id. Repeated rows and ids stay as they are.
     """
     marked = materialize(fingerprints(df, shingle_words, text_col, (id_col, *keep)), "fingerprints")
-    classes = _classes(marked, budget, id_col, max_bucket).select("fp", "component_id")
-    # A fingerprint may stand for a third of all rows: its rows are salted, its single class row repeated.
-    salts = 16
-    salted = marked.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int"))
-    spread = classes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(spread, ["fp", "_salt"]).drop("_salt").select(id_col, *keep, "fp", "component_id")
+    classes = materialize(_classes(marked.select(F.col(id_col).alias("id"), "fp"), budget, "id", max_bucket).select("fp", "n", "component_id"), "fingerprint-classes")
+    # Columns asked for keep their names, whatever they are.
+    rows = marked.select("fp", F.struct(id_col, *keep).alias("row"))
+    # A fingerprint may stand for a third of all rows.
+    return spread_join(rows, classes, ["fp"]).select(*[F.col("row")[c].alias(c) for c in (id_col, *keep)], "fp", "component_id")
 
 
 def _classes(marked: DataFrame, budget: int, id_col: str, max_bucket: int) -> DataFrame:
-    """Columns fp, part (the smallest fingerprint reachable), least (smallest id of fp) and component_id of every fingerprint."""
-    distinct = materialize(marked.groupBy("fp").agg(F.min(id_col).alias("least")), "distinct-fingerprints")
+    """Columns fp, part (the smallest fingerprint reachable), least (smallest id of fp), n (its rows) and component_id of every fingerprint."""
+    distinct = materialize(marked.groupBy("fp").agg(F.min(id_col).alias("least"), F.count("*").alias("n")), "distinct-fingerprints")
     parts = connected_components(hamming_pairs(distinct, budget, max_bucket=max_bucket))
-    named = distinct.join(parts, distinct["fp"] == parts["node"], "left").select("fp", F.coalesce("component", "fp").alias("part"), "least")
+    named = distinct.join(parts, distinct["fp"] == parts["node"], "left").select("fp", F.coalesce("component", "fp").alias("part"), "least", "n")
     least = named.groupBy("part").agg(F.min("least").alias("component_id"))
-    return named.join(least, "part").select("fp", "part", "least", "component_id")
+    return named.join(least, "part").select("fp", "part", "least", "n", "component_id")
 
 
 def one_of_each(df: DataFrame, shingle_words: int = 3, budget: int = 2, text_col: str = "text", id_col: str = "doc_id", max_bucket: int = MAX_BUCKET) -> DataFrame:
