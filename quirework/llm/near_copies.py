@@ -1,12 +1,15 @@
-"""One text of each group of near copies, by the real similarity of five-word shingles.
+"""The part of ``simhash`` that links texts by the real similarity of their shingles.
 
 Words are those of ``simhash``; a text's shingles are a set, and a text of fewer words is one
-shingle. Two texts link at a Jaccard similarity of ``SIMILARITY`` or more; texts without words
+shingle. Two texts link at a Jaccard similarity of ``similarity`` or more; texts without words
 (null and empty too) link with one another and with no others. Groups are the components.
 
-Texts of one set of shingles are a class. Classes that agree in one of ``BANDS`` bands of
-``ROWS`` minima share a bucket: at similarity s a pair shares none with probability
-(1 - s ** ROWS) ** BANDS, 5e-6 at 0.8. In a bucket neighbours by size are compared, then by a
+Texts of one set of shingles are a class. Classes whose SimHash fingerprints the trie self-join
+puts into one component share a bucket. Fingerprints alone cannot reach a similarity of 0.8: such
+pairs differ in eight bits on average and hardly ever in two (README has figures), and a budget
+that reaches them would compare everything with everything. So classes that agree in one of
+``BANDS`` bands of ``ROWS`` minima share a bucket too: at similarity s a pair shares none with
+probability (1 - s ** ROWS) ** BANDS, 5e-6 at 0.8. In a bucket neighbours by size are compared, then by a
 random order, and in the end all pairs that no links have joined yet and whose minima agree in
 ``SKETCH`` or more (a pair at 0.8 is six standard deviations above), so that a large group of near
 copies costs in proportion to its members, and texts that share a passage are not compared whole.
@@ -22,29 +25,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
+from quirework.llm import simhash
 from quirework.llm.components import connected_components
-from quirework.llm.session import materialize
+from quirework.llm.session import materialize, partitions
 from quirework.llm.textvec import SpanHasher, column_bytes, gram_hashes, mix, text_slices, word_bounds
 
-SHINGLE, SIMILARITY = 5, 0.8
+SIMILARITY = 0.8
 BANDS, ROWS = 40, 6
-SKETCH = 0.65
+#: Minima that agree, as a share of the similarity asked for.
+SKETCH = 0.65 / 0.8
 _FLUSH = 1 << 16
 _WORD = np.ones(256, bool)
 _WORD[[9, 10, 11, 12, 13, 32]] = False
 _FACTORS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
-def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
+def shingle_sets(texts: pa.Array, shingle_words: int = 5) -> list[np.ndarray]:
     """The distinct shingles of each text, ascending."""
     buf, offs = column_bytes(texts)
     starts, ends, firsts = word_bounds(buf, offs, _WORD)
     words = SpanHasher(buf)(starts, ends)
-    grams, at = gram_hashes(words, firsts, SHINGLE)
+    grams, at = gram_hashes(words, firsts, shingle_words)
     cut = np.searchsorted(at, firsts)
     out = []
     for a, z, g, h in zip(firsts, firsts[1:], cut, cut[1:]):
-        few = z - a < SHINGLE and z > a
+        few = z - a < shingle_words and z > a
         out.append(gram_hashes(words[a:z], np.array([0, z - a]), int(z - a))[0] if few else np.unique(grams[g:h]))
     return out
 
@@ -62,27 +67,28 @@ def bucket_names(shingles: np.ndarray) -> tuple[np.ndarray, bytes]:
     return name.view(np.int64), low.astype(np.uint8).tobytes()
 
 
-def _marked(packed: DataFrame) -> DataFrame:
-    """row, known and id of every row, with cls (its set of shingles; 0 for none), size, the names of its buckets and the sketch."""
+def _marked(packed: DataFrame, shingle_words: int) -> DataFrame:
+    """row, known and id of every row, with cls (its set of shingles; 0 for none), size, fp (the set's SimHash), the names of its buckets and the sketch."""
     import xxhash
 
-    schema = packed.select("row", "known", "id").schema.add("cls", "long").add("size", "long").add("buckets", ArrayType(LongType())).add("sketch", "binary")
+    schema = packed.select("row", "known", "id").schema.add("cls", "long").add("size", "long").add("fp", "long").add("buckets", ArrayType(LongType())).add("sketch", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in text_slices(whole, "text"):
-                sets = shingle_sets(b.column(3))
+                sets = shingle_sets(b.column(3), shingle_words)
                 cls = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) if len(s) else 0 for s in sets], np.uint64).view(np.int64)
+                prints = np.array([simhash.majority_bits(s) for s in sets], np.uint64).view(np.int64)
                 names, sketches = zip(*map(bucket_names, sets))
                 lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, names)]), pa.int32()), pa.array(np.concatenate(names)))
-                yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(cls), pa.array([len(s) for s in sets], pa.int64()), lists, pa.array(sketches, pa.binary())], ["row", "known", "id", "cls", "size", "buckets", "sketch"])
+                yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(cls), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints), lists, pa.array(sketches, pa.binary())], ["row", "known", "id", "cls", "size", "fp", "buckets", "sketch"])
 
     return packed.mapInArrow(run, schema)
 
 
 def _by_bucket(rows: DataFrame, order: str, found, schema: str) -> DataFrame:
     """``found`` over the numbers of each whole bucket, rows in ascending ``order``; it yields tuples of arrays."""
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions(rows.sparkSession)
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,19 +146,19 @@ def _unjoined(similarity: float):
         for i, a, z in zip(rest, lo, hi):
             j = a + np.flatnonzero(at[a:z] != at[i])
             j = j[(at[j] == count.argmax()) | (j > i)]
-            j = j[(sketch[j] == sketch[i]).mean(axis=1) >= SKETCH * similarity / SIMILARITY]
+            j = j[(sketch[j] == sketch[i]).mean(axis=1) >= SKETCH * similarity]
             if len(j):
                 yield np.full(len(j), cls[i]), cls[j]
 
     return found
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, shingle_words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in text_slices(whole, "ta"):
                 ok = []
-                for s, t in zip(shingle_sets(b.column(2)), shingle_sets(b.column(3))):
+                for s, t in zip(shingle_sets(b.column(2), shingle_words), shingle_sets(b.column(3), shingle_words)):
                     both = len(np.intersect1d(s, t, assume_unique=True))
                     ok.append(both >= similarity * (len(s) + len(t) - both) - 1e-9)
                 yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
@@ -162,10 +168,13 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return once.join(one, "a").join(other, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def components(marked: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+def components(marked: DataFrame, similarity: float, shingle_words: int, budget: int, max_bucket: int, text: str = "text") -> DataFrame:
     """node and component of all classes of ``marked`` that link to another one."""
     classes = marked.where("size > 0").select("cls", "size", "buckets").dropDuplicates(["cls"])
-    shared = materialize(_by_bucket(classes.select(F.explode("buckets").alias("bucket"), "cls", "size"), "size", _shared, "bucket long, cls long, size long"), "shared-buckets")
+    prints = materialize(marked.where("size > 0").groupBy("cls").agg(F.first("size").alias("size"), F.first("fp").alias("fp")), "shingle-prints")
+    groups = simhash.print_groups(prints.select(F.col("cls").alias("id"), "fp"), budget, "id", max_bucket).select("fp", F.xxhash64(F.lit("fp"), "part").alias("bucket"))
+    buckets = classes.select(F.explode("buckets").alias("bucket"), "cls", "size").union(prints.join(groups, "fp").select("bucket", "cls", "size"))
+    shared = materialize(_by_bucket(buckets, "size", _shared, "bucket long, cls long, size long"), "shared-buckets")
     texts = materialize(marked.select("cls", "sketch", F.col(text).alias("text")).join(shared.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"]), "candidate-texts")
     labels = links = None
     for turn in ("neighbours", "shuffled", "all"):
@@ -177,18 +186,18 @@ def components(marked: DataFrame, text: str = "text", similarity: float = SIMILA
         else:
             order = F.col("size") if turn == "neighbours" else F.xxhash64("cls")
             pairs = _by_bucket(rows.withColumn("order", order), "order", _neighbours, "a long, b long")
-        new = materialize(_verified(pairs, texts, similarity), "near-links")
+        new = materialize(_verified(pairs, texts, similarity, shingle_words), "near-links")
         links = new if links is None else links.union(new)
         labels = materialize(connected_components(links), "near-components")
     return labels
 
 
-def one_of_each(df: DataFrame, similarity: float = SIMILARITY, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """One row of ``df`` for each group: that of its smallest id, and one that has no id where none has. All columns stay, whatever their names."""
+def one_of_each(df: DataFrame, similarity: float = SIMILARITY, shingle_words: int = 5, budget: int = 2, text_col: str = "text", id_col: str = "doc_id", max_bucket: int = simhash.MAX_BUCKET) -> DataFrame:
+    """One row of ``df`` for each group, as ``simhash.one_of_each`` chooses them."""
     known = F.col(id_col).isNotNull()
     packed = df.select(F.struct(*df.columns).alias("row"), known.alias("known"), F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.col(text_col).alias("text"))
-    marked = materialize(_marked(packed), "shingled")
-    labels = components(marked.select("cls", "size", "buckets", "sketch", F.col("row")[text_col].alias("text")), similarity=similarity)
+    marked = materialize(_marked(packed, shingle_words), "shingled")
+    labels = components(marked.select("cls", "size", "fp", "buckets", "sketch", F.col("row")[text_col].alias("text")), similarity, shingle_words, budget, max_bucket)
     least = marked.groupBy("cls").agg(F.min(F.when(F.col("known"), F.col("id"))).alias("least"))
     named = least.join(labels, least["cls"] == labels["node"], "left").select("cls", F.coalesce("component", "cls").alias("part"), "least")
     group = named.groupBy("part").agg(F.min("least").alias("first"))

@@ -8,7 +8,9 @@ other. A bit is set if it is set in more than half the shingles' XXH64 values (s
 Two fingerprints that differ in at most ``budget`` bits agree in one of ``budget + 1`` bands
 of bits; each band's value names a bucket and the trie walk is run inside each bucket. A
 bucket beyond ``max_bucket`` distinct fingerprints is dealt again by bands of its other
-bits, round by round, so none is ever gathered whole and no pair is lost.
+bits, round by round, so none is ever gathered whole and no pair is lost. As there are only
+2,080 other values within two bits of a fingerprint, pairs grow with the number of distinct
+fingerprints, not with its square, however large a group of near copies is.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from quirework.llm.textvec import text_slices
 
 MAX_BUCKET = 1 << 18
 _FLUSH = 1 << 16
+_BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
 def fingerprint(text: str | None, shingle_words: int = 3) -> int:
@@ -39,11 +42,15 @@ def fingerprint(text: str | None, shingle_words: int = 3) -> int:
     grams = zip(*(words[i:] for i in range(shingle_words))) if len(words) >= shingle_words else [words]
     digest = xxhash.xxh64_intdigest
     hashes = np.array([digest(g, 42) for g in map(b" ".join, grams)], dtype=np.uint64)
-    n = len(hashes)
-    counts = np.zeros(64, np.int64)
-    for at in range(0, n, 4096):
-        counts += np.unpackbits(hashes[at : at + 4096].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
+    return majority_bits(hashes)
+
+
+def majority_bits(hashes: np.ndarray) -> int:
+    """The number whose bits are those set in more than half of ``hashes`` (uint64); zero for none."""
+    columns = hashes.view(np.uint8).reshape(-1, 8)
+    # How often each value of each byte stands there tells how often each of its bits is set.
+    counts = np.stack([np.bincount(columns[:, k], minlength=256) for k in range(8)]) @ _BYTE_BITS
+    return int(np.packbits(2 * counts.ravel() > len(hashes), bitorder="little").view("<u8")[0])
 
 
 def fingerprints(df: DataFrame, shingle_words: int = 3, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -145,14 +152,14 @@ def near_duplicates(df: DataFrame, shingle_words: int = 3, budget: int = 2, text
     has an id. Repeated rows and ids stay as they are.
     """
     marked = materialize(fingerprints(df, shingle_words, text_col, (id_col, *keep)), "fingerprints")
-    classes = materialize(_classes(marked.select(F.col(id_col).alias("id"), "fp"), budget, "id", max_bucket).select("fp", "n", "component_id"), "fingerprint-classes")
+    classes = materialize(print_groups(marked.select(F.col(id_col).alias("id"), "fp"), budget, "id", max_bucket).select("fp", "n", "component_id"), "fingerprint-classes")
     # Columns asked for keep their names, whatever they are.
     rows = marked.select("fp", F.struct(id_col, *keep).alias("row"))
     # A fingerprint may stand for a third of all rows.
     return spread_join(rows, classes, ["fp"]).select(*[F.col("row")[c].alias(c) for c in (id_col, *keep)], "fp", "component_id")
 
 
-def _classes(marked: DataFrame, budget: int, id_col: str, max_bucket: int) -> DataFrame:
+def print_groups(marked: DataFrame, budget: int, id_col: str, max_bucket: int) -> DataFrame:
     """Columns fp, part (the smallest fingerprint reachable), least (smallest id of fp), n (its rows) and component_id of every fingerprint."""
     distinct = materialize(marked.groupBy("fp").agg(F.min(id_col).alias("least"), F.count("*").alias("n")), "distinct-fingerprints")
     parts = connected_components(hamming_pairs(distinct, budget, max_bucket=max_bucket))
@@ -161,13 +168,21 @@ def _classes(marked: DataFrame, budget: int, id_col: str, max_bucket: int) -> Da
     return named.join(least, "part").select("fp", "part", "least", "n", "component_id")
 
 
-def one_of_each(df: DataFrame, shingle_words: int = 3, budget: int = 2, text_col: str = "text", id_col: str = "doc_id", max_bucket: int = MAX_BUCKET) -> DataFrame:
-    """One row of ``df`` for each component: that of its smallest id, and one that has no id where none has. All columns stay, whatever their names."""
+def one_of_each(df: DataFrame, shingle_words: int = 3, budget: int = 2, text_col: str = "text", id_col: str = "doc_id", max_bucket: int = MAX_BUCKET, similarity: float | None = None) -> DataFrame:
+    """One row of ``df`` for each component: that of its smallest id, and one that has no id where none has. All columns stay, whatever their names.
+
+    With ``similarity`` texts link by the real similarity of their shingles: fingerprints within
+    the budget propose pairs, and so does ``near_copies`` for pairs that differ in more bits.
+    """
+    if similarity is not None:
+        from quirework.llm import near_copies
+
+        return near_copies.one_of_each(df, similarity, shingle_words, budget, text_col, id_col, max_bucket)
     # Nulls are told apart by a flag, so that one dealing of the texts by (fp, known, id) serves the join and the choice among repeated rows.
     known = F.col(id_col).isNotNull()
     packed = df.select(F.struct(*df.columns).alias("row"), known.alias("known"), F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.col(text_col).alias("text"))
     marked = materialize(fingerprints(packed, shingle_words, "text", ("row", "known", "id")), "fingerprinted")
-    classes = _classes(marked.select(F.when(F.col("known"), F.col("id")).alias("id"), "fp"), budget, "id", max_bucket)
+    classes = print_groups(marked.select(F.when(F.col("known"), F.col("id")).alias("id"), "fp"), budget, "id", max_bucket)
     # The smallest of the fingerprints that the smallest id has, so one of repeated ids is taken as well.
     own = classes.where(F.col("least").eqNullSafe(F.col("component_id"))).groupBy("part", "component_id").agg(F.min("fp").alias("fp"))
     chosen = own.select("fp", F.col("component_id").isNotNull().alias("known"), F.coalesce("component_id", F.lit(0)).alias("id"))
