@@ -8,9 +8,10 @@ the template's length of one another are merged, and a merged group is kept if i
 ``MIN_COVER`` of the template's positions: that is a verified span.
 
 Base phrases are places where a phrase's words stand consecutively; they need no vote. Null
-and empty texts have no words and no labels. Each row is scanned for itself, repeated ids and
-null ids included; other columns play no part. Any number of hits of one text and template
-only fills that text's own group, which its length bounds.
+and empty texts have no words and no labels. Every row gets a row, repeated ids and null ids
+included; rows of one id and text are scanned together, under a 128-bit hash of both. Other
+columns play no part. Any number of hits of one text and template only fills that text's own
+group, which its length bounds. Words are compared by the 64-bit hashes of their runs.
 """
 
 from __future__ import annotations
@@ -69,16 +70,15 @@ def _gram_rows(df: DataFrame, phrases, text_col: str, id_col: str, k: int) -> Da
     wanted = [(word_hashes(words_of(p)), label) for p, label in phrases]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+        import xxhash
 
-        part = TaskContext.get().partitionId()
-        row = 0
         for whole in batches:
             for b in text_slices(whole, "_text"):
                 n = b.num_rows
-                uid = (np.int64(part) << 40) + row + np.arange(n)
-                row += n
                 buf, offs = column_bytes(b.column(1))
+                # Named by what they hold, so that a task that runs again names them alike.
+                names_of = [xxhash.xxh3_128_digest(buf[a:z].tobytes() + repr(i).encode()) for a, z, i in zip(offs, offs[1:], b.column(0).to_pylist())]
+                uid = np.frombuffer(b"".join(names_of), "<i8").reshape(n, 2)
                 starts, ends, firsts = word_bounds(buf, offs)
                 words = SpanHasher(buf)(starts, ends)
                 doc = np.repeat(np.arange(n), np.diff(firsts))
@@ -101,16 +101,16 @@ def _gram_rows(df: DataFrame, phrases, text_col: str, id_col: str, k: int) -> Da
                 none = n_base == 0
                 base = pa.array([",".join(sorted(x)) for x in labels], pa.string())
                 zeros = pa.array(np.zeros(n, np.int64))
-                names = ["uid", "doc_id", "pos", "h", "n_words", "n_base", "first_word", "last_word", "base_labels"]
-                yield pa.RecordBatch.from_arrays([pa.array(uid), b.column(0), pa.array(np.full(n, -1, np.int32)), zeros, pa.array(np.diff(firsts).astype(np.int64)), pa.array(n_base), pa.array(first, mask=none), pa.array(last, mask=none), base], names)
+                names = ["u0", "u1", "doc_id", "pos", "h", "n_words", "n_base", "first_word", "last_word", "base_labels"]
+                yield pa.RecordBatch.from_arrays([pa.array(uid[:, 0]), pa.array(uid[:, 1]), b.column(0), pa.array(np.full(n, -1, np.int32)), zeros, pa.array(np.diff(firsts).astype(np.int64)), pa.array(n_base), pa.array(first, mask=none), pa.array(last, mask=none), base], names)
                 hashes, at = gram_hashes(words, firsts, k)
                 m = len(at)
                 if m:
                     void = pa.nulls(m, pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(uid[doc[at]]), void, pa.array(place[at].astype(np.int32)), pa.array(hashes.view(np.int64)), void, void, void, void, pa.nulls(m, pa.string())], names)
+                    yield pa.RecordBatch.from_arrays([pa.array(uid[doc[at], 0]), pa.array(uid[doc[at], 1]), void, pa.array(place[at].astype(np.int32)), pa.array(hashes.view(np.int64)), void, void, void, void, pa.nulls(m, pa.string())], names)
 
     source = df.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    return source.mapInArrow(run, "uid long, doc_id long, pos int, h long, n_words long, n_base long, first_word long, last_word long, base_labels string")
+    return source.mapInArrow(run, "u0 long, u1 long, doc_id long, pos int, h long, n_words long, n_base long, first_word long, last_word long, base_labels string")
 
 
 def scan_licenses(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", phrases=PHRASES, templates=TEMPLATES, k: int = K, min_cover: float = MIN_COVER) -> DataFrame:
@@ -125,22 +125,23 @@ def scan_licenses(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     grams = _gram_rows(df, phrases, text_col, id_col, k).withColumn("whole", F.col("pos") == -1)
     hits = grams.join(F.broadcast(marked), ["h", "whole"]).join(F.broadcast(names), "t", "left")
     # Votes of a diagonal: which template positions, and where in the text.
-    votes = hits.groupBy("uid", "t", (F.when(F.col("t") >= 0, F.col("pos") - F.col("q")).otherwise(-1)).alias("diagonal")).agg(
-        F.any_value("label").alias("label"), F.any_value("length").alias("length"), F.collect_set("q").alias("qs"), F.min("pos").alias("lo"), F.max("pos").alias("hi"),
+    votes = hits.groupBy("u0", "u1", "t", (F.when(F.col("t") >= 0, F.col("pos") - F.col("q")).otherwise(-1)).alias("diagonal")).agg(
+        F.any_value("label").alias("label"), F.any_value("length").alias("length"), F.collect_set("q").alias("qs"), F.min("pos").alias("lo"), F.max("pos").alias("hi"), F.sum(F.col("whole").cast("long")).alias("copies"),
         *[F.max(c).alias(c) for c in ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")])
-    by = Window.partitionBy("uid", "t").orderBy("diagonal")
+    by = Window.partitionBy("u0", "u1", "t").orderBy("diagonal")
     near = (F.col("diagonal") - F.lag("diagonal").over(by) <= DIAGONAL_GAP) & (F.col("lo") - F.lag("lo").over(by) < F.col("length"))
     grouped = votes.withColumn("new", F.when(F.coalesce(near, F.lit(False)), 0).otherwise(1)).withColumn("g", F.sum("new").over(by))
-    groups = grouped.groupBy("uid", "t", "g").agg(
-        F.any_value("label").alias("label"), F.any_value("length").alias("length"), F.size(F.array_distinct(F.flatten(F.collect_list("qs")))).alias("covered"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+    groups = grouped.groupBy("u0", "u1", "t", "g").agg(
+        F.any_value("label").alias("label"), F.any_value("length").alias("length"), F.size(F.array_distinct(F.flatten(F.collect_list("qs")))).alias("covered"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("copies").alias("copies"),
         *[F.max(c).alias(c) for c in ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")])
     cover = F.col("covered") / F.col("length")
     span = F.when((F.col("t") >= 0) & (cover >= min_cover), F.struct("label", F.col("lo").cast("long").alias("start"), (F.col("hi") + k).cast("long").alias("end"), cover.alias("cover")))
-    rows = groups.groupBy("uid").agg(F.sort_array(F.collect_list(span)).alias("spans"), *[F.max(c).alias(c) for c in ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")])
+    rows = groups.groupBy("u0", "u1").agg(F.sort_array(F.collect_list(span)).alias("spans"), F.sum("copies").alias("copies"), *[F.max(c).alias(c) for c in ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")])
     base = F.filter(F.split("base_labels", ","), lambda x: x != "")
     labels = F.array_join(F.array_sort(F.array_distinct(F.concat(base, F.transform("spans", lambda s: s["label"])))), ",")
     best = F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max(F.transform("spans", lambda s: s["cover"])), F.lit(0.0)))
-    return rows.select(F.col("doc_id").alias(id_col), "n_words", "n_base", "first_word", "last_word", "base_labels", labels.alias("labels"), best.alias("score"), "spans")
+    each = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return each.select(F.col("doc_id").alias(id_col), "n_words", "n_base", "first_word", "last_word", "base_labels", labels.alias("labels"), best.alias("score"), "spans")
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

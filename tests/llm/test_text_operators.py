@@ -90,6 +90,8 @@ def test_license_scan_of_repeats_and_nothing(spark):
     d = docs(spark, ["all rights reserved"] * 3 + [None], [1, 1, None, None])
     got = licenses.scan_licenses(d).collect()
     assert len(got) == 4 and sum(r.n_base for r in got) == 3
+    again = [r for r in licenses.scan_licenses(d.union(d).repartition(5)).collect()]
+    assert len(again) == 8 and sum(r.n_base for r in again) == 6 and sorted((str(r.doc_id), r.labels) for r in again) == sorted((str(r.doc_id), r.labels) for r in got + got)
     assert licenses.scan_licenses(d.limit(0)).count() == 0
 
 
