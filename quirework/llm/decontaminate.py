@@ -3,23 +3,28 @@
 Test items are cut into units of at most ``UNIT_WORDS`` words and indexed by impact: the BM25
 weight of a term in a unit over the unit's own total, so a passage that holds all of a unit
 scores 1. Every text is cut into segments of ``SEGMENT_WORDS`` words, each two neighbours
-being a passage, and every passage is a query. As in block-max WAND a passage is dropped
-when the largest impacts of its terms cannot reach the threshold, then every block of
-``BLOCK_UNITS`` units whose block maxima cannot, and only units of the blocks left are scored;
-the three steps are taken for all passages of a slice of texts at once. All units at or
-above the threshold are retrieved.
+being a passage, and every passage is a query that retrieves all units at or above the threshold.
+
+The search is block-max WAND, taken for all passages of a slice of texts side by side. A range of
+units is passed over whole where the largest impacts of a passage's terms in it cannot reach
+the threshold. In the ranges left each passage has a cursor into the postings of each of its
+terms; ordered by unit, the first cursor at which the terms' largest impacts add up to the
+threshold is the pivot, as no unit before it can reach it. If the maxima of the pivot's block of
+``BLOCK_UNITS`` units cannot either, all cursors skip to the end of the block or the next cursor;
+else the pivot is scored and they go on behind it.
 
 A retrieved item is verified in the text around the passage: at least ``MIN_OVERLAP`` of the
 five-word shingles of its question and of its answer must stand there (a part of fewer words
 is one shingle). Where items have no answer column, the answer is the last sentence, or the
 last five words of an item of one sentence, and the question what is before it; as this parting
-is a guess, at least ``MIN_OVERLAP`` of the whole item's shingles will do as well.
+is a guess, at least ``MIN_OVERLAP`` of the whole item's shingles will do as well. An item of more
+than ``ITEM_WORDS`` words is taken as several of that length, each found for itself.
 
 Statistics of the index (document frequencies, mean length) are over all items. An index
 holds at most ``INDEX_UNITS`` units, which bounds what is broadcast; a larger benchmark takes
 several, each run over all texts. Null and empty texts match nothing, nor do items without
 words; items of equal id count as one, matched if any is, and repeated rows of a document
-give one row.
+give one row. Columns beyond those named play no part, or stay as they are in ``drop_leaks``.
 """
 
 from __future__ import annotations
@@ -36,7 +41,8 @@ from quirework.llm.session import materialize, table
 from quirework.llm.textvec import SpanHasher, column_bytes, gram_hashes, text_slices, word_bounds, word_hashes, words_of
 
 UNIT_WORDS, SEGMENT_WORDS, BLOCK_UNITS = 48, 32, 16
-INDEX_UNITS = 2048
+#: Units in an index, ranges of units bounded at once, and words of an item held together.
+INDEX_UNITS, RANGES, ITEM_WORDS = 16_384, 64, 8192
 THRESHOLD, MIN_OVERLAP, SHINGLE = 0.5, 0.8, 5
 K1, B = 1.2, 0.75
 _SENTENCE = re.compile(r"(?<=[.?!])\s+(?=\S)")
@@ -59,21 +65,25 @@ def _shingles(words: list[str]) -> np.ndarray:
 
 
 class Index:
-    """Impacts of a bounded number of units, sorted by term and unit, with block maxima."""
+    """Impacts of a bounded number of units, sorted by term and unit, with the maxima of blocks and of ranges of blocks."""
 
     def __init__(self, unit: np.ndarray, term: np.ndarray, impact: np.ndarray, owner: np.ndarray, items: list[tuple], parted: bool = True):
         self.terms, tid = np.unique(term, return_inverse=True)
-        order = np.lexsort((unit, tid))
-        self.unit, self.impact, tid = unit[order], impact[order].astype(np.float64), tid[order]
         self.owner, self.items = owner, items  # unit -> number of its item; item: id, question words, answer words
-        self.blocks = max(1, -(-len(owner) // BLOCK_UNITS))
-        # Where the postings of (term, block) begin, and the largest impact among them.
-        cell = tid * self.blocks + self.unit // BLOCK_UNITS
-        self.begin = np.searchsorted(cell, np.arange(len(self.terms) * self.blocks + 1))
-        self.block_max = np.zeros(len(self.terms) * self.blocks, np.float32)
-        np.maximum.at(self.block_max, cell, np.nextafter(self.impact.astype(np.float32), np.float32(2)))
-        self.block_max = self.block_max.reshape(len(self.terms), self.blocks)
-        self.term_max = self.block_max.max(axis=1) if len(self.terms) else np.zeros(0, np.float32)
+        self.span = -(-max(len(owner), 1) // BLOCK_UNITS) * BLOCK_UNITS
+        order = np.lexsort((unit, tid))
+        self.place = tid[order].astype(np.int64) * self.span + unit[order]  # ascending: term, then unit
+        self.impact = impact[order].astype(np.float64)
+        block = self.place // BLOCK_UNITS
+        first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(block) else np.zeros(0, np.int64)
+        # Of each posting the largest impact of its term in its block, and of each term in each range of blocks.
+        self.block_max = np.repeat(np.maximum.reduceat(self.impact, first), np.diff(np.append(first, len(block)))) if len(block) else self.impact
+        blocks = self.span // BLOCK_UNITS
+        self.range_units = -(-blocks // min(RANGES, blocks)) * BLOCK_UNITS
+        self.ranges = -(-self.span // self.range_units)
+        self.range_max = np.zeros(len(self.terms) * self.ranges, np.float32)
+        np.maximum.at(self.range_max, self.place // self.span * self.ranges + self.place % self.span // self.range_units, np.nextafter(self.impact.astype(np.float32), np.float32(2)))
+        self.range_max = self.range_max.reshape(len(self.terms), self.ranges)
         # A table by the hash's top 16 bits narrows the search for a word.
         self.sieve = np.zeros(1 << 16, bool)
         self.sieve[(self.terms >> np.uint64(48)).astype(np.int64)] = True
@@ -82,48 +92,89 @@ class Index:
         # Of items that are one text: the shingles of all of it.
         self.whole = None if parted else [(_shingles(q + a), min(SHINGLE, max(len(q) + len(a), 1))) for _, q, a in items]
         self.length = np.array([len(q) + len(a) for _, q, a in items], np.int64)
+        self.scored = 0  # postings read for scores so far
 
     def search(self, passage: np.ndarray, tid: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(passage, unit, score) of all scores at or above the threshold; passage ascends, each with distinct terms."""
         none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         if not len(passage):
             return none
-        slack = threshold - 1e-4  # bounds are sums of rounded-up 32-bit numbers
-        edge = np.flatnonzero(np.concatenate([[True], passage[1:] != passage[:-1]]))
-        able = np.add.reduceat(self.term_max[tid], edge) >= slack
-        if not able.any():
-            return none
-        stays = np.repeat(able, np.diff(np.append(edge, len(tid))))
-        passage, tid = passage[stays], tid[stays]
         edge = np.flatnonzero(np.concatenate([[True], passage[1:] != passage[:-1]]))
         stop = np.append(edge[1:], len(tid))
         found = []
-        step = max(1, (1 << 20) // self.blocks)  # rows of block maxima gathered at once
+        step = max(1, (1 << 20) // self.ranges)  # rows of range maxima gathered at once
         at = 0
         while at < len(edge):
             upto = max(at + 1, int(np.searchsorted(edge, edge[at] + step, "right")) - 1)
             lo, hi = edge[at], stop[upto - 1]
-            bound = np.add.reduceat(self.block_max[tid[lo:hi]], edge[at:upto] - lo, axis=0)
-            p, block = np.nonzero(bound >= slack)
-            if len(p):
-                found.append(self._score(p + at, block, edge, stop, tid, threshold))
+            bound = np.add.reduceat(self.range_max[tid[lo:hi]], edge[at:upto] - lo, axis=0)
+            p, where = np.nonzero(bound >= threshold - 1e-4)  # bounds are sums of rounded-up 32-bit numbers
+            # Passages of like length go together; what is missing in a row of terms is a term without postings.
+            count = stop[p + at] - edge[p + at]
+            for rows in np.array_split(np.argsort(count, kind="stable"), max(1, -(-int(count.sum()) // (1 << 17)))):
+                if len(rows):
+                    width = int(count[rows].max())
+                    cell = edge[p[rows] + at][:, None] + np.arange(width)
+                    t = np.where(np.arange(width) < count[rows][:, None], tid[np.minimum(cell, len(tid) - 1)], -1)
+                    row, unit, score = self._wand(t, where[rows], threshold - 1e-9)
+                    found.append((p[rows][row] + at, unit, score))
             at = upto
         if not found:
             return none
         p, unit, score = (np.concatenate(x) for x in zip(*found))
         return passage[edge[p]], unit, score
 
-    def _score(self, p, block, edge, stop, tid, threshold):
-        count = stop[p] - edge[p]
-        pair = np.repeat(np.arange(len(p)), count)
-        t = tid[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(edge[p], count)]
-        cell = t * self.blocks + block[pair]
-        size = self.begin[cell + 1] - self.begin[cell]
-        who = np.repeat(pair, size)
-        posting = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(self.begin[cell], size)
-        sums = np.bincount(who * BLOCK_UNITS + self.unit[posting] % BLOCK_UNITS, self.impact[posting], minlength=len(p) * BLOCK_UNITS)
-        ok = np.flatnonzero(sums >= threshold - 1e-9)
-        return p[ok // BLOCK_UNITS], block[ok // BLOCK_UNITS] * BLOCK_UNITS + ok % BLOCK_UNITS, sums[ok]
+    def _wand(self, t: np.ndarray, where: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, unit, score) of rows of term numbers (-1: none), each within one range of units."""
+        known = t >= 0
+        base = t * self.span
+        most = np.where(known, self.range_max[np.maximum(t, 0), where[:, None]], 0).astype(np.float64)
+        end = np.minimum((where + 1) * self.range_units, self.span)
+        far = self.span  # where a cursor stands that has no posting left in the range
+        last = np.append(self.place, np.iinfo(np.int64).max)
+
+        def seek(base, known, end, target):
+            """First posting of each term at or after ``target``, and its unit."""
+            at = np.searchsorted(self.place, np.where(known, base + target[:, None], 0))
+            unit = last[at] - base
+            return at, np.where(known & (unit < end[:, None]), unit, far)
+
+        row = np.arange(len(t))
+        _, unit = seek(base, known, end, where * self.range_units)
+        rows, units, scores = [], [], []
+        while len(row):
+            order = np.argsort(unit, axis=1)
+            sorted_units = np.take_along_axis(unit, order, axis=1)
+            upto = np.cumsum(np.take_along_axis(most, order, axis=1), axis=1) >= threshold - 1e-6
+            k = upto.argmax(axis=1)
+            pivot = np.where(upto.any(axis=1), sorted_units[np.arange(len(row)), k], far)
+            alive = pivot < far
+            if not alive.all():
+                row, base, known, most, end, unit, pivot = (x[alive] for x in (row, base, known, most, end, unit, pivot))
+                if not len(row):
+                    break
+            behind = unit <= pivot[:, None]
+            # Terms that stand before the pivot or at it, sought to the beginning of its block: the most they give there.
+            block = pivot // BLOCK_UNITS
+            at, here = seek(base, known & behind, end, np.maximum(block * BLOCK_UNITS, 0))
+            inside = behind & (here // BLOCK_UNITS == block[:, None])
+            able = np.where(inside, self.block_max[np.minimum(at, len(self.block_max) - 1)], 0).sum(axis=1) >= threshold - 1e-9
+            onward = np.where(behind, far, unit).min(axis=1)
+            target = np.where(able, pivot, np.minimum((block + 1) * BLOCK_UNITS, onward))
+            if able.any():
+                at, here = seek(base[able], (known & behind)[able], end[able], pivot[able])
+                hit = here == pivot[able][:, None]
+                self.scored += int(hit.sum())
+                score = np.where(hit, self.impact[np.minimum(at, len(self.impact) - 1)], 0).sum(axis=1)
+                good = score >= threshold
+                rows.append(row[able][good])
+                units.append(pivot[able][good])
+                scores.append(score[good])
+                target = np.where(able, pivot + 1, target)
+            unit = np.where(behind, seek(base, known & behind, end, target)[1], unit)
+        if not rows:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        return np.concatenate(rows), np.concatenate(units), np.concatenate(scores)
 
     def term_ids(self, words: np.ndarray) -> np.ndarray:
         """Number of each word's term, -1 for words that no unit has."""
@@ -141,17 +192,20 @@ def units_of(words: list[str]) -> list[list[str]]:
     return [words[len(words) * i // n : len(words) * (i + 1) // n] for i in range(n)]
 
 
-def build_indexes(items: DataFrame, index_units: int = INDEX_UNITS, id_col: str = "item_id", text_col: str = "text", answer_col: str | None = None) -> Iterator[Index]:
+def build_indexes(items: DataFrame, index_units: int = INDEX_UNITS, id_col: str = "item_id", text_col: str = "text", answer_col: str | None = None, item_words: int = ITEM_WORDS) -> Iterator[Index]:
     """Indexes that hold all items between them, built one at a time on the driver."""
     source = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("question"), (F.col(answer_col) if answer_col else F.lit(None)).cast("string").alias("answer")).distinct()
+    item_words = min(item_words, index_units * UNIT_WORDS // 8)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for item, q, a in zip(*(c.to_pylist() for c in b.columns)):
                 question, answer = question_and_answer(q) if answer_col is None else (words_of(q or ""), words_of(a or ""))
-                units = units_of(question + answer)
-                if units:
-                    yield pa.RecordBatch.from_pylist([{"item_id": item, "question": question, "answer": answer, "units": units, "n": len(units)}], schema=kinds)
+                words, n = question + answer, len(question)
+                for at in range(0, len(words), item_words):  # as a rule once
+                    own = words[at : at + item_words]
+                    parted = max(0, min(n - at, len(own)))
+                    yield pa.RecordBatch.from_pylist([{"item_id": item, "question": own[:parted], "answer": own[parted:], "units": units_of(own), "n": len(units_of(own))}], schema=kinds)
 
     kinds = pa.schema([("item_id", pa.int64()), ("question", pa.list_(pa.string())), ("answer", pa.list_(pa.string())), ("units", pa.list_(pa.list_(pa.string()))), ("n", pa.int64())])
     held = materialize(source.mapInArrow(cut, "item_id long, question array<string>, answer array<string>, units array<array<string>>, n long"), "benchmark-items")
@@ -160,11 +214,15 @@ def build_indexes(items: DataFrame, index_units: int = INDEX_UNITS, id_col: str
     if not total:
         return
     frequency = units.select(F.explode(F.array_distinct("u")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    parts = -(-total // (index_units // 2))  # dealt by hash, so half the bound on average
-    dealt = materialize(held.withColumn("part", F.pmod(F.xxhash64("item_id", "question", "answer"), F.lit(parts))), "benchmark-parts")
+    parts = max(1, -(-total * 5 // (index_units * 4)))
+    while True:  # dealt by hash, over more indexes if one would hold too many
+        dealt = materialize(held.withColumn("part", F.pmod(F.xxhash64("item_id", "question", "answer"), F.lit(parts))), "benchmark-parts")
+        if dealt.groupBy("part").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] <= index_units or parts >= total:
+            break
+        parts = min(2 * parts, total)
     for part in range(parts):
         own = dealt.where(F.col("part") == part)
-        rows = own.select("item_id", "question", "answer", "units").collect()  # bounded by index_units on average half full
+        rows = own.select("item_id", "question", "answer", "units").collect()  # at most index_units units
         if not rows:
             continue
         df = {r["term"]: r["df"] for r in own.select(F.explode(F.flatten("units")).alias("term")).distinct().join(frequency, "term").collect()}

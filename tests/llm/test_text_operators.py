@@ -165,20 +165,39 @@ def test_leaks_of_nothing(spark):
     assert decontaminate.find_leaks(d.limit(0), some).count() == 0
 
 
-def test_block_max_search_equals_full_scores():
-    rng = np.random.default_rng(0)
-    units = [np.unique(rng.integers(0, 60, 12)) for _ in range(70)]
-    unit = np.concatenate([[u] * len(t) for u, t in enumerate(units)])
-    term = np.concatenate(units).astype(np.uint64)
-    impact = np.concatenate([np.full(len(t), 1 / len(t)) for t in units])
-    index = decontaminate.Index(unit, term, impact, np.arange(70), [(i, [], []) for i in range(70)])
-    passages = [np.unique(rng.integers(0, 60, 25)) for _ in range(50)]
+@pytest.mark.parametrize("units,vocabulary,length,ranges", [(70, 60, 12, 64), (900, 400, 12, 3), (2000, 3000, 30, 64), (1, 5, 3, 64), (333, 2000, 20, 1)])
+def test_block_max_search_equals_full_scores(monkeypatch, units, vocabulary, length, ranges):
+    monkeypatch.setattr(decontaminate, "RANGES", ranges)
+    rng = np.random.default_rng(units)
+    held = [np.unique((vocabulary * rng.random(length) ** 2).astype(int)) for _ in range(units)]
+    unit = np.concatenate([[u] * len(t) for u, t in enumerate(held)])
+    term = np.concatenate(held).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    impact = np.concatenate([x / x.sum() for t in held for x in [rng.random(len(t)) + 0.1]])
+    index = decontaminate.Index(unit, term, impact, np.arange(units), [(i, [], []) for i in range(units)])
+    passages = [np.unique(np.concatenate([(vocabulary * rng.random(2 * length) ** 2).astype(int), held[i % units][: length // (1 + i % 3)]])) for i in range(150)]
     p = np.concatenate([[i] * len(t) for i, t in enumerate(passages)])
-    tid = index.term_ids(np.concatenate(passages).astype(np.uint64))
+    tid = index.term_ids(np.concatenate(passages).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     ok = tid >= 0
     got = {(a, b): s for a, b, s in zip(*index.search(p[ok], tid[ok], 0.5))}
-    want = {(i, u): np.isin(t, q).mean() for i, q in enumerate(passages) for u, t in enumerate(units) if np.isin(t, q).mean() >= 0.5}
+    weight = np.zeros((units, vocabulary))
+    weight[unit, np.concatenate(held)] = impact
+    full = np.stack([weight[:, t].sum(axis=1) for t in passages])
+    want = {(i, u): full[i, u] for i, u in zip(*np.nonzero(full >= 0.5 - 1e-9))}
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    all_postings = int(sum((weight[:, t] > 0).sum() for t in passages))
+    if units >= 900:  # skipping spares most postings
+        assert index.scored < all_postings / 2, (index.scored, all_postings)
+
+
+def test_long_items_are_cut(spark):
+    words = [f"{a}{i % 977}" for i, a in enumerate(np.random.default_rng(2).choice(WORDS, 3000))]
+    benchmark = spark.createDataFrame([(1, " ".join(words)), (2, item(2))], "item_id long, text string")
+    d = docs(spark, [" ".join(words), "x " * 50 + " ".join(words[1000:2600]), "other words " * 200, item(2)])
+    got = sorted((r.doc_id, r.item_id) for r in decontaminate.find_leaks(d, benchmark, index_units=40).collect())
+    assert got == [(0, 1), (1, 1), (3, 2)]
+    assert all(len(i.owner) <= 40 for i in decontaminate.build_indexes(benchmark, 40))
+    # Held together, the larger part of an item is not the item.
+    assert sorted((r.doc_id, r.item_id) for r in decontaminate.find_leaks(d, benchmark).collect()) == [(0, 1), (3, 2)]
 
 
 PII = ["Mr. John Smith wrote to mary.jones7@mail3.example.com, later Mr Smith called +1 (743) 555-3824.", "Call (743) 555-3824 or JOHN SMITH at 192.168.4.20", "card 4757965300669737, not 9870157079875996, nor version 1.2.3", None, "", "clean words only",
