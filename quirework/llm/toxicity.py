@@ -12,8 +12,10 @@ cuts; severity is the expected grade.
 The model is fitted on a bounded sample of labelled rows: for either label, the
 ``MAX_LABELLED`` rows of smallest hashed id. All rows are scored over whole texts. Null and
 empty texts have no features and severity near zero. Labels that are null, or without a
-document, are left out; an id with several labels counts as toxic if one says so. With no
-example of one label there is no model, severity is 0 and nothing is toxic.
+document, are left out; an id with several labels counts as toxic if one says so, and of several
+documents with one id the smallest text is learned from. Repeated rows are scored each for
+itself and alike; columns beyond those named play no part, or stay as they are in ``keep_clean``.
+With no example of one label there is no model, severity is 0 and nothing is toxic.
 """
 
 from __future__ import annotations
@@ -117,29 +119,37 @@ def fit_grader(rows: np.ndarray, feats: np.ndarray, values: np.ndarray, toxic: n
     grade = np.where(toxic, 1 + np.searchsorted(terciles, evidence, "left"), 0)
     # Half the weight to either label, so that the sample's mix plays no part.
     share = np.where(toxic, 0.5 / n1, 0.5 / n0)
-    above = (grade[:, None] > np.arange(GRADES - 1)[None, :]).astype(np.float64)
     # Cuts are the first one and positive steps (logarithms), so they ascend.
     w, free = np.zeros(len(chosen)), np.array([2.0, 0.0, 0.0])
     moments = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(free), np.zeros_like(free)]
     for step in range(1, rounds + 1):
-        cuts = free[0] + np.concatenate([[0.0], np.cumsum(np.exp(free[1:]))])
-        q = 1 / (1 + np.exp(-np.clip((x @ w)[:, None] - cuts, -30, 30)))  # P(grade > k)
-        full = np.concatenate([np.ones((len(q), 1)), q, np.zeros((len(q), 1))], axis=1)
-        i = np.arange(len(q))
-        mass = np.maximum(full[i, grade] - full[i, grade + 1], 1e-9)
-        slope = full * (1 - full)
-        d_eta = share * (slope[i, grade] - slope[i, grade + 1]) / mass
-        d_cut = np.zeros(GRADES - 1)
-        for k in range(GRADES - 1):
-            d_cut[k] = (share * (np.where(grade == k + 1, -1.0, 0.0) + np.where(grade == k, 1.0, 0.0)) * slope[:, k + 1] / mass).sum()
-        g_w = -(x.T @ d_eta.astype(np.float32)) + ridge * w
-        g_free = -np.concatenate([[d_cut.sum()], np.exp(free[1:]) * np.cumsum(d_cut[::-1])[::-1][1:]])
+        _, g_w, g_free = objective(x, grade, share, w, free, ridge)
         for value, g, m, v in ((w, g_w, moments[0], moments[1]), (free, g_free, moments[2], moments[3])):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             value -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    cuts = free[0] + np.concatenate([[0.0], np.cumsum(np.exp(free[1:]))])
-    return Grader(names[chosen], w, cuts)
+    return Grader(names[chosen], w, ascending(free))
+
+
+def ascending(free: np.ndarray) -> np.ndarray:
+    """Cuts from the first one and the logarithms of the steps between them."""
+    return free[0] + np.concatenate([[0.0], np.cumsum(np.exp(free[1:]))])
+
+
+def objective(x: np.ndarray, grade: np.ndarray, share: np.ndarray, w: np.ndarray, free: np.ndarray, ridge: float) -> tuple[float, np.ndarray, np.ndarray]:
+    """Weighted negative log likelihood of the grades with a ridge on the weights, and its gradients by ``w`` and ``free``."""
+    q = 1 / (1 + np.exp(-np.clip((x @ w)[:, None] - ascending(free), -30, 30)))  # P(grade > k)
+    full = np.concatenate([np.ones((len(q), 1)), q, np.zeros((len(q), 1))], axis=1)
+    i = np.arange(len(q))
+    mass = np.maximum(full[i, grade] - full[i, grade + 1], 1e-9)
+    slope = full * (1 - full)
+    d_eta = share * (slope[i, grade] - slope[i, grade + 1]) / mass
+    d_cut = np.zeros(GRADES - 1)
+    for k in range(GRADES - 1):
+        d_cut[k] = (share * (np.where(grade == k + 1, -1.0, 0.0) + np.where(grade == k, 1.0, 0.0)) * slope[:, k + 1] / mass).sum()
+    g_w = -(x.T @ d_eta.astype(x.dtype)) + ridge * w
+    g_free = -np.concatenate([[d_cut.sum()], np.exp(free[1:]) * np.cumsum(d_cut[::-1])[::-1][1:]])
+    return float(-(share * np.log(mass)).sum() + ridge / 2 * (w @ w)), g_w, g_free
 
 
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Grader:

@@ -247,3 +247,11 @@ def test_url_verdicts(spark, url, host, path, rule, verdict):
 def test_urls_of_nothing(spark):
     d = spark.createDataFrame([(None, None), (1, "http://x"), (1, "http://x")], "page_id long, url string")
     assert url_filter.judge_urls(d).count() == 3 and url_filter.judge_urls(d.limit(0)).count() == 0
+
+
+def test_vocabulary_of_a_file(spark):
+    strict, soft = url_filter.read_vocabulary(["strict Evil", "5 heavy  # alone it is not enough", "1 light", "", "# none"])
+    assert (strict, soft) == (("evil",), {"heavy": 5, "light": 1})
+    d = spark.createDataFrame(list(enumerate(["http://x.io/EVIL", "http://x.io/heavy/heavy", "http://x.io/heavy-light", "http://x.io/light"])), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_filter.judge_urls(d, strict=strict, soft=soft).collect()}
+    assert got == {0: "block", 1: "allow", 2: "block", 3: "allow"}

@@ -121,6 +121,44 @@ def test_toxicity_grades_held_out_rows(spark):
     assert kept.schema == d.schema and sorted(r.doc_id for r in kept.collect()) == [i for i in range(120) if not toxic[i]]
 
 
+def test_toxicity_gradients():
+    rng = np.random.default_rng(5)
+    x, grade, share = rng.random((40, 7)), rng.integers(0, 4, 40), rng.random(40) / 40
+    w, free = rng.standard_normal(7), np.array([0.4, -0.3, 0.2])
+    _, g_w, g_free = toxicity.objective(x, grade, share, w, free, 0.01)
+    at = lambda w, free: toxicity.objective(x, grade, share, w, free, 0.01)[0]
+    for k in range(7):
+        e = np.eye(7)[k] * 1e-6
+        assert g_w[k] == pytest.approx((at(w + e, free) - at(w - e, free)) / 2e-6, rel=1e-4, abs=1e-8)
+    for k in range(3):
+        e = np.eye(3)[k] * 1e-6
+        assert g_free[k] == pytest.approx((at(w, free + e) - at(w, free - e)) / 2e-6, rel=1e-4, abs=1e-8)
+
+
+def test_toxicity_by_a_dense_model(spark):
+    """Scores by plain counting of words and beginnings, with the fitted weights."""
+    d, labels, texts, toxic = labelled(spark)
+    grader = toxicity.train(d, labels)
+    name = lambda b: toxicity.SpanHasher(np.frombuffer(b, np.uint8))(np.array([0]), np.array([len(b)]))[0]
+    place = {int(f): i for i, f in enumerate(grader.features)}
+    rows = {r.doc_id: r for r in toxicity.grade(d, grader).collect()}
+    for i, text in enumerate(texts):
+        words, counts = text.encode().split(), {}
+        for word in words:
+            for f in [int(name(word) ^ toxicity._WHOLE), *[int(name(word[:n])) for n in toxicity.PREFIXES if len(word) > n]]:
+                counts[f] = counts.get(f, 0) + 1
+        score = sum(grader.weights[place[f]] * min(1, toxicity.FULL_SHARE * n / max(len(words), toxicity.LEAST_WORDS)) for f, n in counts.items() if f in place)
+        q = 1 / (1 + np.exp(-(score - grader.cuts)))
+        assert rows[i].severity == pytest.approx(q.sum(), abs=1e-5) and rows[i].p_toxic == pytest.approx(q[0], abs=1e-5)
+
+
+def test_toxicity_of_repeated_rows(spark):
+    d, labels, texts, _ = labelled(spark)
+    twice = d.union(d)
+    got = toxicity.grade(twice, toxicity.train(twice, labels.union(labels))).collect()
+    assert len(got) == 2 * len(texts) and len({(r.doc_id, r.severity) for r in got}) == len(texts)
+
+
 def test_toxicity_without_a_model(spark):
     d = docs(spark, [None, "", "text"], [1, None, 3])
     grader = toxicity.train(d, spark.createDataFrame([(3, 1, 1), (None, 0, 1), (9, 1, None)], "doc_id long, quality int, toxic int"))
