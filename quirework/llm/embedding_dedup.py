@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirework.llm.components import connected_components
+from quirework.llm.grouping import group_starts, roots, unite, whole_groups
 from quirework.llm.session import materialize, partitions, spread_join, table
 
 BITS, RADIUS = 128, 40
@@ -197,41 +198,6 @@ def _class_links(classes: DataFrame, dim: int, rows: int, min_cosine: float, rad
     return near, blocks.where("other <> cls").select(F.col("cls").alias("a"), F.col("other").alias("b")), blocks.select("cls", "near")
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
-    """Batches of whole groups of rows that agree in the first ``keys`` columns; rows come by them."""
-    held: list[pa.RecordBatch] = []
-    rows = 0
-    for b in batches:
-        if not b.num_rows:
-            continue
-        held.append(b)
-        rows += b.num_rows
-        last = b.slice(b.num_rows - 1, 1)
-        if rows < 1 << 13:
-            continue
-        whole = pa.concat_batches(held)
-        same = np.ones(rows, bool)
-        for c in range(keys):
-            same &= np.asarray(whole.column(c)) == last.column(c)[0].as_py()
-        cut = int(np.argmax(same))
-        if cut:
-            yield whole.slice(0, cut)
-            held, rows = [whole.slice(cut)], rows - cut
-        else:
-            held = [whole]
-    if rows:
-        yield pa.concat_batches(held)
-
-
-def _starts(batch: pa.RecordBatch, keys: int) -> np.ndarray:
-    new = np.zeros(batch.num_rows, bool)
-    new[0] = True
-    for c in range(keys):
-        values = np.asarray(batch.column(c))
-        new[1:] |= values[1:] != values[:-1]
-    return np.flatnonzero(new)
-
-
 def _elsewhere(masks: np.ndarray, t: np.ndarray, d0: np.ndarray, d1: np.ndarray) -> np.ndarray:
     """Whether pairs of table ``t`` whose codes differ in d0 and d1 share a bucket of a table before it."""
     out = np.zeros(np.broadcast(t, d0).shape, bool)
@@ -243,10 +209,10 @@ def _elsewhere(masks: np.ndarray, t: np.ndarray, d0: np.ndarray, d1: np.ndarray)
 def _bucket_pairs(batches: Iterator[pa.RecordBatch], masks: np.ndarray, radius: int, dense: int) -> Iterator[pa.RecordBatch]:
     """Rows of two kinds: pairs (a, b) within the radius, and members a (b null) of groups with over ``dense`` pairs a member."""
     names = ["a", "b", "t", "key", "i", "j", "own"]
-    for whole in _groups(batches, 4):
+    for whole in whole_groups(batches, 4):
         t, key, i, j, own, cls, c0, c1 = (np.asarray(c) for c in whole.columns)
         c0, c1 = c0.view(np.uint64), c1.view(np.uint64)
-        edge = _starts(whole, 4)
+        edge = group_starts(whole, 4)
         size = np.diff(np.append(edge, len(t)))
         group = np.repeat(np.arange(len(edge)), size)
         # Row r of a group meets the rows after it.
@@ -284,8 +250,8 @@ def _bucket_pairs(batches: Iterator[pa.RecordBatch], masks: np.ndarray, radius:
 
 def _dense_links(batches: Iterator[pa.RecordBatch], rotation: Rotation, masks: np.ndarray, dim: int, min_cosine: float) -> Iterator[pa.RecordBatch]:
     """cls, other (a class it is joined to, or itself) and near (vectors linked to it) of every row of every dense group."""
-    for whole in _groups(batches, 4):
-        edge = _starts(whole, 4)
+    for whole in whole_groups(batches, 4):
+        edge = group_starts(whole, 4)
         for a, z in zip(edge, np.append(edge[1:], whole.num_rows)):
             b = whole.slice(a, z - a)
             m = b.num_rows
@@ -304,28 +270,9 @@ def _dense_links(batches: Iterator[pa.RecordBatch], rotation: Rotation, masks: n
                 mine = ~_elsewhere(masks, t[:1], codes[lo + r, 0] ^ codes[c, 0], codes[lo + r, 1] ^ codes[c, 1])
                 r, c = lo + r[mine], c[mine]
                 near += np.bincount(r, n[c], minlength=m).astype(np.int64)
-                _unite(joined, r, c)
-            roots = _roots(joined)
-            yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array(cls[roots]), pa.array(near)], ["cls", "other", "near"])
-
-
-def _roots(joined: np.ndarray) -> np.ndarray:
-    while True:
-        up = joined[joined]
-        if (up == joined).all():
-            return joined
-        joined[:] = up
-
-
-def _unite(joined: np.ndarray, r: np.ndarray, c: np.ndarray) -> None:
-    """Put the ends of each link under one root; ``joined`` points at smaller positions."""
-    while len(r):
-        roots = _roots(joined)
-        a, b = roots[r], roots[c]
-        apart = a != b
-        r, c = np.maximum(a, b)[apart], np.minimum(a, b)[apart]
-        if len(r):
-            np.minimum.at(joined, r, c)
+                unite(joined, r, c)
+            top = roots(joined)
+            yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array(cls[top]), pa.array(near)], ["cls", "other", "near"])
 
 
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,8 +11,12 @@ that reaches them would compare everything with everything. So classes that agre
 ``BANDS`` bands of ``ROWS`` minima share a bucket too: at similarity s a pair shares none with
 probability (1 - s ** ROWS) ** BANDS, 5e-6 at 0.8. In a bucket neighbours by size are compared, then by a
 random order, and in the end all pairs that no links have joined yet and whose minima agree in
-``SKETCH`` or more (a pair at 0.8 is six standard deviations above), so that a large group of near
-copies costs in proportion to its members, and texts that share a passage are not compared whole.
+``SKETCH`` or more (a pair at 0.8 is six standard deviations above), so texts that share a passage
+are not compared whole. Where those are over ``DENSE`` for each of a bucket's classes, the classes
+are gathered with their shingles and compared in the task, and only links that join them leave
+it, so rows stay in proportion to classes however large a group of near copies is. Buckets of over
+``BLOCK_ROWS`` classes are dealt: the first two turns look within each part, the last at every pair
+of parts.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ from pyspark.sql.types import ArrayType, LongType
 
 from quirework.llm import simhash
 from quirework.llm.components import connected_components
+from quirework.llm.grouping import group_starts, roots, unite, whole_groups
 from quirework.llm.session import materialize, partitions
 from quirework.llm.textvec import SpanHasher, column_bytes, gram_hashes, mix, text_slices, word_bounds
 
@@ -34,7 +39,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 40, 6
 #: Minima that agree, as a share of the similarity asked for.
 SKETCH = 0.65 / 0.8
-_FLUSH = 1 << 16
+DENSE, BLOCK_ROWS = 4, 2000
 _WORD = np.ones(256, bool)
 _WORD[[9, 10, 11, 12, 13, 32]] = False
 _FACTORS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -68,7 +73,7 @@ def bucket_names(shingles: np.ndarray) -> tuple[np.ndarray, bytes]:
 
 
 def _marked(packed: DataFrame, shingle_words: int) -> DataFrame:
-    """row, known and id of every row, with cls (its set of shingles; 0 for none), size, fp (the set's SimHash), the names of its buckets and the sketch."""
+    """row, known and id of every row, with uid (a number of its own), cls (its set of shingles; 0 for none), size, fp (the set's SimHash), the names of its buckets and the sketch."""
     import xxhash
 
     schema = packed.select("row", "known", "id").schema.add("cls", "long").add("size", "long").add("fp", "long").add("buckets", ArrayType(LongType())).add("sketch", "binary")
@@ -83,77 +88,84 @@ def _marked(packed: DataFrame, shingle_words: int) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, names)]), pa.int32()), pa.array(np.concatenate(names)))
                 yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(cls), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints), lists, pa.array(sketches, pa.binary())], ["row", "known", "id", "cls", "size", "fp", "buckets", "sketch"])
 
-    return packed.mapInArrow(run, schema)
-
-
-def _by_bucket(rows: DataFrame, order: str, found, schema: str) -> DataFrame:
-    """``found`` over the numbers of each whole bucket, rows in ascending ``order``; it yields tuples of arrays."""
-    parts = partitions(rows.sparkSession)
-    names = [c.split()[0] for c in schema.split(", ")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, made, n = [], [], 0
-
-        def flush():
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*made)], names)
-
-        def buckets():
-            nonlocal held
-            for b in batches:
-                now = [np.asarray(c) for c in b.columns]
-                held = [np.concatenate(x) for x in zip(held, now)] if held else now
-                edge = np.flatnonzero(held[0][1:] != held[0][:-1]) + 1
-                for a, z in zip(np.append(0, edge[:-1]), edge):
-                    yield [c[a:z] for c in held]
-                if len(edge):
-                    held = [c[edge[-1] :] for c in held]
-            if held:
-                yield held
-
-        for one in buckets():
-            for arrays in found(*one):
-                made.append(arrays)
-                n += len(arrays[0])
-                if n >= _FLUSH:
-                    yield flush()
-                    made, n = [], 0
-        if n:
-            yield flush()
-
-    return rows.repartition(parts, "bucket").sortWithinPartitions("bucket", order, "cls").mapInArrow(run, schema)
-
-
-def _shared(bucket, cls, size):
-    if len(cls) > 1:
-        yield bucket, cls, size
-
-
-def _neighbours(bucket, cls, size, label, order):
-    differ = label[1:] != label[:-1]
-    if differ.any():
-        yield cls[:-1][differ], cls[1:][differ]
-
-
-def _unjoined(similarity: float):
-    def found(bucket, cls, size, label, sketch):
-        labels, at, count = np.unique(label, return_inverse=True, return_counts=True)
-        if len(labels) < 2:
-            return
-        sketch = np.frombuffer(b"".join(sketch), np.uint8).reshape(len(cls), -1)
-        # Those of the commonest label meet only others; sizes ascend and bound the partners.
-        rest = np.flatnonzero(at != count.argmax())
-        lo, hi = np.searchsorted(size, size[rest] * similarity - 1e-9), np.searchsorted(size, size[rest] / similarity + 1e-9, "right")
-        for i, a, z in zip(rest, lo, hi):
-            j = a + np.flatnonzero(at[a:z] != at[i])
-            j = j[(at[j] == count.argmax()) | (j > i)]
-            j = j[(sketch[j] == sketch[i]).mean(axis=1) >= SKETCH * similarity]
-            if len(j):
-                yield np.full(len(j), cls[i]), cls[j]
-
-    return found
+    return packed.mapInArrow(run, schema).withColumn("uid", F.monotonically_increasing_id())
+
+
+def _sorted_by(rows: DataFrame, keys: list[str], *order: str) -> DataFrame:
+    return rows.repartition(partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys, *order)
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose bucket the row before or behind has too."""
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        whole = pa.concat_batches([last, b]) if last is not None else b
+        bucket = np.asarray(whole.column(0))
+        same = bucket[1:] == bucket[:-1]
+        ok = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        # The last row waits for the next one; it is let out only once.
+        yield whole.slice(0, whole.num_rows - 1).filter(pa.array(ok[:-1]))
+        last = whole.slice(whole.num_rows - 1)
+        if ok[-1]:
+            yield last
+            last = pa.RecordBatch.from_arrays([last.column(0), *[pa.nulls(1, c.type) for c in last.columns[1:]]], schema=last.schema)
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of rows side by side in one part of a bucket that have different labels; rows are bucket, own, cls, label."""
+    for whole in whole_groups(batches, 2):
+        bucket, own, cls, label = (np.asarray(c) for c in whole.columns[:4])
+        ok = (bucket[1:] == bucket[:-1]) & (own[1:] == own[:-1]) & (label[1:] != label[:-1])
+        yield pa.RecordBatch.from_arrays([pa.array(cls[:-1][ok]), pa.array(cls[1:][ok])], ["a", "b"])
+
+
+def _unjoined(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """Rows of two kinds: pairs (a, b) with different labels whose minima agree, and classes a (b null) of groups with too many such pairs; rows are bucket, i, j, size, own, cls, label, sketch, by size within a group."""
+    names = ["a", "b", "bucket", "i", "j"]
+    for whole in whole_groups(batches, 3):
+        edge = group_starts(whole, 3)
+        bucket, i, j, size, own, cls, label = (np.asarray(c) for c in whole.columns[:7])
+        pairs, dense = [], []
+        for a, z in zip(edge, np.append(edge[1:], whole.num_rows)):
+            mine = label[a:z]
+            if (mine == mine[0]).all():
+                continue
+            labels, at, count = np.unique(mine, return_inverse=True, return_counts=True)
+            sketch = np.frombuffer(b"".join(whole.column(7).slice(a, z - a).to_pylist()), np.uint8).reshape(z - a, -1)
+            # Those of the commonest label meet only others; sizes ascend and bound the partners.
+            common = count.argmax()
+            rest = np.flatnonzero(at != common)
+            lo, hi = np.searchsorted(size[a:z], size[a:z][rest] * similarity - 1e-9), np.searchsorted(size[a:z], size[a:z][rest] / similarity + 1e-9, "right")
+            made, involved = 0, np.zeros(z - a, bool)
+            own_pairs = []
+            for r, low, high in zip(rest, lo, hi):
+                c = low + np.flatnonzero(at[low:high] != at[r])
+                c = c[(at[c] == common) | (c > r)]
+                if i[a] != j[a]:
+                    c = c[own[a:z][c] != own[a + r]]
+                c = c[(sketch[c] == sketch[r]).mean(axis=1) >= SKETCH * similarity]
+                if len(c):
+                    made += len(c)
+                    involved[r] = involved[c] = True
+                    if made <= DENSE * (z - a):
+                        own_pairs.append((np.full(len(c), cls[a + r]), cls[a:z][c]))
+            if made > DENSE * (z - a):
+                dense.append(a + np.flatnonzero(involved))
+            else:
+                pairs += own_pairs
+        if pairs:
+            x, y = (np.concatenate(p) for p in zip(*pairs))
+            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.nulls(len(x), pa.int64()), pa.nulls(len(x), pa.int32()), pa.nulls(len(x), pa.int32())], names)
+        if dense:
+            m = np.concatenate(dense)
+            yield pa.RecordBatch.from_arrays([pa.array(cls[m]), pa.nulls(len(m), pa.int64()), pa.array(bucket[m]), pa.array(i[m]), pa.array(j[m])], names)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, shingle_words: int) -> DataFrame:
+    """The pairs whose texts are as similar as asked for."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in text_slices(whole, "ta"):
@@ -168,40 +180,86 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, shingle_wor
     return once.join(one, "a").join(other, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def components(marked: DataFrame, similarity: float, shingle_words: int, budget: int, max_bucket: int, text: str = "text") -> DataFrame:
-    """node and component of all classes of ``marked`` that link to another one."""
-    classes = marked.where("size > 0").select("cls", "size", "buckets").dropDuplicates(["cls"])
-    prints = materialize(marked.where("size > 0").groupBy("cls").agg(F.first("size").alias("size"), F.first("fp").alias("fp")), "shingle-prints")
-    groups = simhash.print_groups(prints.select(F.col("cls").alias("id"), "fp"), budget, "id", max_bucket).select("fp", F.xxhash64(F.lit("fp"), "part").alias("bucket"))
-    buckets = classes.select(F.explode("buckets").alias("bucket"), "cls", "size").union(prints.join(groups, "fp").select("bucket", "cls", "size"))
-    shared = materialize(_by_bucket(buckets, "size", _shared, "bucket long, cls long, size long"), "shared-buckets")
-    texts = materialize(marked.select("cls", "sketch", F.col(text).alias("text")).join(shared.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"]), "candidate-texts")
+def linked_sets(sets: list[np.ndarray], similarity: float, cells: int = 1 << 24) -> np.ndarray:
+    """For each set the position of one it is joined to by links, the least of its component."""
+    m = len(sets)
+    sizes = np.array([len(s) for s in sets])
+    names, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(m), sizes)
+    # Shingles of one set alone are in no intersection; the others are taken some columns at a time.
+    use = count[column] > 1
+    place = np.cumsum(count > 1) - 1
+    row, column = row[use], place[column[use]]
+    both = np.zeros((m, m), np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    width = max(1, cells // m)
+    for at in range(0, int((count > 1).sum()), width):
+        lo, hi = np.searchsorted(column, [at, at + width])
+        part = np.zeros((m, width), np.float32)
+        part[row[lo:hi], column[lo:hi] - at] = 1
+        both += part @ part.T
+    r, c = np.nonzero(np.triu(both >= similarity * (sizes[:, None] + sizes[None, :] - both) - 1e-6, 1))
+    joined = np.arange(m)
+    unite(joined, r, c)
+    return roots(joined)
+
+
+def _dense_links(batches: Iterator[pa.RecordBatch], similarity: float, shingle_words: int) -> Iterator[pa.RecordBatch]:
+    """Links that join what is linked within each group; rows are bucket, i, j, cls, text."""
+    for whole in whole_groups(batches, 3, 256):
+        edge = group_starts(whole, 3)
+        for a, z in zip(edge, np.append(edge[1:], whole.num_rows)):
+            b = whole.slice(a, z - a)
+            sets = [s for part in text_slices(b, "text") for s in shingle_sets(part.column(4), shingle_words)]
+            cls, top = np.asarray(b.column(3)), linked_sets(sets, similarity)
+            ok = top != np.arange(len(top))
+            yield pa.RecordBatch.from_arrays([pa.array(cls[ok]), pa.array(cls[top[ok]])], ["a", "b"])
+
+
+def components(marked: DataFrame, similarity: float, shingle_words: int, budget: int, max_bucket: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """node and component of all classes of ``marked`` (stored) that link to another one."""
+    classes = materialize(marked.where("size > 0").groupBy("cls").agg(F.min("uid").alias("uid"), F.first("size").alias("size"), F.first("fp").alias("fp")), "shingle-classes")
+    groups = simhash.print_groups(classes.select(F.col("cls").alias("id"), "fp"), budget, "id", max_bucket).select("fp", F.xxhash64(F.lit("fp"), "part").alias("bucket"))
+    named = marked.join(classes.select("uid"), "uid", "left_semi").select(F.explode("buckets").alias("bucket"), "cls", "size")
+    buckets = named.union(classes.join(groups, "fp").select("bucket", "cls", "size"))
+    shared = materialize(_sorted_by(buckets, ["bucket"]).mapInArrow(_shared, "bucket long, cls long, size long").where("cls IS NOT NULL"), "shared-buckets")
+    big = materialize(shared.groupBy("bucket").count().where(F.col("count") > block_rows).select("bucket", F.ceil(F.col("count") / block_rows).cast("int").alias("blocks")), "large-buckets")
+    dealt = shared.join(big, "bucket", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    wanted = classes.join(shared.select("cls").distinct(), "cls", "left_semi").select("uid")
+    texts = materialize(marked.join(wanted, "uid", "left_semi").select("cls", "sketch", "text"), "candidate-texts")
     labels = links = None
     for turn in ("neighbours", "shuffled", "all"):
-        rows = shared.withColumn("label", F.col("cls"))
+        rows = dealt.withColumn("label", F.col("cls"))
         if labels is not None:
-            rows = shared.join(labels, shared["cls"] == labels["node"], "left").select("bucket", "cls", "size", F.coalesce("component", "cls").alias("label"))
+            rows = dealt.join(labels, dealt["cls"] == labels["node"], "left").select(*dealt.columns, F.coalesce("component", "cls").alias("label"))
         if turn == "all":
-            pairs = _by_bucket(rows.join(texts.select("cls", "sketch"), "cls").select("bucket", "cls", "size", "label", "sketch"), "size", _unjoined(similarity), "a long, b long")
+            mixed = rows.groupBy("bucket").agg((F.min("label") < F.max("label")).alias("mixed")).where("mixed").select("bucket")
+            placed = rows.join(mixed, "bucket", "left_semi").join(texts.select("cls", "sketch"), "cls").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            placed = placed.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "size", "own", "cls", "label", "sketch")
+            found = materialize(_sorted_by(placed, ["bucket", "i", "j"], "size", "cls").mapInArrow(lambda it: _unjoined(it, similarity), "a long, b long, bucket long, i int, j int"), "unjoined")
+            pairs = found.where("b IS NOT NULL").select("a", "b")
+            inside = found.where("b IS NULL").select("bucket", "i", "j", F.col("a").alias("cls")).join(texts.select("cls", "text"), "cls").select("bucket", "i", "j", "cls", "text")
+            dense = _sorted_by(inside, ["bucket", "i", "j"]).mapInArrow(lambda it: _dense_links(it, similarity, shingle_words), "a long, b long")
+            new = _verified(pairs, texts, similarity, shingle_words).union(dense)
         else:
             order = F.col("size") if turn == "neighbours" else F.xxhash64("cls")
-            pairs = _by_bucket(rows.withColumn("order", order), "order", _neighbours, "a long, b long")
-        new = materialize(_verified(pairs, texts, similarity, shingle_words), "near-links")
+            by = _sorted_by(rows.select("bucket", "own", "cls", "label", order.alias("order")), ["bucket", "own"], "order", "cls")
+            new = _verified(by.mapInArrow(_neighbours, "a long, b long"), texts, similarity, shingle_words)
+        new = materialize(new, "near-links")
         links = new if links is None else links.union(new)
         labels = materialize(connected_components(links), "near-components")
     return labels
 
 
-def one_of_each(df: DataFrame, similarity: float = SIMILARITY, shingle_words: int = 5, budget: int = 2, text_col: str = "text", id_col: str = "doc_id", max_bucket: int = simhash.MAX_BUCKET) -> DataFrame:
+def one_of_each(df: DataFrame, similarity: float = SIMILARITY, shingle_words: int = 5, budget: int = 2, text_col: str = "text", id_col: str = "doc_id", max_bucket: int = simhash.MAX_BUCKET, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row of ``df`` for each group, as ``simhash.one_of_each`` chooses them."""
     known = F.col(id_col).isNotNull()
     packed = df.select(F.struct(*df.columns).alias("row"), known.alias("known"), F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.col(text_col).alias("text"))
     marked = materialize(_marked(packed, shingle_words), "shingled")
-    labels = components(marked.select("cls", "size", "fp", "buckets", "sketch", F.col("row")[text_col].alias("text")), similarity, shingle_words, budget, max_bucket)
-    least = marked.groupBy("cls").agg(F.min(F.when(F.col("known"), F.col("id"))).alias("least"))
-    named = least.join(labels, least["cls"] == labels["node"], "left").select("cls", F.coalesce("component", "cls").alias("part"), "least")
-    group = named.groupBy("part").agg(F.min("least").alias("first"))
-    # The smallest of the classes that the smallest id has, so one of repeated ids is taken as well.
-    own = named.join(group, "part").where(F.col("least").eqNullSafe(F.col("first"))).groupBy("part", "first").agg(F.min("cls").alias("cls"))
-    chosen = own.select("cls", F.col("first").isNotNull().alias("known"), F.coalesce("first", F.lit(0)).alias("id"))
-    return marked.join(chosen, ["cls", "known", "id"], "left_semi").dropDuplicates(["cls", "known", "id"]).select("row.*")
+    labels = components(marked.withColumn("text", F.col("row")[text_col]), similarity, shingle_words, budget, max_bucket, block_rows)
+    # A row without id comes after all that have one; rows are told apart by their own numbers, so no key is hot.
+    first = marked.groupBy("cls").agg(F.min(F.struct((~F.col("known")).alias("none"), "id", "uid")).alias("first"))
+    named = first.join(labels, first["cls"] == labels["node"], "left").select(F.coalesce("component", "cls").alias("part"), "first")
+    chosen = named.groupBy("part").agg(F.min("first").alias("first")).select(F.col("first.uid").alias("uid"))
+    return marked.join(chosen, "uid", "left_semi").select("row.*")
