@@ -15,8 +15,8 @@ random order, and in the end all pairs that no links have joined yet and whose m
 are not compared whole. Where those are over ``DENSE`` for each of a bucket's classes, the classes
 are gathered with their shingles and compared in the task, and only links that join them leave
 it, so rows stay in proportion to classes however large a group of near copies is. Buckets of over
-``BLOCK_ROWS`` classes are dealt: the first two turns look within each part, the last at every pair
-of parts.
+``BLOCK_ROWS`` classes or ``BLOCK_SHINGLES`` shingles are dealt: the first two turns look within each
+part, the last at every pair of parts.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 40, 6
 #: Minima that agree, as a share of the similarity asked for.
 SKETCH = 0.65 / 0.8
-DENSE, BLOCK_ROWS = 4, 2000
+DENSE, BLOCK_ROWS, BLOCK_SHINGLES = 4, 1000, 400_000
 _WORD = np.ones(256, bool)
 _WORD[[9, 10, 11, 12, 13, 32]] = False
 _FACTORS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -180,7 +180,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, shingle_wor
     return once.join(one, "a").join(other, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def linked_sets(sets: list[np.ndarray], similarity: float, cells: int = 1 << 24) -> np.ndarray:
+def linked_sets(sets: list[np.ndarray], similarity: float, cells: int = 1 << 22) -> np.ndarray:
     """For each set the position of one it is joined to by links, the least of its component."""
     m = len(sets)
     sizes = np.array([len(s) for s in sets])
@@ -199,9 +199,11 @@ def linked_sets(sets: list[np.ndarray], similarity: float, cells: int = 1 << 24)
         part = np.zeros((m, width), np.float32)
         part[row[lo:hi], column[lo:hi] - at] = 1
         both += part @ part.T
-    r, c = np.nonzero(np.triu(both >= similarity * (sizes[:, None] + sizes[None, :] - both) - 1e-6, 1))
     joined = np.arange(m)
-    unite(joined, r, c)
+    for at in range(0, m, 128):
+        some = both[at : at + 128]
+        r, c = np.nonzero(some >= similarity * (sizes[at : at + 128, None] + sizes[None, :] - some) - 1e-6)
+        unite(joined, at + r, c)
     return roots(joined)
 
 
@@ -224,7 +226,8 @@ def components(marked: DataFrame, similarity: float, shingle_words: int, budget:
     named = marked.join(classes.select("uid"), "uid", "left_semi").select(F.explode("buckets").alias("bucket"), "cls", "size")
     buckets = named.union(classes.join(groups, "fp").select("bucket", "cls", "size"))
     shared = materialize(_sorted_by(buckets, ["bucket"]).mapInArrow(_shared, "bucket long, cls long, size long").where("cls IS NOT NULL"), "shared-buckets")
-    big = materialize(shared.groupBy("bucket").count().where(F.col("count") > block_rows).select("bucket", F.ceil(F.col("count") / block_rows).cast("int").alias("blocks")), "large-buckets")
+    parts = F.ceil(F.greatest(F.count("*") / block_rows, F.sum("size") / BLOCK_SHINGLES)).cast("int")
+    big = materialize(shared.groupBy("bucket").agg(parts.alias("blocks")).where("blocks > 1"), "large-buckets")
     dealt = shared.join(big, "bucket", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     wanted = classes.join(shared.select("cls").distinct(), "cls", "left_semi").select("uid")
     texts = materialize(marked.join(wanted, "uid", "left_semi").select("cls", "sketch", "text"), "candidate-texts")
