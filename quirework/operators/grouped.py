@@ -27,23 +27,39 @@ def fuse_models(det: DataFrame, most: float = 0.3) -> DataFrame:
     schema = "doc_id long, page_index long, label_id long, det_id long, confidence double, x1 double, y1 double, x2 double, y2 double, found_by array<string>, model_count long"
     fine = det.where(~F.col("label_id").isin(medium) | (F.col("model") == "medium"))
 
+    columns = ["doc_id", "page_index", "label_id", "det_id", "confidence", "x1", "y1", "x2", "y2"]
+
     def fuse(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["page_index", "label_id", "y1", "det_id"], kind="stable").reset_index(drop=True)
         box, sure, models = g[["x1", "y1", "x2", "y2"]].to_numpy(float), g["confidence"].to_numpy(float), g["model"].to_numpy()
-        page, label = g["page_index"].to_numpy(), g["label_id"].to_numpy()
-        edges = np.flatnonzero(np.r_[True, (page[1:] != page[:-1]) | (label[1:] != label[:-1]), True])
+        label = g["label_id"].to_numpy()
+        edges = np.flatnonzero(np.r_[_new_group(g), True])
         best, found, sizes = [], [], []
         for a, z in zip(edges[:-1], edges[1:]):
-            for own in _taken(box[a:z], most):
-                rank = -_area(box[a + own]) if label[a] in smallest else sure[a + own]
+            for own in _taken(box[a:z], most) if z - a > 1 else ([0],):
+                rank = -_area(box[a + np.asarray(own)]) if label[a] in smallest else sure[a + np.asarray(own)]
                 best.append(a + own[int(np.argmax(rank))])  # the first of equals
-                found.append(list(models[a + own]))
+                found.append(list(models[a + np.asarray(own)]))
                 sizes.append(len(own))
-        out = g.iloc[best][["doc_id", "page_index", "label_id", "det_id", "confidence", "x1", "y1", "x2", "y2"]].reset_index(drop=True)
-        return out.assign(found_by=found, model_count=np.array(sizes, np.int64))
+        return g.iloc[best][columns].reset_index(drop=True).assign(found_by=found, model_count=np.array(sizes, np.int64))
 
-    # One group is a volume: pages and labels are told apart within it, which is cheaper than a group for each.
-    return fine.select(*PAGE, "label_id", "det_id", "confidence", "x1", "y1", "x2", "y2", "model").groupBy("doc_id").applyInPandas(fuse, schema)
+    def run(batches):
+        held = None
+        for b in batches:
+            held = b if held is None else pd.concat([held, b], ignore_index=True)
+            starts = np.flatnonzero(_new_group(held)) if len(held) else np.zeros(0, int)
+            if len(starts) > 1:  # the last page and label may go on in the next batch
+                yield fuse(held.iloc[: starts[-1]].reset_index(drop=True))
+                held = held.iloc[starts[-1] :].reset_index(drop=True)
+        if held is not None and len(held):
+            yield fuse(held)
+
+    key = ["doc_id", "page_index", "label_id"]
+    return fine.select(*columns, "model").repartition(*key).sortWithinPartitions(*key, "y1", "det_id").mapInPandas(run, schema)
+
+
+def _new_group(g: pd.DataFrame) -> np.ndarray:
+    k = g[["doc_id", "page_index", "label_id"]].to_numpy()
+    return np.r_[True, (k[1:] != k[:-1]).any(axis=1)] if len(k) else np.zeros(0, bool)
 
 
 def _area(box: np.ndarray) -> np.ndarray:

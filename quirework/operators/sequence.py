@@ -141,8 +141,12 @@ def page_map(d: DataFrame, missing: DataFrame) -> DataFrame:
     order = F.row_number().over(_volume()).cast("long")
     m = m.withColumn("pos", order)
     ends = m.groupBy("doc_id").agg((F.max("pos") + 1).alias("end"))
-    ahead = missing.alias("g").join(m.alias("e"), (F.col("g.doc_id") == F.col("e.doc_id")) & (F.col("e.logical_number") > F.col("g.page")) & ~F.col("e.duplicate"), "left")
-    place = ahead.groupBy(F.col("g.doc_id").alias("doc_id"), F.col("g.page").alias("page")).agg(F.min("e.pos").alias("pos")).join(ends, "doc_id").select("doc_id", F.coalesce("pos", "end").alias("pos"), "page")
+    # One order of all numbers, highest first: the least place seen so far among the higher ones.
+    higher = Window.partitionBy("doc_id").orderBy(F.col("number").desc()).rangeBetween(Window.unboundedPreceding, -1)
+    numbers = m.select("doc_id", F.col("logical_number").alias("number"), F.when(~F.col("duplicate"), F.col("pos")).alias("pos"), F.lit(False).alias("gap"))
+    gaps = missing.select("doc_id", F.col("page").alias("number"), F.lit(None).cast("long").alias("pos"), F.lit(True).alias("gap"))
+    ahead = numbers.unionByName(gaps).withColumn("ahead", F.min("pos").over(higher)).where("gap")
+    place = ahead.join(ends, "doc_id").select("doc_id", F.coalesce("ahead", "end").alias("pos"), F.col("number").alias("page"))
     both = m.select("doc_id", "pos", F.lit(1).alias("k"), F.lit("pdf_page").alias("kind"), (F.col("pdf_page") - 1).alias("pdf_index"), "logical_number", "range_label", "duplicate").unionByName(
         place.select("doc_id", "pos", F.lit(0).alias("k"), F.lit("missing").alias("kind"), F.lit(None).cast("long").alias("pdf_index"), F.col("page").alias("logical_number"), F.lit(None).cast("string").alias("range_label"), F.lit(False).alias("duplicate")))
     by = Window.partitionBy("doc_id").orderBy("pos", "k", "logical_number")
@@ -169,32 +173,64 @@ def reader_stats(readings: DataFrame) -> DataFrame:
 
 
 def issues(d: DataFrame, corrections: DataFrame | None = None, structural: DataFrame | None = None) -> DataFrame:
-    """Every issue of every volume: doc_id, ord (order of the kinds), page_number, check_name, severity, message."""
+    """Every issue of every volume: doc_id, ord (order of the kinds), spot and sub (order within them), page_number, check_name, severity, message."""
     text = lambda form, *cols: F.format_string(form, *cols)
-    row = lambda df, order, number, name, severity, message: df.select("doc_id", F.lit(order).cast("long").alias("ord"), number.cast("long").alias("page_number"), F.lit(name).alias("check_name"), F.lit(severity).alias("severity"), message.alias("message"))
+    row = lambda df, order, number, name, severity, message, at="pdf_page", sub=None: df.select("doc_id", F.lit(order).cast("long").alias("ord"), (F.col(at) if at else F.lit(0)).cast("long").alias("spot"), (F.col(sub) if sub else F.lit(0)).cast("long").alias("sub"), number.cast("long").alias("page_number"), F.lit(name).alias("check_name"), F.lit(severity).alias("severity"), message.alias("message"))
     seq = sequence_issues(d)
     gaps = seq.where("issue = 'GAP'").withColumn("n", F.col("num") - F.col("prev_num") - 1)
-    parts = [row(mislabeled(d), 1, F.lit(None), "mislabeled_document", "warning", text(MISLABELED, "exp_start", "exp_end", "highest"))]
+    parts = [row(mislabeled(d), 1, F.lit(None), "mislabeled_document", "warning", text(MISLABELED, "exp_start", "exp_end", "highest"), at=None)]
     parts.append(row(gaps.where("n > 6"), 2, F.col("prev_num"), "large_gap", "warning", text(JUMP, "prev_num", "num", "n")))
     in_gap = gaps.where("n <= 6").withColumn("page", F.explode(F.sequence(F.col("prev_num") + 1, F.col("num") - 1))).where("page >= 1")
-    parts.append(row(in_gap, 2, F.col("page"), "missing_page", "error", text(IN_GAP, "page", "prev_num", "num")))
+    parts.append(row(in_gap, 2, F.col("page"), "missing_page", "error", text(IN_GAP, "page", "prev_num", "num"), sub="page"))
     twice = seq.where("issue = 'DUPLICATE'")
     parts.append(row(twice, 2, F.col("num"), "duplicate_page", "warning", text(TWICE, "num", "prev_pdf", "pdf_page")))
     parts.append(row(seq.where("issue = 'BACKWARD'"), 2, F.col("num"), "backward_page", "warning", text(BACKWARD, "num", "pdf_page", "prev_num", "prev_pdf")))
     parts.append(row(d.where("out_of_range"), 3, F.col("pdf_page"), "suspicious_reading", "warning", text(SUSPICIOUS, "pdf_page", "detected")))
     parts.append(row(d.where("detected IS NULL"), 4, F.col("pdf_page"), "no_page_number", "info", text(UNREAD, "pdf_page")))
-    dup = duplicate_numbers(d).join(twice.select("doc_id", "num").distinct(), ["doc_id", "num"], "left_anti")
-    parts.append(row(dup, 5, F.col("num"), "duplicate_page", "warning", text(SEVERAL, F.col("num"), F.array_join("pdf_pages", ", "))))
+    dup = duplicate_numbers(d).join(twice.select("doc_id", "num").distinct(), ["doc_id", "num"], "left_anti").withColumn("first", F.get("pdf_pages", F.lit(0)))
+    parts.append(row(dup, 5, F.col("num"), "duplicate_page", "warning", text(SEVERAL, F.col("num"), F.array_join("pdf_pages", ", ")), at="first"))
     first, _ = E.range_bounds(F.col("detected"))
     parts.append(row(d.where("type = 'range'").withColumn("a", first).where("a IS NOT NULL"), 6, F.col("a"), "page_range", "warning", text(RANGE, "pdf_page", "detected")))
     single, large = real_missing(missing_pages(d))
     flagged = in_gap.select("doc_id", "page").distinct()
-    parts.append(row(large.withColumnRenamed("first", "page").join(flagged, ["doc_id", "page"], "left_anti"), 7, F.col("page"), "large_gap", "warning", text(LARGE_GAP, "page", "last", "n")))
-    parts.append(row(single.join(flagged, ["doc_id", "page"], "left_anti"), 7, F.col("page"), "missing_page", "error", text(MISSING, "page")))
+    parts.append(row(large.withColumnRenamed("first", "page").join(flagged, ["doc_id", "page"], "left_anti"), 7, F.col("page"), "large_gap", "warning", text(LARGE_GAP, "page", "last", "n"), at="page"))
+    parts.append(row(single.join(flagged, ["doc_id", "page"], "left_anti"), 7, F.col("page"), "missing_page", "error", text(MISSING, "page"), at="page"))
     if corrections is not None:
         parts.append(row(corrections.where("old IS NOT NULL"), 8, F.col("pdf_page"), "auto_corrected", "warning", text(CORRECTED, "pdf_page", "old", "detected")))
     if structural is not None:
-        parts.append(structural.select("doc_id", F.lit(0).cast("long").alias("ord"), F.col("page_number").cast("long").alias("page_number"), "check_name", "severity", "message"))
+        parts.append(structural.select("doc_id", F.lit(0).cast("long").alias("ord"), F.col("page_number").cast("long").alias("spot"), (F.col("check_name") != "blank_page").cast("long").alias("sub"), F.col("page_number").cast("long").alias("page_number"), "check_name", "severity", "message"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def report(d: DataFrame, corrections: DataFrame, found: DataFrame, most_infos: int = 10) -> DataFrame:
+    """The lines that tell a volume's reader what was found: doc_id, section, place, line.
+
+    Sections: 1 size, 2 corrections, 3 errors, 4 warnings, 5 infos (the first ``most_infos``, and how
+    many more), 6 missing pages as ranges, 7 where there are neither errors nor warnings.
+    """
+    line = lambda df, section, place, text: df.select("doc_id", F.lit(section).cast("long").alias("section"), place.cast("long").alias("place"), text.alias("line"))
+    headed = lambda df, section, form, *group: line(df.groupBy("doc_id").agg(F.count("*").alias("n")), section, F.lit(0), F.format_string(form, "n"))
+    parts = [line(d.groupBy("doc_id").agg(F.count("*").alias("n")), 1, F.lit(0), F.format_string("%d pages in PDF", "n"))]
+    fixed = corrections.where("old IS NOT NULL")
+    parts += [headed(fixed, 2, "Auto-corrections (%d):"), line(fixed, 2, F.col("pdf_page"), F.format_string("  PDF page %d: %s → %s", "pdf_page", "old", "detected"))]
+    by = Window.partitionBy("doc_id", "severity").orderBy("ord", "spot", "sub", "page_number", "message")
+    told = found.withColumn("place", F.row_number().over(by))
+    page = F.when(F.coalesce("page_number", F.lit(0)) != 0, F.concat(F.lit("p."), F.col("page_number").cast("string"))).otherwise(F.lit("doc"))
+    text = F.concat(F.lit("  ["), page, F.lit("] "), F.col("message"))
+    for section, severity, head in ((3, "error", "Errors (%d):"), (4, "warning", "Warnings (%d):"), (5, "info", "Info (%d):")):
+        own = told.where(F.col("severity") == severity)
+        parts += [headed(own, section, head), line(own if severity != "info" else own.where(F.col("place") <= most_infos), section, F.col("place"), text)]
+    more = told.where("severity = 'info'").groupBy("doc_id").agg((F.count("*") - most_infos).alias("n")).where("n > 0")
+    parts.append(line(more, 5, F.lit(most_infos + 1), F.format_string("  ... and %d more", "n")))
+    single, _ = real_missing(missing_pages(d))
+    a, z = F.col("first").cast("string"), F.col("last").cast("string")
+    span = F.when(F.col("first") == F.col("last"), F.concat(F.lit("  #"), a)).otherwise(F.concat(F.lit("  #"), a, F.lit("-"), z, F.lit(" ("), F.col("n").cast("string"), F.lit(" pages)")))
+    parts += [headed(single, 6, "Missing pages (%d):"), line(page_runs(single), 6, F.col("first"), span)]
+    clear = d.select("doc_id").distinct().join(found.where("severity IN ('error', 'warning')").select("doc_id").distinct(), "doc_id", "left_anti")
+    parts.append(line(clear, 7, F.lit(0), F.lit("All clear — no issues found.")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

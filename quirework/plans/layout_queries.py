@@ -205,7 +205,7 @@ _OP = "doc_id, opinion, caption_id, caption_page, key_id, key_page"
 
 @query("j2_pair_opinions", f"SELECT {_OP} FROM op")
 def _(v):
-    return pairing.pair_opinions(v.detections, v.pages).select("doc_id", "opinion", "caption_id", "caption_page", "key_id", "key_page")
+    return pairing.pair_opinions(v.det, v.pg).select("doc_id", "opinion", "caption_id", "caption_page", "key_id", "key_page")
 
 
 @query("j3_members", "SELECT doc_id, opinion, det_id, after_caption FROM mem")

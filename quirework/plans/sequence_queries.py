@@ -54,13 +54,6 @@ def _(v):
     return S.page_runs(S.missing_pages(checked(v)))
 
 
-@query("snk24_report_ranges", "SELECT DISTINCT doc_id, CASE WHEN first = last THEN '#' || first ELSE '#' || first || '-' || last || ' (' || n || ' pages)' END AS line FROM misr")
-def _(v):
-    a, z = F.col("first").cast("string"), F.col("last").cast("string")
-    line = F.when(F.col("first") == F.col("last"), F.concat(F.lit("#"), a)).otherwise(F.concat(F.lit("#"), a, F.lit("-"), z, F.lit(" ("), F.col("n").cast("string"), F.lit(" pages)")))
-    return S.page_runs(S.missing_pages(checked(v))).select("doc_id", line.alias("line"))
-
-
 @query("a9_duplicate_numbers", "SELECT doc_id, num, array_to_string(list(pdf_page ORDER BY pdf_page), ',') AS pdf_pages FROM vd WHERE num IS NOT NULL AND NOT oor GROUP BY doc_id, num HAVING count(*) > 1")
 def _(v):
     return S.duplicate_numbers(checked(v)).withColumn("pdf_pages", F.array_join(F.col("pdf_pages").cast("array<string>"), ","))
@@ -99,27 +92,53 @@ def _(v):
 
 
 _ISSUES = r"""
-    SELECT doc_id, 1 AS ord, NULL::BIGINT AS page_number, 'mislabeled_document' AS check_name, 'warning' AS severity, printf('Filename suggests pages %d–%d but page numbers only go up to %d. Document may be mislabeled or missing a large section.', exp_start, exp_end, highest) AS message
+    SELECT doc_id, 1 AS ord, 0 AS spot, 0 AS sub, NULL::BIGINT AS page_number, 'mislabeled_document' AS check_name, 'warning' AS severity, printf('Filename suggests pages %d–%d but page numbers only go up to %d. Document may be mislabeled or missing a large section.', exp_start, exp_end, highest) AS message
       FROM (SELECT doc_id, any_value(exp_start) AS exp_start, any_value(exp_end) AS exp_end, max(CASE WHEN NOT oor THEN num END) AS highest FROM vd WHERE exp_start IS NOT NULL GROUP BY doc_id) m WHERE highest < exp_end - greatest(10, (exp_end - exp_start + 1) * 0.1)
-    UNION ALL SELECT doc_id, 2, prev_num, 'large_gap', 'warning', printf('Large jump from page %d to %d (%d pages) , likely an OCR misread. Correct the page number and recalculate.', prev_num, num, num - prev_num - 1) FROM sqi WHERE issue = 'GAP' AND num - prev_num - 1 > 6
-    UNION ALL SELECT doc_id, 2, page, 'missing_page', 'error', printf('Page %d appears missing (gap between %d and %d).', page, prev_num, num) FROM (SELECT *, unnest(generate_series(prev_num + 1, num - 1)) AS page FROM sqi WHERE issue = 'GAP' AND num - prev_num - 1 <= 6) g WHERE page >= 1
-    UNION ALL SELECT doc_id, 2, num, 'duplicate_page', 'warning', printf('Page number %d appears on both PDF page %d and %d.', num, prev_pdf, pdf_page) FROM sqi WHERE issue = 'DUPLICATE'
-    UNION ALL SELECT doc_id, 2, num, 'backward_page', 'warning', printf('Page %d (PDF page %d) goes backward from %d (PDF page %d).', num, pdf_page, prev_num, prev_pdf) FROM sqi WHERE issue = 'BACKWARD'
-    UNION ALL SELECT doc_id, 3, pdf_page, 'suspicious_reading', 'warning', printf('PDF page %d detected as ''%s'' which is outside the expected page range, likely a stray number.', pdf_page, detected) FROM vd WHERE oor
-    UNION ALL SELECT doc_id, 4, pdf_page, 'no_page_number', 'info', printf('No page number detected on PDF page %d.', pdf_page) FROM vd WHERE detected IS NULL
-    UNION ALL SELECT doc_id, 5, num, 'duplicate_page', 'warning', printf('Page number %d found on PDF pages [%s].', num, array_to_string(list(pdf_page ORDER BY pdf_page), ', ')) FROM vd WHERE num IS NOT NULL AND NOT oor AND NOT EXISTS (SELECT 1 FROM sqi s WHERE s.doc_id = vd.doc_id AND s.num = vd.num AND issue = 'DUPLICATE') GROUP BY doc_id, num HAVING count(*) > 1
-    UNION ALL SELECT rgb.doc_id, 6, a, 'page_range', 'warning', printf('PDF page %d covers page range %s. Verify this is expected.', rgb.pdf_page, detected) FROM rgb JOIN vd ON vd.doc_id = rgb.doc_id AND vd.pdf_page = rgb.pdf_page
-    UNION ALL SELECT DISTINCT doc_id, 7, first, 'large_gap', 'warning', printf('Large gap: pages %d–%d (%d pages) not found, likely an OCR misread rather than genuinely missing pages.', first, last, n) FROM misr WHERE n > 6 AND (doc_id, first) NOT IN (SELECT (doc_id, page) FROM gapp WHERE page >= 1)
-    UNION ALL SELECT doc_id, 7, page, 'missing_page', 'error', printf('Page %d is missing from the document.', page) FROM misr WHERE n <= 6 AND (doc_id, page) NOT IN (SELECT (doc_id, page) FROM gapp WHERE page >= 1)
-    UNION ALL SELECT doc_id, 8, pdf_page, 'auto_corrected', 'warning', printf('PDF page %d: OCR read ''%s'', auto-corrected to ''%s'' based on surrounding page numbers. Verify this is correct.', pdf_page, old, detected) FROM fx WHERE old IS NOT NULL"""
+    UNION ALL SELECT doc_id, 2, pdf_page, 0, prev_num, 'large_gap', 'warning', printf('Large jump from page %d to %d (%d pages) , likely an OCR misread. Correct the page number and recalculate.', prev_num, num, num - prev_num - 1) FROM sqi WHERE issue = 'GAP' AND num - prev_num - 1 > 6
+    UNION ALL SELECT doc_id, 2, pdf_page, page, page, 'missing_page', 'error', printf('Page %d appears missing (gap between %d and %d).', page, prev_num, num) FROM (SELECT *, unnest(generate_series(prev_num + 1, num - 1)) AS page FROM sqi WHERE issue = 'GAP' AND num - prev_num - 1 <= 6) g WHERE page >= 1
+    UNION ALL SELECT doc_id, 2, pdf_page, 0, num, 'duplicate_page', 'warning', printf('Page number %d appears on both PDF page %d and %d.', num, prev_pdf, pdf_page) FROM sqi WHERE issue = 'DUPLICATE'
+    UNION ALL SELECT doc_id, 2, pdf_page, 0, num, 'backward_page', 'warning', printf('Page %d (PDF page %d) goes backward from %d (PDF page %d).', num, pdf_page, prev_num, prev_pdf) FROM sqi WHERE issue = 'BACKWARD'
+    UNION ALL SELECT doc_id, 3, pdf_page, 0, pdf_page, 'suspicious_reading', 'warning', printf('PDF page %d detected as ''%s'' which is outside the expected page range, likely a stray number.', pdf_page, detected) FROM vd WHERE oor
+    UNION ALL SELECT doc_id, 4, pdf_page, 0, pdf_page, 'no_page_number', 'info', printf('No page number detected on PDF page %d.', pdf_page) FROM vd WHERE detected IS NULL
+    UNION ALL SELECT doc_id, 5, min(pdf_page), 0, num, 'duplicate_page', 'warning', printf('Page number %d found on PDF pages [%s].', num, array_to_string(list(pdf_page ORDER BY pdf_page), ', ')) FROM vd WHERE num IS NOT NULL AND NOT oor AND NOT EXISTS (SELECT 1 FROM sqi s WHERE s.doc_id = vd.doc_id AND s.num = vd.num AND issue = 'DUPLICATE') GROUP BY doc_id, num HAVING count(*) > 1
+    UNION ALL SELECT rgb.doc_id, 6, rgb.pdf_page, 0, a, 'page_range', 'warning', printf('PDF page %d covers page range %s. Verify this is expected.', rgb.pdf_page, detected) FROM rgb JOIN vd ON vd.doc_id = rgb.doc_id AND vd.pdf_page = rgb.pdf_page
+    UNION ALL SELECT DISTINCT doc_id, 7, first, 0, first, 'large_gap', 'warning', printf('Large gap: pages %d–%d (%d pages) not found, likely an OCR misread rather than genuinely missing pages.', first, last, n) FROM misr WHERE n > 6 AND (doc_id, first) NOT IN (SELECT (doc_id, page) FROM gapp WHERE page >= 1)
+    UNION ALL SELECT doc_id, 7, page, 0, page, 'missing_page', 'error', printf('Page %d is missing from the document.', page) FROM misr WHERE n <= 6 AND (doc_id, page) NOT IN (SELECT (doc_id, page) FROM gapp WHERE page >= 1)
+    UNION ALL SELECT doc_id, 8, pdf_page, 0, pdf_page, 'auto_corrected', 'warning', printf('PDF page %d: OCR read ''%s'', auto-corrected to ''%s'' based on surrounding page numbers. Verify this is correct.', pdf_page, old, detected) FROM fx WHERE old IS NOT NULL"""
 
 
-@query("u5_issues", f"SELECT doc_id, ord::BIGINT AS ord, page_number, check_name, severity, message FROM ({_ISSUES}) i")
+@query("u5_issues", f"SELECT doc_id, ord::BIGINT AS ord, spot::BIGINT AS spot, sub::BIGINT AS sub, page_number, check_name, severity, message FROM ({_ISSUES}) i")
 def _(v):
     d, corrections = S.validate(v.readings, expected(v))
     return S.issues(d, corrections)
 
 
+_REPORT = f"""SELECT * FROM (WITH i AS ({_ISSUES}), t AS (SELECT *, row_number() OVER (PARTITION BY doc_id, severity ORDER BY ord, spot, sub, page_number, message) AS place FROM i),
+    m AS (SELECT * FROM misr WHERE n <= 6),
+    l AS (SELECT doc_id, 1 AS section, 0 AS place, count(*) || ' pages in PDF' AS line FROM vd GROUP BY doc_id
+    UNION ALL SELECT doc_id, 2, 0, 'Auto-corrections (' || count(*) || '):' FROM fx WHERE old IS NOT NULL GROUP BY doc_id
+    UNION ALL SELECT doc_id, 2, pdf_page, '  PDF page ' || pdf_page || ': ' || old || ' → ' || detected FROM fx WHERE old IS NOT NULL
+    UNION ALL SELECT doc_id, CASE severity WHEN 'error' THEN 3 WHEN 'warning' THEN 4 ELSE 5 END, 0, CASE severity WHEN 'error' THEN 'Errors (' WHEN 'warning' THEN 'Warnings (' ELSE 'Info (' END || count(*) || '):' FROM t GROUP BY doc_id, severity
+    UNION ALL SELECT doc_id, CASE severity WHEN 'error' THEN 3 WHEN 'warning' THEN 4 ELSE 5 END, place, '  [' || CASE WHEN coalesce(page_number, 0) <> 0 THEN 'p.' || page_number ELSE 'doc' END || '] ' || message FROM t WHERE severity <> 'info' OR place <= 10
+    UNION ALL SELECT doc_id, 5, 11, '  ... and ' || (count(*) - 10) || ' more' FROM t WHERE severity = 'info' GROUP BY doc_id HAVING count(*) > 10
+    UNION ALL SELECT doc_id, 6, 0, 'Missing pages (' || count(*) || '):' FROM m GROUP BY doc_id
+    UNION ALL SELECT DISTINCT doc_id, 6, first, '  #' || CASE WHEN first = last THEN CAST(first AS VARCHAR) ELSE first || '-' || last || ' (' || n || ' pages)' END FROM m
+    UNION ALL SELECT DISTINCT doc_id, 7, 0, 'All clear — no issues found.' FROM vd WHERE doc_id NOT IN (SELECT doc_id FROM i WHERE severity <> 'info'))
+    SELECT doc_id, section::BIGINT AS section, place::BIGINT AS place, line FROM l) q"""
+
+
+@query("snk24_report", _REPORT)
+def _(v):
+    d, corrections = S.validate(v.readings, expected(v))
+    return S.report(d, corrections, S.issues(d, corrections))
+
+
+@query("o6_first_infos", f"SELECT * FROM ({_REPORT}) r WHERE section = 5 AND place > 0")
+def _(v):
+    d, corrections = S.validate(v.readings, expected(v))
+    return S.report(d, corrections, S.issues(d, corrections)).where("section = 5 AND place > 0")
+
+
 @query("a16_issues_by_severity", f"SELECT doc_id, severity, count(*) AS n FROM ({_ISSUES}) i GROUP BY ALL")
 def _(v):
     d, corrections = S.validate(v.readings, expected(v))

@@ -6,6 +6,8 @@ file, or the files of one trigger. No state is kept between batches.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,9 +21,10 @@ def detection_stream(spark: SparkSession, path: str, files_per_batch: int = 100)
 
 
 def pair_arriving(detections: DataFrame, pages: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Append the opinions of every arriving volume to ``target``; a batch that is run again replaces its own folder."""
+    """Append the opinions of every arriving volume to ``target``; a batch that is run again replaces its own folder, and only that of its own checkpoint."""
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def pair(batch: DataFrame, number: int) -> None:
-        pairing.pair_opinions(batch, pages).write.mode("overwrite").parquet(f"{target}/batch={number}")
+        pairing.pair_opinions(batch, pages).write.mode("overwrite").parquet(f"{target}/run={run}/batch={number}")
 
     return detections.writeStream.foreachBatch(pair).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
