@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from quirework.functions import names as N
 from quirework.functions.labels import ID
+from quirework.functions.session import shared_dir
 from quirework.operators import layout, outputs, pairing, words as W, zones
 from quirework.plans import layout_queries, zone_queries
 from quirework.plans.common import query
@@ -84,19 +87,24 @@ def _(v):
     return J.unpack_pages(text)
 
 
-@query("snk2_page_records", "SELECT doc_id, count(*) AS n_pages, string_agg(CAST(page_index AS VARCHAR), ',' ORDER BY page_index) AS pages FROM pg GROUP BY doc_id")
+@query("snk2_page_records", "SELECT doc_id, page_index, pdf_width, pdf_height, col_left_x1, col_left_x2, col_right_x1, col_right_x2, midpoint FROM pg")
 def _(v):
-    keys = F.array_sort(F.transform(F.map_keys("pages"), lambda k: k.cast("long")))
-    return J.page_records(v.pages).select("doc_id", F.size("pages").cast("long").alias("n_pages"), F.array_join(keys.cast("array<string>"), ",").alias("pages"))
+    d = J.page_records(v.pages).select("doc_id", F.explode("pages").alias("page_index", "r"))
+    return d.select("doc_id", F.col("page_index").cast("long").alias("page_index"), "r.*")
 
 
 @query("snk3_opinion_records", f"""SELECT op.doc_id, op.opinion, caption_page, 'CASE_CAPTION' AS caption_label, list_transform([caption_x1, caption_y1, caption_x2, caption_y2], lambda x: round(x, 1)) AS caption_bbox, key_page, 'KEY_ICON' AS key_label, list_transform([key_x1, key_y1, key_x2, key_y2], lambda x: round(x, 1)) AS key_bbox,
-    key_page - caption_page + 1 AS page_count, coalesce(n, 0) AS n_outside, EXISTS (SELECT 1 FROM det d WHERE d.doc_id = op.doc_id AND d.page_index BETWEEN caption_page AND key_page AND label_id = 10) AS has_image
-    FROM op LEFT JOIN (SELECT doc_id, opinion, count(*) AS n FROM ({layout_queries.OUTSIDE}) o GROUP BY ALL) u ON u.doc_id = op.doc_id AND u.opinion = op.opinion""")
+    key_page - caption_page + 1 AS page_count, coalesce(told, '') AS outside, EXISTS (SELECT 1 FROM det d WHERE d.doc_id = op.doc_id AND d.page_index BETWEEN caption_page AND key_page AND label_id = 10) AS has_image
+    FROM op LEFT JOIN (SELECT doc_id, opinion, string_agg(page_index || ':' || r.part || ':' || CAST(round(r.x0 * 10) AS BIGINT) || ',' || CAST(round(r.y0 * 10) AS BIGINT) || ',' || CAST(round(r.x1 * 10) AS BIGINT) || ',' || CAST(round(r.y1 * 10) AS BIGINT), ';' ORDER BY page_index, r.part) AS told FROM ({layout_queries.OUTSIDE}) o GROUP BY ALL) u ON u.doc_id = op.doc_id AND u.opinion = op.opinion""")
 def _(v):
     o = v.opinions
-    records = J.opinion_records(pairing.with_images(o, v.det), pairing.outside_rects(v.det, v.pg, o))
-    return records.withColumn("n_outside", F.size("outside_rects").cast("long")).drop("outside_rects")
+    outside = pairing.outside_rects(v.det, v.pg, o)
+    records = J.opinion_records(pairing.with_images(o, v.det), outside)
+    # The records' rects stand in the order of page and part; a part's name is not stored, so it is set beside them here.
+    names = outside.groupBy("doc_id", "opinion").agg(F.transform(F.sort_array(F.collect_list(F.struct("page_index", "part"))), lambda p: p["part"]).alias("parts"))
+    tenth = lambda c: F.round(c * 10).cast("long").cast("string")
+    told = F.zip_with("outside_rects", "parts", lambda r, p: F.concat_ws(":", r["page_index"].cast("string"), p, F.concat_ws(",", *[tenth(r[c]) for c in ("x0", "y0", "x1", "y1")])))
+    return records.join(names, ["doc_id", "opinion"], "left").withColumn("outside", F.coalesce(F.array_join(told, ";"), F.lit(""))).drop("outside_rects", "parts")
 
 
 @query("snk4_rect_records_round_trip", "SELECT ki.doc_id, ki.page_index, row_number() OVER (PARTITION BY ki.doc_id, ki.page_index ORDER BY det_id) - 1 AS rect_no, round(x1, 1) AS x0, round(y1, 1) AS y0, round(x2, 1) AS x1, round(y2, 1) AS y1, 'black' AS fill, 'KEY_ICON' AS type FROM ki")
@@ -116,10 +124,40 @@ def _(v):
     return rects.join(scale, layout.PAGE).select(*layout.PAGE, (F.col("x0") * F.col("sx")).alias("x0"), (F.col("y0") * F.col("sy")).alias("y0"), (F.col("x1") * F.col("sx")).alias("x1"), (F.col("y1") * F.col("sy")).alias("y1"))
 
 
-@query("snk5_margin_records", "SELECT doc_id, page_index, count(*) AS n FROM (SELECT doc_id, page_index FROM bl WHERE block_type = 0 GROUP BY ALL HAVING max(x1) - min(x0) >= 612 * 0.40) t GROUP BY ALL")
+@query("snk5_margin_records", f"SELECT doc_id, page_index, row_number() OVER (PARTITION BY doc_id, page_index ORDER BY s.side) - 1 AS rect_no, round(s.x0, 1) AS x0, round(s.y0, 1) AS y0, round(s.x1, 1) AS x1, round(s.y1, 1) AS y1 FROM ({zone_queries._MARGINS}) m WHERE s IS NOT NULL")
+def _(v):
+    return J.unpack_rects(J.rect_records(W.margin_rects(W.page_text_bounds(v.blocks)), "side"))
+
+
+def _stored(v, records, name: str) -> str:
+    path = f"{shared_dir(v.spark)}/{name}-{uuid.uuid4().hex}"
+    J.write_records(records, path)
+    return path
+
+
+@query("src5_margin_files", f"SELECT doc_id, page_index, row_number() OVER (PARTITION BY doc_id, page_index ORDER BY s.side) - 1 AS rect_no, round(s.x0, 1) AS x0, round(s.y0, 1) AS y0, round(s.x1, 1) AS x1, round(s.y1, 1) AS y1 FROM ({zone_queries._MARGINS}) m WHERE s IS NOT NULL")
+def _(v):
+    path = _stored(v, J.rect_records(W.margin_rects(W.page_text_bounds(v.blocks)), "side"), "margin-files")
+    return J.read_rects(v.spark, path, lines=True).drop("fill", "type")
+
+
+@query("src5_opinion_files", "SELECT doc_id, caption_page, key_page, key_page - caption_page + 1 AS page_count, [round(caption_x1, 1), round(caption_y1, 1), round(caption_x2, 1), round(caption_y2, 1)] AS caption_bbox, [round(key_x1, 1), round(key_y1, 1), round(key_x2, 1), round(key_y2, 1)] AS key_bbox FROM op")
+def _(v):
+    o = v.opinions
+    path = _stored(v, J.opinion_records(pairing.with_images(o, v.det), pairing.outside_rects(v.det, v.pg, o)), "opinion-files")
+    return J.read_opinions(v.spark, path, lines=True).select("doc_id", "caption_page", "key_page", "page_count", "caption_bbox", "key_bbox")
+
+
+@query("src3_found_files", "SELECT doc_id, true AS found FROM det GROUP BY doc_id")
+def _(v):
+    path = _stored(v, J.detection_records(v.det, v.pg).drop("det_id"), "detection-files")
+    return J.find_sidecars(v.spark, path, "part-*.json").select("doc_id", F.col("path").contains("detection-files").alias("found"))
+
+
+@query("src2_detection_files", "SELECT doc_id, page_index, label_id, confidence, x1, y1, x2, y2, page_number, page_number_end, img_width, img_height FROM det JOIN pg USING (doc_id, page_index)")
 def _(v):
-    rows = J.rect_records(W.margin_rects(W.page_text_bounds(v.blocks)), "side")
-    return rows.select("doc_id", "page_index", (F.size("rects") > 0).cast("long").alias("n"))
+    path = _stored(v, J.detection_records(v.det, v.pg).drop("det_id"), "detection-files")
+    return J.read_detections(v.spark, path, lines=True)
 
 
 @query("snk9_split_pages", "SELECT doc_id, opinion, page_index, page_index - caption_page AS local_page, is_first, is_last FROM oppg")
@@ -128,9 +166,9 @@ def _(v):
     return on.select("doc_id", "opinion", "page_index", (F.col("page_index") - F.col("caption_page")).alias("local_page"), "is_first", "is_last")
 
 
-@query("snk14_drawn_boxes", "SELECT tight.doc_id, tight.det_id, label, x0, y0, x1, y1 FROM tight JOIN dim USING (label_id) WHERE label_id IN (1, 5) AND confidence >= min_conf")
+@query("snk14_drawn_boxes", "SELECT tight.doc_id, tight.det_id, label, x0, y0, x1, y1 FROM tight JOIN dim USING (label_id) WHERE confidence >= min_conf")
 def _(v):
-    fine = layout.with_labels(layout.confident(v.detections.where(F.col("label_id").isin(ID["DIVIDER"], ID["HEADNOTE_BRACKET"]))))
+    fine = layout.with_labels(layout.confident(v.detections))
     rects = layout.to_points(fine, v.pages)
     return W.tighten(rects, v.words, "doc_id", "det_id").select("doc_id", "det_id", "label", "x0", "y0", "x1", "y1")
 
@@ -149,10 +187,10 @@ def _(v):
     return outputs.generate_plan(v.opinions, pairing.outside_rects(v.det, v.pg, v.opinions), icons.unionByName(margins))
 
 
-@query("snk7_stored_rects_in_points", """SELECT d.doc_id, d.page_index, det_id, x1 * sx AS x0, y1 * sy AS y0, x2 * sx AS x1, y2 * sy AS y1, CASE WHEN det_id % 2 = 0 THEN 'black' ELSE 'white' END AS fill FROM det d JOIN pgf USING (doc_id, page_index) WHERE label_id IN (1, 5, 9)""")
+@query("snk7_stored_rects_in_points", """SELECT d.doc_id, d.page_index, det_id, x1 * sx AS x0, y1 * sy AS y0, x2 * sx AS x1, y2 * sy AS y1, CASE WHEN det_id % 2 = 0 THEN 'black' ELSE 'white' END AS fill FROM det d JOIN pgf USING (doc_id, page_index)""")
 def _(v):
     fill = F.when(F.col("det_id") % 2 == 0, "black").otherwise("white")
-    rects = v.detections.where(F.col("label_id").isin(1, 5, 9)).select("doc_id", "page_index", "det_id", F.col("x1").alias("x0"), F.col("y1").alias("y0"), F.col("x2").alias("x1"), F.col("y2").alias("y1"), fill.alias("fill"))
+    rects = v.detections.select("doc_id", "page_index", "det_id", F.col("x1").alias("x0"), F.col("y1").alias("y0"), F.col("x2").alias("x1"), F.col("y2").alias("y1"), fill.alias("fill"))
     return outputs.stored_rects_in_points(rects, v.pages)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quirework.plans import common, export_queries, layout_queries, sequence_queries, zone_queries  # noqa: F401  importing them registers the queries
+from quirework.plans import common, export_queries, layout_queries, raster_queries, sequence_queries, zone_queries  # noqa: F401  importing them registers the queries
 
 
 def queries() -> dict:

@@ -17,14 +17,14 @@ def _zones(v):
     return zones.headnote_zones(v.opinions, v.det, v.pg)
 
 
-@query("src7_page_words", "SELECT doc_id, page_index, count(*) AS n_words, min(x0) AS x0, max(y1) AS y1 FROM wd GROUP BY ALL")
+@query("src7_page_words", "SELECT doc_id, page_index, word_no, x0, y0, x1, y1, word FROM wd")
 def _(v):
-    return v.words.groupBy("doc_id", "page_index").agg(F.count("*").alias("n_words"), F.min("x0").alias("x0"), F.max("y1").alias("y1"))
+    return v.words
 
 
-@query("src8_page_blocks", "SELECT doc_id, page_index, block_type, count(*) AS n FROM bl GROUP BY ALL")
+@query("src8_page_blocks", "SELECT doc_id, page_index, block_no, x0, y0, x1, y1, text, block_type FROM bl")
 def _(v):
-    return v.blocks.groupBy("doc_id", "page_index", "block_type").agg(F.count("*").alias("n"))
+    return v.blocks
 
 
 @query("src9_needs_ocr", "SELECT p.doc_id, coalesce(n, 0) < 10 AS needs_ocr FROM (SELECT DISTINCT doc_id FROM pg) p LEFT JOIN (SELECT doc_id, count(*) AS n FROM wd WHERE page_index < 3 GROUP BY ALL) w USING (doc_id)")
@@ -32,10 +32,9 @@ def _(v):
     return W.needs_ocr(v.pages, v.words)
 
 
-@query("j4_words_in_rects", "SELECT p.doc_id, p.det_id, w.word_no, w.word FROM pts p JOIN wd w ON w.doc_id = p.doc_id AND w.page_index = p.page_index AND w.x0 < p.x1 AND w.x1 > p.x0 AND w.y0 < p.y1 AND w.y1 > p.y0 WHERE label_id IN (2, 9)")
+@query("j4_words_in_rects", "SELECT p.doc_id, p.det_id, w.word_no, w.word FROM pts p JOIN wd w ON w.doc_id = p.doc_id AND w.page_index = p.page_index AND w.x0 < p.x1 AND w.x1 > p.x0 AND w.y0 < p.y1 AND w.y1 > p.y0")
 def _(v):
-    rects = layout.to_points(v.detections.where(F.col("label_id").isin(ID["PAGE_HEADER"], ID["STATE_ABBREVIATION"])), v.pages)
-    return W.words_in_rects(rects, v.words).select("doc_id", "det_id", "word_no", "word")
+    return W.words_in_rects(layout.to_points(v.detections, v.pages), v.words).select("doc_id", "det_id", "word_no", "word")
 
 
 @query("a3_tight_rects", "SELECT doc_id, det_id, tight, x0, y0, x1, y1 FROM tight")
@@ -133,9 +132,9 @@ def protected(rects: str, keys: str) -> str:
     return f"""SELECT {keys}, part, s.x0 AS x0, s.y0 AS y0, s.x1 AS x1, s.y1 AS y1 FROM (SELECT {keys}, unnest(generate_series(1, len(cutp))) AS part, unnest(cutp) AS s FROM (SELECT r.*, {_CUT} AS cutp FROM ({rects}) r LEFT JOIN holes USING (doc_id, page_index)) c WHERE len(cutp) > 0) u"""
 
 
-@query("j5_protected_headers", protected("SELECT doc_id, det_id, page_index, x0, y0, x1, y1 FROM pts WHERE label_id IN (2, 16)", "doc_id, det_id"))
+@query("j5_protected_headers", protected("SELECT doc_id, det_id, page_index, x0, y0, x1, y1 FROM pts WHERE label_id <> 8", "doc_id, det_id"))
 def _(v):
-    rects = layout.to_points(v.det.where(F.col("label_id").isin(ID["PAGE_HEADER"], ID["TEXT_COLUMN"])), v.pg).select("doc_id", "det_id", "page_index", *E.RECT)
+    rects = layout.to_points(v.det.where(F.col("label_id") != ID["PAGE_NUMBER"]), v.pg).select("doc_id", "det_id", "page_index", *E.RECT)
     return zones.protect(rects, zones.page_number_rects(v.det, v.words, v.pg), "doc_id", "det_id").select("doc_id", "det_id", "part", *E.RECT)
 
 

@@ -23,8 +23,9 @@ def _doc_of(path: Column) -> Column:
     return F.regexp_extract(path, r"([0-9]+)/[^/]*$", 1).cast("long")
 
 
-def _json(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("multiLine", True).json(paths).withColumn("doc_id", _doc_of(F.col("_metadata.file_path")))
+def _json(spark: SparkSession, paths: str | list[str], schema: str, lines: bool = False) -> DataFrame:
+    """Files that hold one array each, or with ``lines`` a record a line as ``write_records`` makes them."""
+    return spark.read.schema(schema).option("multiLine", not lines).json(paths).withColumn("doc_id", _doc_of(F.col("_metadata.file_path")))
 
 
 def unpack_detections(rows: DataFrame) -> DataFrame:
@@ -35,8 +36,8 @@ def unpack_detections(rows: DataFrame) -> DataFrame:
         "page_number", "page_number_end", F.coalesce("img_width", F.lit(1)).cast("long").alias("img_width"), F.coalesce("img_height", F.lit(1)).cast("long").alias("img_height"))
 
 
-def read_detections(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return unpack_detections(_json(spark, paths, DETECTION_FIELDS))
+def read_detections(spark: SparkSession, paths: str | list[str], lines: bool = False) -> DataFrame:
+    return unpack_detections(_json(spark, paths, DETECTION_FIELDS, lines))
 
 
 def unpack_pages(rows: DataFrame, column: str = "pages") -> DataFrame:
@@ -55,12 +56,12 @@ def unpack_rects(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", "page_index", F.posexplode("rects").alias("rect_no", "r")).select("doc_id", "page_index", F.col("rect_no").cast("long").alias("rect_no"), "r.*")
 
 
-def read_rects(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return unpack_rects(_json(spark, paths, RECT_FIELDS))
+def read_rects(spark: SparkSession, paths: str | list[str], lines: bool = False) -> DataFrame:
+    return unpack_rects(_json(spark, paths, RECT_FIELDS, lines))
 
 
-def read_opinions(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return _json(spark, paths, OPINION_FIELDS)
+def read_opinions(spark: SparkSession, paths: str | list[str], lines: bool = False) -> DataFrame:
+    return _json(spark, paths, OPINION_FIELDS, lines)
 
 
 def find_sidecars(spark: SparkSession, root: str, name: str = "detections.json") -> DataFrame:
