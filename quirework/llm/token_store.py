@@ -31,14 +31,28 @@ from quirework.llm.textvec import text_slices
 
 SHARD_BYTES = 8 << 20
 #: Words and pieces of words cached by a worker, and the longest that is.
-CACHE_WORDS, CACHE_PIECES, CACHE_CHARS = 600_000, 400_000, 40
+CACHE_WORDS, CACHE_PIECES, CACHE_CHARS = 100_000, 800_000, 40
 MAX_VOCABULARY_BYTES = 64 << 20
 _HEAD = struct.Struct("<4sBQQqQI")
 _CUT = re.compile(r"(?<=\w)(?=[ \n])")
 #: How the byte-level tokenizer splits a text (fixed pattern).
 _PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Beyond this character classes may differ between Unicode versions, so the library splits.
+#: From this character on classes may differ between Unicode versions, so the library splits.
 _STABLE_BELOW = "\u0500"
+_RARE = re.compile(f"[{_STABLE_BELOW}-\U0010ffff]")
+
+
+def _class_of(kind: str) -> str:
+    """All stable characters of a category, as they stand in a set of a pattern."""
+    import unicodedata
+
+    return "".join(re.escape(chr(c)) for c in range(ord(_STABLE_BELOW)) if unicodedata.category(chr(c))[0] == kind)
+
+
+def _stable_pieces():
+    """A function that splits texts of stable characters as _PIECE does."""
+    letter, number, blank = _class_of("L"), _class_of("N"), r"\t-\r \x85\xa0"
+    return re.compile(f" ?[{letter}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{number}]+| ?[^{blank}{letter}{number}]+|[{blank}]+(?![^{blank}])|[{blank}]+").findall
 
 
 def _byte_letters() -> dict[int, str]:
@@ -59,12 +73,13 @@ class _Filled(dict):
 
 
 class CachedTokenizer:
-    """A byte-level tokenizer of the tokenizers library with bounded caches of words and of their pieces.
+    """A byte-level tokenizer of the tokenizers library with bounded caches of words and of pieces.
 
-    The splitting pattern always ends a match between a non-blank and the blank after it,
-    so ids of a text are those of its parts between such places, put together. A part not yet
-    seen is split by the same pattern and its pieces go to the library's BPE model; what is odd
-    (long, of rare scripts, with runs of blanks) goes to the library's encoder whole.
+    A text of stable characters is split by the tokenizer's own pattern and the pieces not yet
+    seen go to the library's BPE model. In others the pattern still ends a match between a
+    non-blank and the blank after it, so ids of a text are those of its parts between such
+    places, put together; a part that is odd (long, of rare scripts, with runs of blanks, with a
+    special token) goes to the library's encoder whole.
     """
 
     def __init__(self, vocabulary: bytes, special_as_text: bool = True):
@@ -85,6 +100,7 @@ class CachedTokenizer:
         self._letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
         self._packed = [i.to_bytes(self.width, "little") for i in range(size)]
         self._words, self._pieces = _Filled(self._word), _Filled(self._piece)
+        self._stable = _stable_pieces()
 
     @staticmethod
     def parts(text: str) -> list[str]:
@@ -98,10 +114,15 @@ class CachedTokenizer:
         return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
 
     def _piece(self, piece: str) -> bytes:
-        letters = (piece if piece.isascii() else piece.encode().decode("latin-1")).translate(self._letters)
+        if piece.isascii():
+            rest = piece[1:]
+            letters = "\u0120" + rest if rest.isalnum() and piece[0] == " " else piece if piece.isalnum() else piece.translate(self._letters)
+        else:
+            letters = piece.encode().decode("latin-1").translate(self._letters)
         packed = self._packed
         made = b"".join([packed[t.id] for t in self._tokenize(letters)])
-        self._pieces[piece] = made
+        if len(piece) <= CACHE_CHARS:
+            self._pieces[piece] = made
         return made
 
     def _word(self, word: str) -> bytes:
@@ -123,8 +144,12 @@ class CachedTokenizer:
             self._words.clear()
         if len(self._pieces) > CACHE_PIECES:
             self._pieces.clear()
-        get = self._words.__getitem__
-        return [b"".join(map(get, self.parts(t))) for t in texts]
+        word, piece, split = self._words.__getitem__, self._pieces.__getitem__, self._stable
+        out = []
+        for t in texts:
+            plain = self._simple and (t.isascii() or not _RARE.search(t)) and not any(x in t for x in self._specials)
+            out.append(b"".join(map(piece, split(t)) if plain else map(word, self.parts(t))))
+        return out
 
 
 _tokenizers: dict[tuple[int, bool], CachedTokenizer] = {}
