@@ -31,7 +31,7 @@ from quirework.llm.textvec import text_slices
 
 SHARD_BYTES = 8 << 20
 #: Words and pieces of words cached by a worker, and the longest that is.
-CACHE_WORDS, CACHE_PIECES, CACHE_CHARS = 100_000, 800_000, 40
+CACHE_WORDS, CACHE_PIECES, CACHE_CHARS = 100_000, 500_000, 40
 MAX_VOCABULARY_BYTES = 64 << 20
 _HEAD = struct.Struct("<4sBQQqQI")
 _CUT = re.compile(r"(?<=\w)(?=[ \n])")
