@@ -148,55 +148,6 @@ def flow_footnotes(clips: DataFrame, page_w: float = 612.0, page_h: float = 792.
     return clips.select("doc_id", "opinion", "page_index", "det_id", "place", "part", "x0", "y0", "x1", "y1").groupBy("doc_id", "opinion").applyInPandas(flow, schema)
 
 
-def line_bands(tops: np.ndarray, bottoms: np.ndarray, reach: float = 10.0, gap: float = 10.0) -> list[tuple[float, float]]:
-    """Words gathered into lines by the centre of each line's first word, lines closer than ``gap`` put together."""
-    centre, free, lines = (tops + bottoms) / 2, np.ones(len(tops), bool), []
-    for i in range(len(tops)):
-        if free[i]:
-            own = free & (np.abs(centre - centre[i]) < reach)
-            own[:i] = False
-            free &= ~own
-            lines.append((tops[own].min(), bottoms[own].max()))
-    lines.sort(key=lambda line: line[0])
-    merged: list[list[float]] = []
-    for a, z in lines:
-        if merged and a - merged[-1][1] < gap:
-            merged[-1][1] = max(merged[-1][1], z)
-        else:
-            merged.append([a, z])
-    return [(a, z) for a, z in merged]
-
-
-def refine_to_lines(rects: DataFrame, boxes: DataFrame, *key: str, scale: float = 200 / 72) -> DataFrame:
-    """Rects in points cut into the lines of the word boxes (pixels relative to the rect's crop) found in them, at full width.
-
-    boxes: key, box_no, bx0..by1. Rects under 10 pixels or without boxes stay as they are.
-    """
-    b = boxes.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("box_no", "by0", "by1"))).alias("_boxes"))
-    d = rects.join(b, list(key), "left")
-    schema = d.select(*key).schema.add("line", "long").add("x0", "double").add("y0", "double").add("x1", "double").add("y1", "double")
-    names = schema.names
-
-    def refine(batches):
-        for g in batches:
-            rows = []
-            for r in g.itertuples(index=False):
-                px = [int(v * scale) for v in (r.x0, r.y0, r.x1, r.y1)]
-                head = [getattr(r, k) for k in key]
-                found = r.boxes
-                if found is None or len(found) == 0 or px[2] - px[0] < 10 or px[3] - px[1] < 10:
-                    rows.append((*head, 0, r.x0, r.y0, r.x1, r.y1))
-                    continue
-                tops, bottoms = (np.array([f[c] for f in found], float) for c in ("by0", "by1"))
-                for i, (a, z) in enumerate(line_bands(tops, bottoms)):
-                    y0, y1 = (px[1] + a) / scale, (px[1] + z) / scale
-                    if y0 < y1 and px[0] < px[2]:
-                        rows.append((*head, i, px[0] / scale, y0, px[2] / scale, y1))
-            yield pd.DataFrame(rows, columns=names)
-
-    return d.select(*key, "x0", "y0", "x1", "y1", F.col("_boxes").alias("boxes")).mapInPandas(refine, schema)
-
-
 def columns_of_profile(ink: np.ndarray) -> tuple[float, float, float, float, float]:
     """Bounds of two text columns and the middle between them from the ink of every pixel column; zeros where there are none."""
     none = (0.0, 0.0, 0.0, 0.0, 0.0)

@@ -257,3 +257,27 @@ def footnote_clips(kept: DataFrame, pages: DataFrame, words: DataFrame, padding:
     parts = F.when((F.col("a") < F.col("mid")) & (F.col("z") > F.col("mid")), F.array(part(0, F.col("a"), F.col("mid")), part(1, F.col("mid"), F.col("z")))).otherwise(F.array(part(0, F.col("a"), F.col("z"))))
     clips = d.withColumn("p", F.explode(parts)).select("doc_id", "page_index", "det_id", "place", "p.part", "p.x0", "y0", "p.x1", F.col("yb").alias("y1"))
     return W.tighten(clips, words, "doc_id", "det_id", "part", padding=padding).where("x1 - x0 >= 2 AND y1 - y0 >= 2").select("doc_id", "page_index", "det_id", "place", "part", *E.RECT)
+
+
+def refine_to_lines(rects: DataFrame, boxes: DataFrame, *key: str, scale: float = 200 / 72, reach: float = 10.0, gap: float = 10.0) -> DataFrame:
+    """Rects in points cut into the lines of the word boxes (pixels relative to the rect's crop) found in them, at full width.
+
+    A word joins the first line whose first word's centre is less than ``reach`` away, or opens one; lines closer
+    than ``gap`` are put together. Folds over the words of one rect.
+    boxes: key, box_no, by0, by1. Rects under 10 pixels or without boxes stay as they are, as line 0.
+    """
+    per = boxes.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("box_no", ((F.col("by0") + F.col("by1")) / 2).alias("c"), F.col("by0").alias("a"), F.col("by1").alias("z")))).alias("_b"))
+    px = F.array(*[(F.col(c) * scale).cast("int") for c in E.RECT])
+    d = rects.select(*key, *E.RECT).join(per.withColumn("_b", F.expr("transform(_b, w -> struct(w.c, w.a, w.z))")), list(key), "left").withColumn("_px", px)
+    lines = F.expr(f"""aggregate(slice(_b, 2, size(_b)), slice(_b, 1, 1), (s, w) ->
+        transform(array(array_position(transform(s, l -> abs(l.c - w.c) < {reach}D), true)), k -> CASE WHEN k = 0 THEN concat(s, array(w))
+          ELSE concat(slice(s, 1, int(k) - 1), array(struct(s[k - 1].c AS c, least(s[k - 1].a, w.a) AS a, greatest(s[k - 1].z, w.z) AS z)), slice(s, int(k) + 1, size(s))) END)[0])""")
+    merged = F.expr(f"""transform(array(array_sort(transform(_lines, l -> struct(l.a, l.z)))), o -> aggregate(slice(o, 2, size(o)), slice(o, 1, 1), (m, l) ->
+        CASE WHEN l.a - element_at(m, -1).z < {gap}D THEN concat(slice(m, 1, size(m) - 1), array(struct(element_at(m, -1).a AS a, greatest(element_at(m, -1).z, l.z) AS z)))
+          ELSE concat(m, array(l)) END))[0]""")
+    cut = F.expr("_b IS NOT NULL AND _px[2] - _px[0] >= 10 AND _px[3] - _px[1] >= 10")
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("line"), *[F.col(c).cast("double").alias(c) for c in E.RECT]))
+    parts = F.transform("_merged", lambda l, i: F.struct(i.cast("long").alias("line"), (F.get("_px", F.lit(0)) / scale).alias("x0"), ((F.get("_px", F.lit(1)) + l["a"]) / scale).alias("y0"), (F.get("_px", F.lit(2)) / scale).alias("x1"), ((F.get("_px", F.lit(1)) + l["z"]) / scale).alias("y1")))
+    d = d.withColumn("_lines", F.when(cut, lines)).withColumn("_merged", merged)
+    d = d.select(*key, F.explode(F.when(cut, F.filter(parts, lambda p: p["y0"] < p["y1"])).otherwise(whole)).alias("_part"))
+    return d.select(*key, "_part.*")

@@ -221,6 +221,16 @@ def _(v):
     return R.extract_number(v.candidates, F.col("page_no") * 3)
 
 
-@query("w5_repaired_numbers")
+# One page is looked at in each step of the recursion, in up to five passes over its volume; ``d0`` and ``d1`` are the distances of the numbers about it.
+_REPAIRED = """SELECT * FROM (WITH RECURSIVE v AS (SELECT doc_id, list(page_index ORDER BY page_index) AS pages, list(page_number::BIGINT ORDER BY page_index) AS was, list(page_number_end::BIGINT ORDER BY page_index) AS fin FROM pg GROUP BY doc_id),
+    s AS (SELECT doc_id, was AS num, fin, 1 AS i, CASE WHEN len(was) >= 3 THEN 1 ELSE 6 END AS pass, false AS changed FROM v
+      UNION ALL SELECT doc_id, CASE WHEN fix THEN list_transform(num, lambda x, j: CASE WHEN j = i THEN want ELSE x END) ELSE num END, CASE WHEN fix THEN list_transform(fin, lambda x, j: CASE WHEN j = i THEN NULL ELSE x END) ELSE fin END,
+        CASE WHEN i = len(num) THEN 1 ELSE i + 1 END, CASE WHEN i < len(num) THEN pass WHEN changed OR fix THEN pass + 1 ELSE 6 END, i < len(num) AND (changed OR fix)
+      FROM (SELECT *, coalesce(num[i + d1] - num[i - d0] = d0 + d1, false) AND num[i - d0] + d0 IS DISTINCT FROM num[i] AND num[i - d0] + d0 IS DISTINCT FROM fin[i] AS fix, num[i - d0] + d0 AS want
+        FROM (SELECT *, list_filter(range(1, 11), lambda d: i - d >= 1 AND num[i - d] IS NOT NULL)[1] AS d0, list_filter(range(1, 11), lambda d: i + d <= len(num) AND num[i + d] IS NOT NULL)[1] AS d1 FROM s WHERE pass <= 5) n) f)
+    SELECT doc_id, unnest(pages) AS page_index, unnest(num) AS page_number, unnest(s.fin) AS page_number_end, unnest(list_transform(num, lambda x, j: x IS DISTINCT FROM was[j])) AS changed FROM s JOIN v USING (doc_id) WHERE pass > 5) q"""
+
+
+@query("w5_repaired_numbers", _REPAIRED)
 def _(v):
     return grouped.repair_page_numbers(v.pages)

@@ -221,7 +221,8 @@ def _doubled(v):
     return foot.unionByName(copies)
 
 
-_NMS = """SELECT * FROM (WITH RECURSIVE two AS (SELECT doc_id, page_index, det_id, confidence, x1, y1, x2, y2 FROM ft0 UNION ALL SELECT doc_id, page_index, det_id + 100000, confidence * 0.5, x1 + det_id % 40, y1 + det_id % 7, x2 + det_id % 90, y2 FROM ft0 WHERE det_id % 2 = 0),
+_DOUBLED = "SELECT doc_id, page_index, det_id, confidence, x1, y1, x2, y2 FROM ft0 UNION ALL SELECT doc_id, page_index, det_id + 100000, confidence * 0.5, x1 + det_id % 40, y1 + det_id % 7, x2 + det_id % 90, y2 FROM ft0 WHERE det_id % 2 = 0"
+_NMS = """SELECT * FROM (WITH RECURSIVE two AS ({BOXES}),
     o AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page_index ORDER BY confidence DESC, det_id) AS n FROM two),
     near AS (SELECT a.doc_id, a.page_index, a.n AS n, b.n AS m FROM o a JOIN o b ON a.doc_id = b.doc_id AND a.page_index = b.page_index AND b.n < a.n,
       LATERAL (SELECT greatest(0, least(a.x2, b.x2) - greatest(a.x1, b.x1)) * greatest(0, least(a.y2, b.y2) - greatest(a.y1, b.y1)) AS i) z WHERE i > 0.3 * ((a.x2 - a.x1) * (a.y2 - a.y1) + (b.x2 - b.x1) * (b.y2 - b.y1) - i)),
@@ -232,7 +233,7 @@ _NMS = """SELECT * FROM (WITH RECURSIVE two AS (SELECT doc_id, page_index, det_i
     SELECT o.doc_id, o.page_index, det_id, row_number() OVER (PARTITION BY o.doc_id, o.page_index ORDER BY y1, det_id) AS place FROM o JOIN fin USING (doc_id, page_index) WHERE list_contains(k, o.n)) q"""
 
 
-@query("j16_footnotes_kept", _NMS)
+@query("j16_footnotes_kept", _NMS.replace("{BOXES}", _DOUBLED))
 def _(v):
     return zones.footnotes_kept(_doubled(v)).select("doc_id", "page_index", "det_id", "place")
 
@@ -249,32 +250,97 @@ def _(v):
     return zones.footnote_clips(foot, v.pages, v.words).select("doc_id", "page_index", "det_id", "part", *E.RECT)
 
 
-@query("snk13_footnote_flow")
+_FLOW = f"""SELECT * FROM (WITH RECURSIVE kept AS ({_NMS.replace("{BOXES}", "SELECT * FROM ft0")}),
+    c AS (SELECT k.*, kept.place, least(1, 540 / (x1 - x0)) AS sc FROM ({_CLIPS}) k JOIN kept USING (doc_id, page_index, det_id) WHERE x1 - x0 >= 2 AND y1 - y0 >= 2),
+    s AS (SELECT c.doc_id, opinion, c.page_index, det_id, part, (x1 - x0) * sc AS w, (y1 - y0) * sc AS h, row_number() OVER (PARTITION BY c.doc_id, opinion ORDER BY c.page_index, place, part) AS n FROM c JOIN oppg ON oppg.doc_id = c.doc_id AND oppg.page_index = c.page_index),
+    flow AS (SELECT *, 0::BIGINT AS out_page, 36::DOUBLE AS y FROM s WHERE n = 1
+      UNION ALL SELECT s.*, out_page + CASE WHEN y + flow.h + 8 + s.h > 756 THEN 1 ELSE 0 END, CASE WHEN y + flow.h + 8 + s.h > 756 THEN 36 ELSE y + flow.h + 8 END FROM flow JOIN s ON s.doc_id = flow.doc_id AND s.opinion = flow.opinion AND s.n = flow.n + 1)
+    SELECT doc_id, opinion, page_index, det_id, part, out_page, 36::DOUBLE AS dx0, y AS dy0, 36 + w AS dx1, y + h AS dy1 FROM flow) q"""
+
+
+@query("snk13_footnote_flow", _FLOW)
 def _(v):
     clips = zones.footnote_clips(zones.footnotes_kept(v.det), v.pg, v.words)
     on = pairing.opinion_pages(v.opinions, v.pg).select("doc_id", "opinion", "page_index")
     return grouped.flow_footnotes(clips.join(on, layout.PAGE))
 
 
-@query("j6_fused_models")
+_MEETS = """list_filter(rest[2:], lambda b: {NOT}(
+      (b.x1 >= rest[1].x1 AND b.y1 >= rest[1].y1 AND b.x2 <= rest[1].x2 AND b.y2 <= rest[1].y2) OR (b.x1 <= rest[1].x1 AND b.y1 <= rest[1].y1 AND b.x2 >= rest[1].x2 AND b.y2 >= rest[1].y2)
+      OR (greatest(0, least(b.x2, rest[1].x2) - greatest(b.x1, rest[1].x1)) * greatest(0, least(b.y2, rest[1].y2) - greatest(b.y1, rest[1].y1)) > 0.3::DOUBLE * ((rest[1].x2 - rest[1].x1) * (rest[1].y2 - rest[1].y1) + (b.x2 - b.x1) * (b.y2 - b.y1)
+        - greatest(0, least(b.x2, rest[1].x2) - greatest(b.x1, rest[1].x1)) * greatest(0, least(b.y2, rest[1].y2) - greatest(b.y1, rest[1].y1))))))"""
+
+# A free box takes those that meet it until none is left; each step of the recursion is one taking.
+_FUSED = f"""SELECT * FROM (WITH RECURSIVE src AS (SELECT doc_id, page_index, label_id, det_id, confidence, model, x1, y1, x2, y2 FROM det
+      UNION ALL SELECT doc_id, page_index, label_id, det_id + 100000, confidence * 0.9::DOUBLE, 'small', x1 + det_id % 9, y1 + det_id % 5, x2 + det_id % 30, y2 FROM det WHERE det_id % 3 = 0),
+    g AS (SELECT doc_id, page_index, label_id, list({{'id': det_id, 'c': confidence, 'm': model, 'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2}} ORDER BY y1, det_id) AS rest FROM src WHERE label_id NOT IN (0, 3) OR model = 'medium' GROUP BY ALL),
+    take AS (SELECT doc_id, page_index, label_id, list_concat([rest[1]], {_MEETS.replace("{NOT}", "")}) AS own, {_MEETS.replace("{NOT}", "NOT ")} AS rest FROM g
+      UNION ALL SELECT doc_id, page_index, label_id, list_concat([rest[1]], {_MEETS.replace("{NOT}", "")}), {_MEETS.replace("{NOT}", "NOT ")} FROM take WHERE len(rest) > 0),
+    t AS (SELECT *, row_number() OVER () AS tid FROM take),
+    u AS (SELECT tid, doc_id, page_index, label_id, p, own[p] AS b FROM (SELECT *, unnest(range(1, len(own) + 1)) AS p FROM t) x),
+    o AS (SELECT tid, doc_id, page_index, label_id, arg_min(b, (CASE WHEN label_id = 7 THEN (b.x2 - b.x1) * (b.y2 - b.y1) ELSE -b.c END, p)) AS best, count(*) AS model_count, string_agg(b.m, ',' ORDER BY p) AS found_by FROM u GROUP BY ALL)
+    SELECT doc_id, page_index, label_id, best.id AS det_id, best.c AS confidence, model_count, found_by FROM o) q"""
+
+
+@query("j6_fused_models", _FUSED)
 def _(v):
     n = F.col("det_id")
     copies = v.detections.where("det_id % 3 = 0").withColumns({"det_id": n + 100000, "model": F.lit("small"), "confidence": F.col("confidence") * 0.9, "x1": F.col("x1") + n % 9, "y1": F.col("y1") + n % 5, "x2": F.col("x2") + n % 30})
     return grouped.fuse_models(v.detections.unionByName(copies)).select("doc_id", "page_index", "label_id", "det_id", "confidence", "model_count", F.array_join("found_by", ",").alias("found_by"))
 
 
-@query("z7_refined_lines")
-def _(v):
+# The first free word of a rect takes all words about its centre; each step of the recursion is one line.
+_LINES = """SELECT * FROM (WITH RECURSIVE r AS (SELECT *, trunc(x0 * (200 / 72)) AS px0, trunc(y0 * (200 / 72)) AS py0, trunc(x1 * (200 / 72)) AS px1, trunc(y1 * (200 / 72)) AS py1 FROM zc),
+    b AS (SELECT r.doc_id, opinion, r.page_index, side, list({'c': ((w.y0 - r.y0) * 200 / 72 + (w.y1 - r.y0) * 200 / 72) / 2, 'a': (w.y0 - r.y0) * 200 / 72, 'z': (w.y1 - r.y0) * 200 / 72} ORDER BY word_no) AS rest
+      FROM r JOIN wd w ON w.doc_id = r.doc_id AND w.page_index = r.page_index AND w.x0 < r.x1 AND w.x1 > r.x0 AND w.y0 < r.y1 AND w.y1 > r.y0 WHERE px1 - px0 >= 10 AND py1 - py0 >= 10 GROUP BY ALL),
+    take AS (SELECT doc_id, opinion, page_index, side, list_filter(rest, lambda w: abs(w.c - rest[1].c) < 10) AS own, list_filter(rest, lambda w: abs(w.c - rest[1].c) >= 10) AS rest FROM b
+      UNION ALL SELECT doc_id, opinion, page_index, side, list_filter(rest, lambda w: abs(w.c - rest[1].c) < 10), list_filter(rest, lambda w: abs(w.c - rest[1].c) >= 10) FROM take WHERE len(rest) > 0),
+    l AS (SELECT doc_id, opinion, page_index, side, list_min(list_transform(own, lambda w: w.a)) AS a, list_max(list_transform(own, lambda w: w.z)) AS z FROM take),
+    f AS (SELECT *, CASE WHEN a - max(z) OVER (PARTITION BY doc_id, opinion, page_index, side ORDER BY a, z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) < {GAP} THEN 0 ELSE 1 END AS opens FROM l),
+    n AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id, opinion, page_index, side ORDER BY a, z, opens) - 1 AS line FROM f),
+    m AS (SELECT doc_id, opinion, page_index, side, line, min(a) AS a, max(z) AS z FROM n GROUP BY ALL)
+    SELECT doc_id, opinion, page_index, side, line::BIGINT AS line, px0 / (200 / 72) AS x0, (py0 + a) / (200 / 72) AS y0, px1 / (200 / 72) AS x1, (py0 + z) / (200 / 72) AS y1 FROM r JOIN m USING (doc_id, opinion, page_index, side) WHERE a < z
+    UNION ALL SELECT doc_id, opinion, page_index, side, 0, x0, y0, x1, y1 FROM r ANTI JOIN b USING (doc_id, opinion, page_index, side)) q"""
+
+
+def _clips_and_boxes(v):
     rects = zones.clip_headnotes(_zones(v), v.words, v.det, v.pg)
     key = ("doc_id", "opinion", "page_index", "side")
     boxes = W.words_in_rects(rects, v.words).select(*key, F.col("word_no").alias("box_no"), *[((F.col(f"w{a}") - F.col(a[0] + "0")) * 200 / 72).alias(f"b{a}") for a in E.RECT])
-    return grouped.refine_to_lines(rects, boxes, *key)
+    return rects, boxes, *key
+
+
+@query("z7_refined_lines", _LINES.replace("{GAP}", "10"))
+def _(v):
+    return zones.refine_to_lines(*_clips_and_boxes(v))
 
 
-@query("x10_detected_columns")
+@query("z7_set_lines", _LINES.replace("{GAP}", "4"))
+def _(v):
+    """The lines of the test tables are 6 pixels apart and stay apart here."""
+    return zones.refine_to_lines(*_clips_and_boxes(v), gap=4.0)
+
+
+# 612 points a page smoothed by 13 weights of a normal curve; text ends where the smooth ink runs dry about the valley in the middle.
+_COLUMNS = """SELECT * FROM (WITH k AS (SELECT d, exp(-d * d / (2 * 2.3::DOUBLE * 2.3::DOUBLE)) AS e FROM unnest(range(-6, 7)) t(d)), kn AS (SELECT d, e / (SELECT sum(e) FROM k) AS wt FROM k),
+    word AS (SELECT doc_id, page_index, unnest(generate_series(trunc(x0 + CASE WHEN x0 >= 306 THEN 24 ELSE 0 END)::BIGINT, trunc(x1 + CASE WHEN x0 >= 306 THEN 24 ELSE 0 END)::BIGINT - 1)) AS x, y1 - y0 AS h FROM wd),
+    ink AS (SELECT doc_id, page_index, x, sum(h) AS h FROM word GROUP BY ALL),
+    sm AS (SELECT p.doc_id, p.page_index, x.x, coalesce(sum(wt * h), 0) AS v FROM (SELECT DISTINCT doc_id, page_index FROM ink) p CROSS JOIN unnest(range(0, 612)) x(x) CROSS JOIN kn
+      LEFT JOIN ink ON ink.doc_id = p.doc_id AND ink.page_index = p.page_index AND ink.x = CASE WHEN x.x + d < 0 THEN -(x.x + d) WHEN x.x + d > 611 THEN 1222 - (x.x + d) ELSE x.x + d END GROUP BY ALL),
+    st AS (SELECT doc_id, page_index, arg_min(x, (v, x)) FILTER (x BETWEEN 153 AND 458) AS valley, greatest(1, 0.15::DOUBLE * median(v)) AS dry, greatest(1, 0.20::DOUBLE * avg(v)) AS text FROM sm GROUP BY ALL),
+    gap AS (SELECT doc_id, page_index, any_value(valley) AS valley, coalesce(max(x) FILTER (x <= valley AND v > dry), 0) AS a, coalesce(min(x) FILTER (x >= valley AND v > dry), 611) AS z FROM sm JOIN st USING (doc_id, page_index) GROUP BY ALL),
+    mid AS (SELECT doc_id, page_index, CASE WHEN z - a < 6 THEN greatest(0, valley - 3) + least(612, valley + 3) ELSE a + z END // 2 AS m FROM gap),
+    ends AS (SELECT doc_id, page_index, any_value(m) AS m, min(x) FILTER (x < m AND v > text) AS l0, max(x) FILTER (x < m AND v > text) AS l1, min(x) FILTER (x >= m AND v > text) AS r0, max(x) FILTER (x >= m AND v > text) AS r1
+      FROM sm JOIN st USING (doc_id, page_index) JOIN mid USING (doc_id, page_index) GROUP BY ALL)
+    SELECT doc_id, page_index, CASE WHEN ok THEN l0 ELSE 0 END::DOUBLE AS col_left_x1, CASE WHEN ok THEN l1 ELSE 0 END::DOUBLE AS col_left_x2, CASE WHEN ok THEN r0 ELSE 0 END::DOUBLE AS col_right_x1, CASE WHEN ok THEN r1 ELSE 0 END::DOUBLE AS col_right_x2, CASE WHEN ok THEN m ELSE 0 END::DOUBLE AS midpoint
+    FROM (SELECT *, coalesce(l0 < l1 AND l1 < m AND m < r0 AND r0 < r1, false) AS ok FROM ends) e) q"""
+
+
+@query("x10_detected_columns", _COLUMNS)
 def _(v):
-    """Ink profiles made from the words of a page: the height of the words over every point."""
-    ink = v.words.select("doc_id", "page_index", F.explode(F.sequence(F.col("x0").cast("int"), F.col("x1").cast("int") - 1)).alias("x"), (F.col("y1") - F.col("y0")).alias("h"))
+    """Ink profiles made from the words of a page, its right half moved by 24 points: the height of the words over every point."""
+    moved = F.when(F.col("x0") >= 306, 24).otherwise(0)
+    ink = v.words.select("doc_id", "page_index", F.explode(F.sequence((F.col("x0") + moved).cast("int"), (F.col("x1") + moved).cast("int") - 1)).alias("x"), (F.col("y1") - F.col("y0")).alias("h"))
     sums = ink.groupBy("doc_id", "page_index", "x").agg(F.sum("h").alias("h"))
     whole = sums.groupBy("doc_id", "page_index").agg(F.map_from_entries(F.collect_list(F.struct("x", "h"))).alias("m"))
     return grouped.detect_columns(whole.select("doc_id", "page_index", F.expr("transform(sequence(0, 611), i -> coalesce(m[i], 0D))").alias("ink")))

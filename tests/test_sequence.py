@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quirework.functions import expressions as E
 from quirework.functions import names as N
 from quirework.functions.labels import ID
-from quirework.operators import grouped, readings as R, sequence as S
+from quirework.operators import grouped, readings as R, sequence as S, zones
 from quirework.sources import backends, sidecars as J
 
 READ = "doc_id long, pdf_page long, detected string, type string, score double"
@@ -130,9 +130,37 @@ def test_fusion(spark):
     assert got == {1: (2, ["small", "large"]), 2: (1, ["large"]), 4: (2, ["large", "small"]), 6: (1, ["medium"])}
 
 
-def test_line_bands():
-    tops, bottoms = np.array([0., 2., 40., 52., 100.]), np.array([12., 14., 48., 60., 110.])
-    assert grouped.line_bands(tops, bottoms) == [(0, 14), (40, 60), (100, 110)]
+def greedy_lines(words, reach=10.0, gap=10.0):
+    """The first free word takes all words about its centre, then near lines are put together."""
+    free, lines = list(words), []
+    while free:
+        c = sum(free[0]) / 2
+        lines.append([w for w in free if abs(sum(w) / 2 - c) < reach])
+        free = [w for w in free if abs(sum(w) / 2 - c) >= reach]
+    merged = []
+    for a, z in sorted((min(w[0] for w in own), max(w[1] for w in own)) for own in lines):
+        if merged and a - merged[-1][1] < gap:
+            merged[-1][1] = max(merged[-1][1], z)
+        else:
+            merged.append([a, z])
+    return merged
+
+
+def test_refined_lines_equal_one_pass(spark):
+    rng, rects, boxes, want = random.Random(3), [], [], {}
+    given = {0: [(0., 12.), (2., 14.), (40., 48.), (52., 60.), (100., 110.)], 1: [], 2: [(5., 5.)]}
+    given.update({k: [(float(y), float(y + rng.randint(4, 14))) for y in (rng.randint(0, 400) for _ in range(rng.randint(1, 40)))] for k in range(3, 30)})
+    for k, words in given.items():
+        rects.append((k, 72., 72., 144., 288.))
+        boxes += [(k, i, a, z) for i, (a, z) in enumerate(words)]
+        lines = [(i, (200 + a) / (200 / 72), (200 + z) / (200 / 72)) for i, (a, z) in enumerate(greedy_lines(words)) if a < z]
+        want[k] = lines if words else [(0, 72., 288.)]
+    rects.append((99, 72., 72., 74., 288.))  # under 10 pixels wide
+    boxes.append((99, 0, 0., 10.))
+    want[99] = [(0, 72., 288.)]
+    got = zones.refine_to_lines(spark.createDataFrame(rects, "doc_id long, x0 double, y0 double, x1 double, y1 double"), spark.createDataFrame(boxes, "doc_id long, box_no long, by0 double, by1 double"), "doc_id").collect()
+    near = lambda rows: sorted((k, i, round(a, 6), round(z, 6)) for k, i, a, z in rows)
+    assert near((r.doc_id, r.line, r.y0, r.y1) for r in got) == near((k, *line) for k, lines in want.items() for line in lines)
 
 
 def test_flow_opens_pages(spark):
