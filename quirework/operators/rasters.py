@@ -76,3 +76,15 @@ def burn_rects(bitmaps: DataFrame, rects: DataFrame, pages: DataFrame) -> DataFr
         return zlib.compress(np.packbits(out > REPACKED_ABOVE, axis=1).tobytes())
 
     return _mapped(bitmaps.join(own, PAGE), burnt, ("rects",), "stream")
+
+
+def rotation_plan(pages: DataFrame) -> DataFrame:
+    """How each page of volumes with a rotated page goes into their upright copy: doc_id, page_index, dpi, jpg_quality.
+
+    Rotated pages (rotation other than 0) are drawn at 300 dpi as JPEG of quality 85 on a page of their size, the others are
+    copied as they are (both null). Volumes without such a page stay as they are and have no rows; a null rotation counts as 0.
+    """
+    turned = F.coalesce(F.col("rotation"), F.lit(0)) != 0
+    volumes = pages.where(turned).select("doc_id").distinct()
+    whole = lambda n: F.when(turned, F.lit(n).cast("long"))
+    return pages.join(volumes, "doc_id", "left_semi").select("doc_id", "page_index", whole(300).alias("dpi"), whole(85).alias("jpg_quality"))

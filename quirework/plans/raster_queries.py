@@ -83,3 +83,12 @@ def _(v):
     size = v.blocks.groupBy("doc_id").agg((F.count("*") * 3).alias("mb"))
     d = size.join(R.bitonal_volumes(v.spark.sql(_IMAGES, bl=v.blocks)), "doc_id")
     return d.select("doc_id", "mb", R.to_recompress(F.col("mb"), F.col("bitonal")).alias("recompress"))
+
+
+_ROTATION = "CASE WHEN doc_id % 3 = 1 AND page_index % 5 = 2 THEN 90 WHEN doc_id % 6 = 5 THEN NULL ELSE 0 END"
+
+
+@query("snk20_rotated_pages", f"""SELECT doc_id, page_index, CASE WHEN rotation = 90 THEN 300 END::BIGINT AS dpi, CASE WHEN rotation = 90 THEN 85 END::BIGINT AS jpg_quality
+    FROM (SELECT doc_id, page_index, {_ROTATION} AS rotation, max({_ROTATION}) OVER (PARTITION BY doc_id) AS most FROM pg) p WHERE most = 90""")
+def _(v):
+    return R.rotation_plan(v.pages.withColumn("rotation", F.expr(_ROTATION)))

@@ -48,6 +48,34 @@ def _made(factory: Callable | None, what: str):
     return factory()
 
 
+MODELS = ("small", "medium", "large")
+
+
+def ensure_weights(spark: SparkSession, folder: str, models: list[str] | None = None, fetch: dict[str, Callable[[str], None]] | None = None) -> dict[str, str]:
+    """Weights ``<model>.pt`` in ``folder`` (on any file system), handed to every executor: model to path there, for a backend to open by its file name in ``SparkFiles``.
+
+    One that is missing is fetched by ``fetch[model](path)``, which must leave it at that path; without such a
+    source the call ends with FileNotFoundError. Weights that are there are never fetched. ``models`` None: all three.
+    """
+    found = {}
+    for model in MODELS if models is None else models:
+        path = f"{folder.rstrip('/')}/{model}.pt"
+        if not _is_file(spark, path) and model in (fetch or {}):
+            fetch[model](path)
+        if not _is_file(spark, path):
+            raise FileNotFoundError(f"no weights at {path} and no source to fetch them from")
+        found[model] = path
+    for path in found.values():
+        spark.sparkContext.addFile(path)
+    return found
+
+
+def _is_file(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.getFileStatus(p).isFile()
+
+
 def read_volumes(spark: SparkSession, path: str) -> DataFrame:
     """path, content and size of PDF files on any file system."""
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(path).select("path", "content", F.col("length").alias("size"))

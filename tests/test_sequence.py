@@ -228,3 +228,40 @@ def test_backends_by_contract(spark):
     assert bytes(backends.merge_chunks(parts, FakePdf).first().content) == b"ab"
     with pytest.raises(Exception, match="BackendMissing"):
         backends.page_table(v).collect()
+
+
+def test_weights_reach_the_executors(spark, tmp_path):
+    (tmp_path / "small.pt").write_bytes(b"s")
+    (tmp_path / "medium.pt").write_bytes(b"m")
+    calls = []
+
+    def fetch(path):
+        calls.append(path)
+        with open(path, "wb") as f:
+            f.write(b"l")
+
+    folder = str(tmp_path)
+    with pytest.raises(FileNotFoundError):
+        backends.ensure_weights(spark, folder)
+    with pytest.raises(FileNotFoundError):
+        backends.ensure_weights(spark, folder, ["other"], {"large": fetch})
+    assert not calls
+    assert backends.ensure_weights(spark, folder, ["small"], {"small": fetch}) == {"small": f"{folder}/small.pt"} and not calls
+    assert list(backends.ensure_weights(spark, folder, fetch={"large": fetch})) == ["small", "medium", "large"] and len(calls) == 1
+    assert backends.ensure_weights(spark, folder, []) == {}
+
+    def opened(batches):
+        from pyspark import SparkFiles
+
+        for b in batches:
+            yield b.assign(held=open(SparkFiles.get("large.pt")).read())
+
+    assert [r.held for r in spark.range(3).mapInPandas(opened, "id long, held string").collect()] == ["l"] * 3
+
+
+def test_rotation_plan(spark):
+    from quirework.operators import rasters
+
+    rows = [(1, 0, 0), (1, 1, 270), (1, 2, None), (2, 0, 0), (3, 0, None), (4, 0, 90)]
+    got = rasters.rotation_plan(spark.createDataFrame(rows, "doc_id long, page_index long, rotation int")).collect()
+    assert sorted((r.doc_id, r.page_index, r.dpi or 0, r.jpg_quality or 0) for r in got) == [(1, 0, 0, 0), (1, 1, 300, 85), (1, 2, 0, 0), (4, 0, 300, 85)]
