@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm.session import fresh_path, materialize, spread_join, table
+from quirework.llm.session import fresh_path, materialize, spread_join, table, told_apart
 from quirework.llm.textvec import text_slices
 
 RULES_VERSION = "1"
@@ -81,10 +81,15 @@ def _scan(df: DataFrame, ledger: str, rules: str, text_col: str, id_col: str) ->
     text = F.coalesce(F.col(text_col), F.lit(""))
     versions = df.select(F.col(id_col).alias("id"), F.sha2(text, 256).alias("blob"), text.alias("text"))
     paths = materialize(versions.select("id", "blob"), "blob-paths")
-    # Copies are merged before the shuffle, so a text that a third of all rows hold goes out once from each task.
-    once = versions.groupBy("blob").agg(F.first("text").alias("text"))
-    if _exists(spark, ledger):
-        done = spark.read.schema(_LEDGER).parquet(ledger).where(F.col("rules") == rules).select("blob")
+    counted = paths.groupBy("blob").agg(F.count("*").alias("n"))
+    apart = counted.where("n > 1").select("blob")
+    done = spark.read.schema(_LEDGER).parquet(ledger).where(F.col("rules") == rules).select("blob") if _exists(spark, ledger) else None
+    if done is not None:
+        apart = apart.union(counted.select("blob").join(done, "blob", "left_semi"))
+    # New texts without a copy are scanned where they lie. Copies are merged before the shuffle, so a text that a third of all rows hold goes out once from each task.
+    dealt, alone = told_apart(versions.select("blob", "text"), apart, "blob")
+    once = dealt.groupBy("blob").agg(F.first("text").alias("text"))
+    if done is not None:
         once = once.join(done, "blob", "left_anti")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +105,7 @@ def _scan(df: DataFrame, ledger: str, rules: str, text_col: str, id_col: str) ->
                 kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
 
-    once.select("blob", "text").mapInArrow(run, _LEDGER).write.mode("append").partitionBy("rules").parquet(ledger)
+    alone.union(once.select("blob", "text")).mapInArrow(run, _LEDGER).write.mode("append").partitionBy("rules").parquet(ledger)
     told = spark.read.schema(_LEDGER).parquet(ledger).where((F.col("rules") == rules) & (F.col("spans") != "")).drop("rules").dropDuplicates(["blob"])
     held = paths.select("blob").join(told.select("blob"), "blob", "left_semi").groupBy("blob").agg(F.count("*").alias("n"))
     return paths, materialize(told.join(held, "blob"), "findings")
@@ -121,10 +126,12 @@ def mask_secrets(df: DataFrame, ledger: str, rules: str = RULES_VERSION, text_co
     """``df`` scanned by way of ``ledger``, every span of ``text_col`` replaced by ``[kind]``; overlapping spans go together under the first one's kind.
 
     All columns stay, whatever their names; null texts stay null. ``df`` must be a stored table.
+    Rows without spans stay where they are; only those that hold some are dealt to their spans.
     """
     found = _scan(df, ledger, rules, text_col, id_col)[1].select("blob", "spans", "n")
     packed = df.select(F.struct(*df.columns).alias("row"), F.col(text_col).alias("text"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("blob"))
-    joined = spread_join(packed, found, ["blob"], how="left").select("row", "text", "spans")
+    held, clean = told_apart(packed, found, "blob")
+    joined = spread_join(held, found, ["blob"], how="left").select("row", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -134,7 +141,7 @@ def mask_secrets(df: DataFrame, ledger: str, rules: str = RULES_VERSION, text_co
                     texts = pa.array([t if s is None else masked(t, s) for t, s in zip(texts.to_pylist(), b.column(2).to_pylist())], pa.string())
                 yield pa.RecordBatch.from_arrays([b.column(0), texts], ["row", "text"])
 
-    done = joined.mapInArrow(run, joined.select("row", "text").schema)
+    done = clean.select("row", "text").union(joined.mapInArrow(run, joined.select("row", "text").schema))
     return done.select(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in df.columns])
 
 
