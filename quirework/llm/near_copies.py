@@ -32,7 +32,7 @@ from pyspark.sql.types import ArrayType, LongType
 from quirework.llm import simhash
 from quirework.llm.components import connected_components
 from quirework.llm.grouping import group_starts, roots, unite, whole_groups
-from quirework.llm.session import materialize, partitions
+from quirework.llm.session import drop_staged, materialize, numbered, partitions
 from quirework.llm.textvec import SpanHasher, column_bytes, gram_hashes, mix, text_slices, word_bounds
 
 SIMILARITY = 0.8
@@ -223,14 +223,14 @@ def components(marked: DataFrame, similarity: float, shingle_words: int, budget:
     """node and component of all classes of ``marked`` (stored) that link to another one."""
     classes = materialize(marked.where("size > 0").groupBy("cls").agg(F.min("uid").alias("uid"), F.first("size").alias("size"), F.first("fp").alias("fp")), "shingle-classes")
     groups = simhash.print_groups(classes.select(F.col("cls").alias("id"), "fp"), budget, "id", max_bucket).select("fp", F.xxhash64(F.lit("fp"), "part").alias("bucket"))
-    named = marked.join(classes.select("uid"), "uid", "left_semi").select(F.explode("buckets").alias("bucket"), "cls", "size")
+    named = numbered(marked, classes).select(F.explode("buckets").alias("bucket"), "cls", "size")
     buckets = named.union(classes.join(groups, "fp").select("bucket", "cls", "size"))
     shared = materialize(_sorted_by(buckets, ["bucket"]).mapInArrow(_shared, "bucket long, cls long, size long").where("cls IS NOT NULL"), "shared-buckets")
     parts = F.ceil(F.greatest(F.count("*") / block_rows, F.sum("size") / BLOCK_SHINGLES)).cast("int")
     big = materialize(shared.groupBy("bucket").agg(parts.alias("blocks")).where("blocks > 1"), "large-buckets")
     dealt = shared.join(big, "bucket", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     wanted = classes.join(shared.select("cls").distinct(), "cls", "left_semi").select("uid")
-    texts = materialize(marked.join(wanted, "uid", "left_semi").select("cls", "sketch", "text"), "candidate-texts")
+    texts = materialize(numbered(marked, wanted).select("cls", "sketch", "text"), "candidate-texts")
     labels = links = None
     for turn in ("neighbours", "shuffled", "all"):
         rows = dealt.withColumn("label", F.col("cls"))
@@ -252,6 +252,8 @@ def components(marked: DataFrame, similarity: float, shingle_words: int, budget:
         new = materialize(new, "near-links")
         links = new if links is None else links.union(new)
         labels = materialize(connected_components(links), "near-components")
+    drop_staged(shared)
+    drop_staged(texts)
     return labels
 
 
@@ -265,4 +267,4 @@ def one_of_each(df: DataFrame, similarity: float = SIMILARITY, shingle_words: in
     first = marked.groupBy("cls").agg(F.min(F.struct((~F.col("known")).alias("none"), "id", "uid")).alias("first"))
     named = first.join(labels, first["cls"] == labels["node"], "left").select(F.coalesce("component", "cls").alias("part"), "first")
     chosen = named.groupBy("part").agg(F.min("first").alias("first")).select(F.col("first.uid").alias("uid"))
-    return marked.join(chosen, "uid", "left_semi").select("row.*")
+    return numbered(marked, chosen).select("row.*")

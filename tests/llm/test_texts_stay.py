@@ -3,7 +3,9 @@
 import time
 
 import numpy as np
+import pytest
 
+import corpus_pipeline
 from quirework.llm import secrets, session
 from quirework.llm.session import fresh_path
 
@@ -47,3 +49,29 @@ def test_masking_with_too_many_keys_to_broadcast(spark, monkeypatch):
     docs, _ = stored(spark, texts)
     got = {r.doc_id: r.text for r in secrets.mask_secrets(docs, fresh_path(spark, "ledger")).collect()}
     assert got == {i: f"own {i % 20} [assign]" if i < 40 else t for i, t in enumerate(texts)}
+
+
+def test_near_copies_leave_other_texts_in_place(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    rng = np.random.default_rng(5)
+    texts = [noise(rng) for _ in range(200)]
+    texts += [texts[3], texts[9] + " one more word", None, ""]
+    docs, size = stored(spark, texts)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        before = shuffled(spark)
+        kept = sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect())
+        written = shuffled(spark) - before
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert kept == [*range(200), 202]
+    assert written < size / 2
+
+
+@pytest.mark.parametrize("few", [session.FEW, 0])
+def test_numbered_rows(spark, monkeypatch, few):
+    monkeypatch.setattr(session, "FEW", few)
+    ids = [0, 1, 62, 63, 64, 127, 128, (1 << 33) - 1, 1 << 33, (5 << 33) + 63]
+    rows = spark.createDataFrame([(u, str(u)) for i in ids for u in (i, i + 200)], "uid long, t string").distinct()
+    got = session.numbered(rows, spark.createDataFrame([(i,) for i in ids], "uid long"))
+    assert got.columns == ["uid", "t"] and sorted(r.uid for r in got.collect()) == ids
