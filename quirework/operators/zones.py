@@ -26,10 +26,12 @@ def zone_markers(members: DataFrame, reporter: str | None = None) -> DataFrame:
     The end is the first syllabus (only for the reporter sct), else the first divider, else the
     first case metadata if a headnote or background follows the caption.
     """
+    # An opinion's own caption keeps its row; all other labels go before anything is joined or sorted.
+    wanted = [ID[n] for n in ("CASE_CAPTION", "BACKGROUND", "SYLLABUS", "DIVIDER", "CASE_METADATA", "HEADNOTE")]
     row = F.struct("page_index", "col", "y1", "det_id", "x1", "x2", "y2")
     after = lambda name: F.min(F.when(F.col("after_caption") & (F.col("label_id") == ID[name]), row))
     noted = F.bool_or(F.col("after_caption") & F.col("label_id").isin(ID["HEADNOTE"], ID["BACKGROUND"]))
-    agg = members.groupBy(*OPINION).agg(after("BACKGROUND").alias("zone_start"), after("SYLLABUS").alias("s"), after("DIVIDER").alias("d"), after("CASE_METADATA").alias("m"), noted.alias("noted"))
+    agg = members.where(F.col("label_id").isin(wanted)).groupBy(*OPINION).agg(after("BACKGROUND").alias("zone_start"), after("SYLLABUS").alias("s"), after("DIVIDER").alias("d"), after("CASE_METADATA").alias("m"), noted.alias("noted"))
     is_sct = reporter is not None and reporter.lower().replace("-", "") == "sct"
     end = F.coalesce(*([F.col("s")] if is_sct else []), F.col("d"), F.when(F.col("noted"), F.col("m")))
     return agg.select(*OPINION, "zone_start", end.alias("zone_end"))

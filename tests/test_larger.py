@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from quirework.functions.labels import ID
 from quirework.functions.session import staged
+from quirework.operators import pairing, zones
 
 
 def plan(df):
@@ -16,3 +18,14 @@ def test_small_files_of_many_rows_are_not_broadcast(spark):
     other = spark.range(40_000_000).withColumnRenamed("id", "doc_id")
     assert "BroadcastHashJoin" not in plan(other.join(many.select("doc_id", "pdf_width"), "doc_id"))
     assert "BroadcastHashJoin" in plan(other.join(few.select("doc_id", "pdf_width"), "doc_id"))
+
+
+def test_marker_labels_are_chosen_before_the_join(spark):
+    """Of the 21 labels an opinion's zone markers need six; the rest are neither joined nor sorted."""
+    d = spark.createDataFrame([(1, n, 0, n, 0.9, 0.0, float(n), 50.0, n + 1.0, "medium") for n in range(21)], "doc_id long, det_id long, page_index long, label_id long, confidence double, x1 double, y1 double, x2 double, y2 double, model string")
+    p = spark.createDataFrame([(1, 0, 100, 50.0, 0.0, 0.0, 0.0, 0.0)], "doc_id long, page_index long, img_width long, midpoint double, col_left_x1 double, col_left_x2 double, col_right_x1 double, col_right_x2 double")
+    o = spark.createDataFrame([(1, 0, 0, 0, 3.0, 0, 0, 20.0)], "doc_id long, opinion long, caption_page long, caption_col long, caption_y1 double, key_page long, key_col long, key_y1 double")
+    marked = zones.zone_markers(pairing.members(staged(d, "detections"), p, o))
+    assert "In(label_id" in plan(marked)
+    row = marked.first()
+    assert (row.zone_start.det_id, row.zone_end.det_id) == (ID["BACKGROUND"], ID["CASE_METADATA"])
