@@ -46,6 +46,10 @@ def with_expected(readings: DataFrame, expected: DataFrame | None) -> DataFrame:
         d = readings.withColumns({"exp_start": F.lit(None).cast("long"), "exp_end": F.lit(None).cast("long")})
     else:
         d = readings.join(expected.select("doc_id", F.col("exp_start").cast("long"), F.col("exp_end").cast("long")), "doc_id", "left")
+    return _judged(d)
+
+
+def _judged(d: DataFrame) -> DataFrame:
     known = F.col("exp_start").isNotNull() & F.col("exp_end").isNotNull()
     d = d.withColumn("num", _number())
     far = known & ((F.col("num") < F.col("exp_start") - SLACK) | (F.col("num") > F.col("exp_end") + SLACK))
@@ -65,7 +69,8 @@ def auto_correct(d: DataFrame) -> DataFrame:
     pages_between = F.greatest(F.col("a.pdf_page") - F.col("b.pdf_page"), F.lit(1))
     both = F.bround(F.col("b.num") + (F.col("a.num") - F.col("b.num")) / pages_between * (F.col("pdf_page") - F.col("b.pdf_page")), 0).cast("long")
     expected = F.when(F.col("b").isNotNull() & F.col("a").isNotNull(), both).when(F.col("b").isNotNull(), F.col("b.num") + (F.col("pdf_page") - F.col("b.pdf_page"))).when(F.col("a").isNotNull(), F.col("a.num") - (F.col("a.pdf_page") - F.col("pdf_page")))
-    off = near.withColumn("offset", F.when(F.col("out_of_range"), expected - F.col("num")))
+    # Staged, so that the windows over a volume are not run again for the counts beside the rows.
+    off = staged(near.withColumn("offset", F.when(F.col("out_of_range"), expected - F.col("num"))).drop("a", "b"), "reading-offsets")
     counts = off.where("offset IS NOT NULL").groupBy("doc_id", "offset").agg(F.count("*").alias("n"), F.min("pdf_page").alias("first"))
     modal = counts.groupBy("doc_id").agg(F.sum("n").alias("total"), F.min(F.struct((-F.col("n")).alias("o"), "first", "offset", "n")).alias("m")).where((F.col("m.n") >= F.col("total") * 0.5) & (F.col("m.offset") != 0)).select("doc_id", F.col("m.offset").alias("modal"))
     fixed = off.join(modal, "doc_id", "left")
@@ -107,12 +112,30 @@ def range_pages(readings: DataFrame) -> DataFrame:
 
 def missing_pages(d: DataFrame) -> DataFrame:
     """Numbers of the expected range, or between the lowest and highest reading where none is known, that nothing shows: doc_id, page."""
-    seen = d.where("num IS NOT NULL AND NOT out_of_range").select("doc_id", F.col("num").alias("page"))
-    known = F.first("exp_start").isNotNull() & F.first("exp_end").isNotNull()
+    return missing_runs(d).select("doc_id", F.explode(F.sequence("first", "last")).alias("page"))
+
+
+def missing_runs(d: DataFrame) -> DataFrame:
+    """``missing_pages`` as runs of consecutive numbers: doc_id, first, last, n.
+
+    They are what lies between the readings of a volume in order of their numbers, so only
+    readings are sorted and no number is written out: one shuffle, one sort.
+    """
     fine = F.when(F.col("num").isNotNull() & ~F.col("out_of_range"), F.col("num"))
-    bounds = d.groupBy("doc_id").agg(F.when(known, F.first("exp_start")).otherwise(F.min(fine)).alias("a"), F.when(known, F.first("exp_end")).otherwise(F.max(fine)).alias("z"), F.count(fine).alias("n")).where("n > 0 AND a <= z")
-    every = bounds.select("doc_id", F.explode(F.sequence("a", "z")).alias("page")).where("page >= 1")
-    return every.join(seen.unionByName(range_pages(d).select("doc_id", "page")).distinct(), ["doc_id", "page"], "left_anti")
+    a, z = E.range_bounds(F.col("detected"))
+    ranged = (F.col("type") == "range") & (a <= z)
+    shown = d.select("doc_id", "exp_start", "exp_end", fine.alias("fine"), F.coalesce(fine, F.when(ranged, a)).alias("s"), F.coalesce(fine, F.when(ranged, z)).alias("e")).where("s IS NOT NULL")
+    by = Window.partitionBy("doc_id").orderBy("s", "e")
+    shown = shown.withColumns({"before": F.lag("s").over(by), "next": F.lead("s").over(by), "reach": F.max("e").over(by.rowsBetween(Window.unboundedPreceding, 0))})
+    whole, known = Window.partitionBy("doc_id"), F.col("exp_start").isNotNull() & F.col("exp_end").isNotNull()
+    shown = shown.withColumns({"lo": F.min("fine").over(whole), "hi": F.max("fine").over(whole), "n_fine": F.count("fine").over(whole)}).where("n_fine > 0")
+    shown = shown.withColumns({"lo": F.greatest(F.when(known, F.col("exp_start")).otherwise(F.col("lo")), F.lit(1)), "hi": F.when(known, F.col("exp_end")).otherwise(F.col("hi"))})
+    within = lambda c: F.least(F.greatest(c, F.col("lo") - 1), F.col("hi") + 1)
+    run = lambda first, last: F.struct(first.alias("first"), last.alias("last"))
+    ahead = F.when(F.col("before").isNull(), run(F.col("lo"), within(F.col("s")) - 1))
+    behind = run(within(F.col("reach")) + 1, within(F.coalesce("next", F.col("hi") + 1)) - 1)
+    runs = shown.select("doc_id", F.explode(F.filter(F.array_compact(F.array(ahead, behind)), lambda r: r["first"] <= r["last"])).alias("r"))
+    return runs.select("doc_id", "r.first", "r.last", (F.col("r.last") - F.col("r.first") + 1).alias("n"))
 
 
 def page_runs(pages: DataFrame, column: str = "page") -> DataFrame:
@@ -155,10 +178,12 @@ def page_map(d: DataFrame, missing: DataFrame) -> DataFrame:
 
 def real_missing(missing: DataFrame, most: int = 6) -> tuple[DataFrame, DataFrame]:
     """Single missing pages, and runs of over ``most`` of them, which point at a misreading rather."""
-    by = Window.partitionBy("doc_id").orderBy("page")
-    runs = missing.withColumn("g", F.col("page") - F.row_number().over(by)).withColumn("n", F.count("*").over(Window.partitionBy("doc_id", "g")))
-    large = runs.where(F.col("n") > most).groupBy("doc_id", "g").agg(F.min("page").alias("first"), F.max("page").alias("last"), F.first("n").alias("n")).drop("g")
-    return runs.where(F.col("n") <= most).select("doc_id", "page"), large
+    return split_runs(page_runs(missing), most)
+
+
+def split_runs(runs: DataFrame, most: int = 6) -> tuple[DataFrame, DataFrame]:
+    """The same of missing pages that are runs already."""
+    return runs.where(F.col("n") <= most).select("doc_id", F.explode(F.sequence("first", "last")).alias("page")), runs.where(F.col("n") > most)
 
 
 def mislabeled(d: DataFrame) -> DataFrame:
@@ -191,7 +216,7 @@ def issues(d: DataFrame, corrections: DataFrame | None = None, structural: DataF
     parts.append(row(dup, 5, F.col("num"), "duplicate_page", "warning", text(SEVERAL, F.col("num"), F.array_join("pdf_pages", ", ")), at="first"))
     first, _ = E.range_bounds(F.col("detected"))
     parts.append(row(d.where("type = 'range'").withColumn("a", first).where("a IS NOT NULL"), 6, F.col("a"), "page_range", "warning", text(RANGE, "pdf_page", "detected")))
-    single, large = real_missing(missing_pages(d))
+    single, large = split_runs(missing_runs(d))
     flagged = in_gap.select("doc_id", "page").distinct()
     parts.append(row(large.withColumnRenamed("first", "page").join(flagged, ["doc_id", "page"], "left_anti"), 7, F.col("page"), "large_gap", "warning", text(LARGE_GAP, "page", "last", "n"), at="page"))
     parts.append(row(single.join(flagged, ["doc_id", "page"], "left_anti"), 7, F.col("page"), "missing_page", "error", text(MISSING, "page"), at="page"))
@@ -225,10 +250,10 @@ def report(d: DataFrame, corrections: DataFrame, found: DataFrame, most_infos: i
         parts += [headed(own, section, head), line(own if severity != "info" else own.where(F.col("place") <= most_infos), section, F.col("place"), text)]
     more = told.where("severity = 'info'").groupBy("doc_id").agg((F.count("*") - most_infos).alias("n")).where("n > 0")
     parts.append(line(more, 5, F.lit(most_infos + 1), F.format_string("  ... and %d more", "n")))
-    single, _ = real_missing(missing_pages(d))
+    runs = missing_runs(d).where("n <= 6")
     a, z = F.col("first").cast("string"), F.col("last").cast("string")
     span = F.when(F.col("first") == F.col("last"), F.concat(F.lit("  #"), a)).otherwise(F.concat(F.lit("  #"), a, F.lit("-"), z, F.lit(" ("), F.col("n").cast("string"), F.lit(" pages)")))
-    parts += [headed(single, 6, "Missing pages (%d):"), line(page_runs(single), 6, F.col("first"), span)]
+    parts += [line(runs.groupBy("doc_id").agg(F.sum("n").alias("n")), 6, F.lit(0), F.format_string("Missing pages (%d):", "n")), line(runs, 6, F.col("first"), span)]
     clear = d.select("doc_id").distinct().join(found.where("severity IN ('error', 'warning')").select("doc_id").distinct(), "doc_id", "left_anti")
     parts.append(line(clear, 7, F.lit(0), F.lit("All clear — no issues found.")))
     out = parts[0]
@@ -243,5 +268,5 @@ def validate(readings: DataFrame, expected: DataFrame | None = None, correct: bo
     if not correct:
         return d, d.withColumn("old", F.lit(None).cast("string")).where(F.lit(False))
     fixed = auto_correct(d)
-    again = staged(with_expected(fixed.select("doc_id", "pdf_page", "detected", "type", "score", "old"), expected), "checked-readings")
+    again = staged(_judged(fixed.select("doc_id", "pdf_page", "detected", "type", "score", "old", "exp_start", "exp_end")), "checked-readings")
     return again.drop("old"), again.where("old IS NOT NULL")

@@ -51,7 +51,7 @@ def _(v):
 
 @query("w3_missing_runs", "SELECT DISTINCT doc_id, first, last, n FROM misr")
 def _(v):
-    return S.page_runs(S.missing_pages(checked(v)))
+    return S.missing_runs(checked(v))
 
 
 @query("a9_duplicate_numbers", "SELECT doc_id, num, array_to_string(list(pdf_page ORDER BY pdf_page), ',') AS pdf_pages FROM vd WHERE num IS NOT NULL AND NOT oor GROUP BY doc_id, num HAVING count(*) > 1")
@@ -82,7 +82,7 @@ def _(v):
     SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos, k, logical_number) AS ord, kind, pdf_index, logical_number, range_label, duplicate FROM a) q""")
 def _(v):
     d = checked(v)
-    return S.page_map(d, S.real_missing(S.missing_pages(d))[0])
+    return S.page_map(d, S.split_runs(S.missing_runs(d))[0])
 
 
 @query("w2_duplicate_flags", """SELECT doc_id, pdf_page, row_number() OVER (PARTITION BY doc_id, num ORDER BY pdf_page) > 1 AS seen_before FROM vd WHERE num IS NOT NULL AND NOT oor""")

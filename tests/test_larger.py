@@ -1,10 +1,12 @@
 """Steps that must not grow faster than their input: plans, row counts and plain models."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from quirework.functions.labels import ID
 from quirework.functions.session import staged
-from quirework.operators import pairing, zones
+from quirework.operators import pairing, sequence as S, zones
 
 
 def plan(df):
@@ -20,6 +22,52 @@ def test_small_files_of_many_rows_are_not_broadcast(spark):
     assert "BroadcastHashJoin" in plan(other.join(few.select("doc_id", "pdf_width"), "doc_id"))
 
 
+def slow_runs(rows, start, end):
+    """Missing runs of one volume, number by number."""
+    fine = [n for n, oor, _ in rows if n is not None and not oor]
+    if not fine:
+        return []
+    lo, hi = (min(fine), max(fine)) if start is None else (start, end)
+    shown = set(fine) | {n for *_, r in rows if r for n in range(r[0], r[1] + 1)}
+    out = []
+    for n in range(max(lo, 1), hi + 1):
+        if n not in shown:
+            if out and out[-1][1] == n - 1:
+                out[-1][1] = n
+            else:
+                out.append([n, n])
+    return [tuple(r) for r in out]
+
+
+def test_missing_runs_equal_a_count(spark):
+    rng, rows, want = random.Random(7), [], {}
+    for doc in range(300):
+        start, end = (None, None) if doc % 3 == 0 else (rng.randint(-3, 5), rng.randint(3, 40))
+        own = []
+        for page in range(rng.randint(1, 12)):
+            kind = rng.random()
+            span = (rng.randint(1, 45), rng.randint(1, 45)) if kind < 0.2 else None
+            number = None if kind < 0.3 else rng.randint(-5, 45)
+            oor = number is not None and (number < 1 or start is not None and not start - 5 <= number <= end + 5)
+            own.append((number, oor, span if span and span[0] <= span[1] else None))
+            rows.append((doc, page + 1, f"{span[0]}-{span[1]}" if span else None if number is None else str(number), "range" if span else "single", number, oor, start, end))
+        want[doc] = slow_runs(own, start, end)
+    d = spark.createDataFrame(rows, "doc_id long, pdf_page long, detected string, type string, num long, out_of_range boolean, exp_start long, exp_end long")
+    got = {}
+    for r in S.missing_runs(d).orderBy("doc_id", "first").collect():
+        assert r.n == r.last - r.first + 1
+        got.setdefault(r.doc_id, []).append((r.first, r.last))
+    assert got == {k: v for k, v in want.items() if v}
+    pages = sorted((k, n) for k, v in want.items() for a, z in v for n in range(a, z + 1))
+    assert sorted(map(tuple, S.missing_pages(d).collect())) == pages
+
+
+def test_missing_runs_of_a_long_range_need_few_rows(spark):
+    """A range of a thousand million numbers is two runs, not so many rows."""
+    d = spark.createDataFrame([(1, 1, "5", "single", 5, False, 1, 10**9)], "doc_id long, pdf_page long, detected string, type string, num long, out_of_range boolean, exp_start long, exp_end long")
+    assert sorted(map(tuple, S.missing_runs(d).collect())) == [(1, 1, 4, 4), (1, 6, 10**9, 10**9 - 5)]
+
+
 def test_marker_labels_are_chosen_before_the_join(spark):
     """Of the 21 labels an opinion's zone markers need six; the rest are neither joined nor sorted."""
     d = spark.createDataFrame([(1, n, 0, n, 0.9, 0.0, float(n), 50.0, n + 1.0, "medium") for n in range(21)], "doc_id long, det_id long, page_index long, label_id long, confidence double, x1 double, y1 double, x2 double, y2 double, model string")
