@@ -1,13 +1,15 @@
 """Operators whose steps depend on what earlier steps did, run for one group at a time.
 
 Each group is bounded by its nature: the boxes of one page, the pages of one volume, the
-footnotes of one opinion. They run in ``applyInPandas`` over columns of numbers.
+footnotes of one opinion. They run in Python over columns of numbers, many groups at once
+where groups are small.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,60 +29,75 @@ def fuse_models(det: DataFrame, most: float = 0.3) -> DataFrame:
     schema = "doc_id long, page_index long, label_id long, det_id long, confidence double, x1 double, y1 double, x2 double, y2 double, found_by array<string>, model_count long"
     fine = det.where(~F.col("label_id").isin(medium) | (F.col("model") == "medium"))
 
-    columns = ["doc_id", "page_index", "label_id", "det_id", "confidence", "x1", "y1", "x2", "y2"]
-
-    def fuse(g: pd.DataFrame) -> pd.DataFrame:
-        box, sure, models = g[["x1", "y1", "x2", "y2"]].to_numpy(float), g["confidence"].to_numpy(float), g["model"].to_numpy()
-        label = g["label_id"].to_numpy()
-        edges = np.flatnonzero(np.r_[_new_group(g), True])
-        best, found, sizes = [], [], []
-        for a, z in zip(edges[:-1], edges[1:]):
-            for own in _taken(box[a:z], most) if z - a > 1 else ([0],):
-                rank = -_area(box[a + np.asarray(own)]) if label[a] in smallest else sure[a + np.asarray(own)]
-                best.append(a + own[int(np.argmax(rank))])  # the first of equals
-                found.append(list(models[a + np.asarray(own)]))
-                sizes.append(len(own))
-        return g.iloc[best][columns].reset_index(drop=True).assign(found_by=found, model_count=np.array(sizes, np.int64))
+    key = ["doc_id", "page_index", "label_id"]
+    columns = [*key, "det_id", "confidence", "x1", "y1", "x2", "y2"]
+
+    def fuse(rows: pa.Table) -> pa.Table:
+        box = np.column_stack([_values(rows, c) for c in ("x1", "y1", "x2", "y2")])
+        lead = _takers(box, np.cumsum(_new_group(rows, key)), most)
+        order = np.argsort(lead, kind="stable")
+        starts = np.flatnonzero(np.r_[True, lead[order][1:] != lead[order][:-1]])
+        rank = np.where(np.isin(_values(rows, "label_id"), list(smallest)), -_area(box), _values(rows, "confidence"))
+        best = np.lexsort((-rank, lead))[starts]  # the first of equals
+        out = rows.select(columns).take(pa.array(best))
+        models = rows.column("model").take(pa.array(order)).combine_chunks()
+        found = pa.ListArray.from_arrays(pa.array(np.r_[starts, len(order)], pa.int32()), models)
+        return out.append_column("found_by", found).append_column("model_count", pa.array(np.diff(np.r_[starts, len(order)]), pa.int64()))
+
+    return fine.select(*columns, "model").repartition(*key).sortWithinPartitions(*key, "y1", "det_id").mapInArrow(_in_whole_groups(fuse, key), schema)
+
+
+def _in_whole_groups(f, key: list[str]):
+    """For mapInArrow over rows sorted by ``key``: ``f`` of one table after another, each of whole groups."""
 
     def run(batches):
         held = None
         for b in batches:
-            held = b if held is None else pd.concat([held, b], ignore_index=True)
-            starts = np.flatnonzero(_new_group(held)) if len(held) else np.zeros(0, int)
-            if len(starts) > 1:  # the last page and label may go on in the next batch
-                yield fuse(held.iloc[: starts[-1]].reset_index(drop=True))
-                held = held.iloc[starts[-1] :].reset_index(drop=True)
+            new = pa.Table.from_batches([b])
+            held = new if held is None else pa.concat_tables([held, new])
+            starts = np.flatnonzero(_new_group(held, key))
+            if len(starts) > 1:  # the last group may go on in the next batch
+                yield from f(held.slice(0, starts[-1]).combine_chunks()).to_batches()
+                held = held.slice(starts[-1])
         if held is not None and len(held):
-            yield fuse(held)
+            yield from f(held.combine_chunks()).to_batches()
+
+    return run
 
-    key = ["doc_id", "page_index", "label_id"]
-    return fine.select(*columns, "model").repartition(*key).sortWithinPartitions(*key, "y1", "det_id").mapInPandas(run, schema)
 
+def _values(rows: pa.Table, column: str) -> np.ndarray:
+    return rows.column(column).to_numpy()
 
-def _new_group(g: pd.DataFrame) -> np.ndarray:
-    k = g[["doc_id", "page_index", "label_id"]].to_numpy()
-    return np.r_[True, (k[1:] != k[:-1]).any(axis=1)] if len(k) else np.zeros(0, bool)
+
+def _new_group(rows: pa.Table, key: list[str]) -> np.ndarray:
+    """Whether each row's key differs from that of the row before."""
+    if not len(rows):
+        return np.zeros(0, bool)
+    k = [_values(rows, c) for c in key]
+    return np.r_[True, np.any([c[1:] != c[:-1] for c in k], axis=0)]
 
 
 def _area(box: np.ndarray) -> np.ndarray:
     return (box[:, 2] - box[:, 0]) * (box[:, 3] - box[:, 1])
 
 
-def _taken(box: np.ndarray, most: float):
-    """Index arrays of the boxes (in order) that the first free one takes, until none is free."""
-    free, size = np.ones(len(box), bool), _area(box)
-    for i in range(len(box)):
-        if not free[i]:
-            continue
-        later = box[i + 1 :]
-        inter = np.clip(np.minimum(later[:, 2:], box[i, 2:]) - np.maximum(later[:, :2], box[i, :2]), 0, None).prod(axis=1)
-        union = size[i] + size[i + 1 :] - inter
-        within = (later[:, :2] >= box[i, :2]).all(1) & (later[:, 2:] <= box[i, 2:]).all(1)
-        around = (later[:, :2] <= box[i, :2]).all(1) & (later[:, 2:] >= box[i, 2:]).all(1)
-        hit = free[i + 1 :] & ((inter > most * union) & (union > 0) | within | around)
-        own = np.r_[i, np.flatnonzero(hit) + i + 1]
-        free[own] = False
-        yield own
+def _takers(box: np.ndarray, group: np.ndarray, most: float) -> np.ndarray:
+    """For each box the place of the one that takes it (or its own): the first free one of its group takes
+    all later free ones it meets, until none is free. All groups step at once, so few steps serve many groups.
+    """
+    lead, left = np.empty(len(box), np.int64), np.arange(len(box))
+    while len(left):
+        first = np.r_[True, group[left][1:] != group[left][:-1]]
+        head = left[np.maximum.accumulate(np.where(first, np.arange(len(left)), 0))]
+        a, b = box[head], box[left]
+        inter = np.clip(np.minimum(a[:, 2:], b[:, 2:]) - np.maximum(a[:, :2], b[:, :2]), 0, None).prod(axis=1)
+        union = _area(a) + _area(b) - inter
+        within = (b[:, :2] >= a[:, :2]).all(1) & (b[:, 2:] <= a[:, 2:]).all(1)
+        around = (b[:, :2] <= a[:, :2]).all(1) & (b[:, 2:] >= a[:, 2:]).all(1)
+        hit = first | ((inter > most * union) & (union > 0)) | within | around
+        lead[left[hit]] = head[hit]
+        left = left[~hit]
+    return lead
 
 
 def repaired_numbers(numbers: list[int | None], ends: list[int | None], look: int = 10, passes: int = 5) -> tuple[list[int | None], list[int | None]]:
@@ -131,21 +148,35 @@ def flow_footnotes(clips: DataFrame, page_w: float = 612.0, page_h: float = 792.
     clips: doc_id, opinion, page_index, place, part, x0..y1, in that order.
     """
 
-    def flow(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["page_index", "place", "part"], kind="stable").reset_index(drop=True)
-        out, y, page = [], margin, 0
-        for w, h in zip(g["x1"] - g["x0"], g["y1"] - g["y0"]):
-            scale = min(1.0, (page_w - 2 * margin) / w)
-            w, h = w * scale, h * scale
-            if y + h > page_h - margin and y > margin + 1:
-                page, y = page + 1, margin
-            out.append((page, margin, y, margin + w, y + h))
-            y += h + gap
-        placed = pd.DataFrame(out, columns=["out_page", "dx0", "dy0", "dx1", "dy1"])
-        return pd.concat([g[["doc_id", "opinion", "page_index", "det_id", "part"]], placed], axis=1)
+    key = ["doc_id", "opinion"]
+
+    def flow(rows: pa.Table) -> pa.Table:
+        """The first clips of all opinions are laid out at once, then their second ones, and so on."""
+        w, h = _values(rows, "x1") - _values(rows, "x0"), _values(rows, "y1") - _values(rows, "y0")
+        scale = np.minimum(1.0, (page_w - 2 * margin) / w)
+        w, h = w * scale, h * scale
+        starts = np.flatnonzero(_new_group(rows, key))
+        sizes = np.diff(np.r_[starts, len(rows)])
+        group = np.repeat(np.arange(len(starts)), sizes)
+        nth = np.arange(len(rows)) - starts[group]
+        order = np.argsort(nth, kind="stable")
+        y, page = np.full(len(starts), margin), np.zeros(len(starts), np.int64)
+        top, at = np.empty(len(rows)), np.empty(len(rows), np.int64)
+        for i in np.split(order, np.cumsum(np.bincount(nth))[:-1]):
+            g = group[i]
+            full = (y[g] + h[i] > page_h - margin) & (y[g] > margin + 1)
+            page[g] += full
+            y[g] = np.where(full, margin, y[g])
+            top[i], at[i] = y[g], page[g]
+            y[g] += h[i] + gap
+        out = rows.select(["doc_id", "opinion", "page_index", "det_id", "part"])
+        for name, column in (("out_page", at), ("dx0", np.full(len(rows), margin)), ("dy0", top), ("dx1", margin + w), ("dy1", top + h)):
+            out = out.append_column(name, pa.array(column))
+        return out
 
     schema = "doc_id long, opinion long, page_index long, det_id long, part long, out_page long, dx0 double, dy0 double, dx1 double, dy1 double"
-    return clips.select("doc_id", "opinion", "page_index", "det_id", "place", "part", "x0", "y0", "x1", "y1").groupBy("doc_id", "opinion").applyInPandas(flow, schema)
+    d = clips.select(*key, "page_index", "det_id", "place", "part", "x0", "y0", "x1", "y1").repartition(*key)
+    return d.sortWithinPartitions(*key, "page_index", "place", "part").mapInArrow(_in_whole_groups(flow, key), schema)
 
 
 def columns_of_profile(ink: np.ndarray) -> tuple[float, float, float, float, float]:
@@ -180,11 +211,33 @@ def columns_of_profile(ink: np.ndarray) -> tuple[float, float, float, float, flo
 
 def detect_columns(profiles: DataFrame) -> DataFrame:
     """doc_id, page_index and ink (array of double) to col_left_x1, col_left_x2, col_right_x1, col_right_x2, midpoint."""
+    return _detected(profiles, ["ink"], lambda x: np.asarray(x if x is not None else [], float))
+
+
+def detect_columns_of_spans(spans: DataFrame, width: int) -> DataFrame:
+    """The same of pages whose ink is told by spans: doc_id, page_index, a, z, h adds h to every pixel column from a up to z, less z.
+
+    Spans of one place are summed before they are shuffled, and a page's profile is made in the task, so rows
+    grow with the spans and not with their width.
+    """
+    sums = spans.where("a < z").groupBy(*PAGE, "a", "z").agg(F.sum("h").alias("h"))
+    pages = sums.groupBy(*PAGE).agg(F.collect_list("a").alias("a"), F.collect_list("z").alias("z"), F.collect_list("h").alias("h"))
+
+    def ink(*told) -> np.ndarray:
+        out = np.zeros(width)
+        for a, z, h in zip(*told):
+            out[max(a, 0) : max(z, 0)] += h
+        return out
+
+    return _detected(pages, ["a", "z", "h"], ink)
+
+
+def _detected(pages: DataFrame, told: list[str], ink) -> DataFrame:
     names = ["col_left_x1", "col_left_x2", "col_right_x1", "col_right_x2", "midpoint"]
 
     def run(batches):
         for g in batches:
-            found = pd.DataFrame([columns_of_profile(np.asarray(x if x is not None else [], float)) for x in g["ink"]], columns=names)
+            found = pd.DataFrame([columns_of_profile(ink(*x)) for x in zip(*[g[c] for c in told])], columns=names)
             yield pd.concat([g[PAGE].reset_index(drop=True), found], axis=1)
 
-    return profiles.select(*PAGE, "ink").mapInPandas(run, "doc_id long, page_index long, " + ", ".join(f"{n} double" for n in names))
+    return pages.select(*PAGE, *told).mapInPandas(run, "doc_id long, page_index long, " + ", ".join(f"{n} double" for n in names))
