@@ -6,6 +6,8 @@ Missing fields take the defaults of the format: image size 1 x 1, box (0, 0, 1,
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,9 +25,23 @@ def _doc_of(path: Column) -> Column:
     return F.regexp_extract(path, r"([0-9]+)/[^/]*$", 1).cast("long")
 
 
+@contextmanager
+def _listed_together(spark: SparkSession):
+    """Folders are listed by a few tasks for each core, many folders in each: else Spark runs a task for each of up to 10,000 folders."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    was = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(was), 4 * max(4, spark.sparkContext.defaultParallelism))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
+
+
 def _json(spark: SparkSession, paths: str | list[str], schema: str, lines: bool = False) -> DataFrame:
     """Files that hold one array each, or with ``lines`` a record a line as ``write_records`` makes them."""
-    return spark.read.schema(schema).option("multiLine", not lines).json(paths).withColumn("doc_id", _doc_of(F.col("_metadata.file_path")))
+    with _listed_together(spark):
+        found = spark.read.schema(schema).option("multiLine", not lines).json(paths)
+    return found.withColumn("doc_id", _doc_of(F.col("_metadata.file_path")))
 
 
 def unpack_detections(rows: DataFrame) -> DataFrame:
@@ -48,7 +64,9 @@ def unpack_pages(rows: DataFrame, column: str = "pages") -> DataFrame:
 
 
 def read_pages(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    text = spark.read.text(paths, wholetext=True).withColumn("doc_id", _doc_of(F.col("_metadata.file_path")))
+    with _listed_together(spark):
+        text = spark.read.text(paths, wholetext=True)
+    text = text.withColumn("doc_id", _doc_of(F.col("_metadata.file_path")))
     return unpack_pages(text.select("doc_id", F.from_json("value", PAGE_FIELDS).alias("pages")))
 
 
@@ -66,7 +84,8 @@ def read_opinions(spark: SparkSession, paths: str | list[str], lines: bool = Fal
 
 def find_sidecars(spark: SparkSession, root: str, name: str = "detections.json") -> DataFrame:
     """path and doc_id of every side file of a name below ``root``, the uppermost of each volume first; listed by Spark, so any file system does."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", name).load(root).select("path")
+    with _listed_together(spark):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", name).load(root).select("path")
     depth = F.size(F.split("path", "/"))
     return files.select("path", _doc_of(F.col("path")).alias("doc_id"), depth.alias("depth")).groupBy("doc_id").agg(F.min_by("path", F.struct("depth", "path")).alias("path"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quirework.functions.labels import ID
 from quirework.functions.session import staged
 from quirework.operators import grouped, pairing, sequence as S, zones
+from quirework.sources import sidecars as J
 
 
 def plan(df):
@@ -152,3 +153,21 @@ def test_marker_labels_are_chosen_before_the_join(spark):
     assert "In(label_id" in plan(marked)
     row = marked.first()
     assert (row.zone_start.det_id, row.zone_end.det_id) == (ID["BACKGROUND"], ID["CASE_METADATA"])
+
+
+def test_folders_are_listed_by_few_tasks(spark, tmp_path):
+    """A task for each folder took longer than what the folders hold."""
+    root, sc = str(tmp_path / "files"), spark.sparkContext
+    J.write_records(spark.range(60).select(F.col("id").alias("doc_id"), F.lit(0).cast("long").alias("page_index"), F.expr("cast(array() AS array<struct<x0: double, y0: double, x1: double, y1: double, fill: string, type: string>>)").alias("rects")), root)
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    was = spark.conf.get(key)
+    for group, read in (("find", lambda: J.find_sidecars(spark, root, "part-*.json")), ("rects", lambda: J.read_rects(spark, root, lines=True))):
+        sc.setJobGroup(f"listing-{group}", "")
+        found = read()
+        status = sc.statusTracker()
+        tasks = [status.getStageInfo(s).numTasks for j in status.getJobIdsForGroup(f"listing-{group}") for s in status.getJobInfo(j).stageIds]
+        assert tasks and max(tasks) <= 4 * max(4, sc.defaultParallelism) < 60
+        if group == "find":
+            assert found.select("doc_id").distinct().count() == 60
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert spark.conf.get(key) == was
